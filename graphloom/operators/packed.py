@@ -27,6 +27,8 @@ QUOTES = ('"', "'")
 
 #: Bits of a spelled-out value: the announcement, each character, and the fine for a value without the form of its field.
 NEW_BITS, CHAR_BITS, MALFORMED_BITS, SEPARATOR_BITS, DIALECT_BITS = 12.0, 0.25, 60.0, 1.0, 2.0
+#: The fine for a keyword that holds a comma: it may, but two keywords are likelier.
+COMMA_BITS = 25.0
 #: The least a value of the code book can cost, for ruling out parses before the code book is asked.
 LEAST_BITS = 0.0
 
@@ -34,7 +36,8 @@ _REF = re.compile(r"doc-[0-9a-f]{32}-chunk-\d+\Z")
 _SENTINEL = re.compile(r"[A-Za-z][A-Za-z_]*\Z")
 _FILE = re.compile(r"[^\n\t]*\.[A-Za-z][A-Za-z0-9]{1,4}\Z")
 _FILE_INSIDE = re.compile(r"\.[A-Za-z][A-Za-z0-9]{1,4}\s*(?:<SEP>|[;；,，、|\n\t\"'])", re.I)
-_WORDS = re.compile(r"[^\W_][^;；，、|\n\t\"\[\]<>]*\Z")
+_WORDS = re.compile(r"[^\W_][^;；，、|\n\t\"'\[\]<>]*\Z")
+_SIGNS = re.compile(r"<sep>|[;；，、|\n\t\"]", re.I)
 
 
 def well_formed(kind: str, value: str) -> bool:
@@ -43,7 +46,7 @@ def well_formed(kind: str, value: str) -> bool:
         return bool(_REF.match(value) or _SENTINEL.match(value))
     if kind == "file_path":
         return bool((_FILE.match(value) and not _FILE_INSIDE.search(value) and value[:1] not in "\"'[") or _SENTINEL.match(value))
-    return bool(_WORDS.match(value)) and "," not in value
+    return bool(_WORDS.match(value))
 
 
 def unquote(value: str) -> str:
@@ -115,7 +118,8 @@ def parses(text: str) -> list[list[str]]:
 
 def spelled(kind: str, value: str) -> float:
     """Code length in bits of a value that is not taken from the code book."""
-    return NEW_BITS + CHAR_BITS * len(value) + (0.0 if well_formed(kind, value) else MALFORMED_BITS)
+    fine = COMMA_BITS if kind == "properties" and "," in value else 0.0
+    return NEW_BITS + CHAR_BITS * len(value) + (fine if well_formed(kind, value) else MALFORMED_BITS * (1 + len(_SIGNS.findall(value))))
 
 
 def candidates(kind: str, text: str | None) -> list[tuple[list[str], list[float]]]:
