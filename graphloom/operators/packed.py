@@ -27,7 +27,7 @@ QUOTES = ('"', "'")
 
 #: Bits of a spelled-out value: the announcement, each character, and the fine for a value without the form of its field.
 NEW_BITS, CHAR_BITS, MALFORMED_BITS, SEPARATOR_BITS, DIALECT_BITS = 12.0, 0.25, 60.0, 1.0, 2.0
-#: The fine for a keyword that holds a comma: it may, but two keywords are likelier.
+#: The fine for each comma in a keyword: it may hold one, but two keywords are likelier.
 COMMA_BITS = 25.0
 #: The least a value of the code book can cost, for ruling out parses before the code book is asked.
 LEAST_BITS = 0.0
@@ -118,7 +118,7 @@ def parses(text: str) -> list[list[str]]:
 
 def spelled(kind: str, value: str) -> float:
     """Code length in bits of a value that is not taken from the code book."""
-    fine = COMMA_BITS if kind == "properties" and "," in value else 0.0
+    fine = COMMA_BITS * value.count(",") if kind == "properties" else 0.0
     return NEW_BITS + CHAR_BITS * len(value) + (fine if well_formed(kind, value) else MALFORMED_BITS * (1 + len(_SIGNS.findall(value))))
 
 
