@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import encode, markup, mixture, splitter
+from graphloom.llm import encode, markup, mixture, scans, splitter
 from graphloom.sources.tables import table, unique
 
 LIMIT, OVERLAP = 480, 32
@@ -42,6 +42,18 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return _clean(spark, d).where("kind is not null").select(F.col("id").alias("chunk_id"), "kind").distinct()
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Kinds of scanning noise of each chunk. Counts hold rows that were sent twice once."""
+    chunks = unique(spark, d, "text_chunks", "full_doc_id", "content").select("id", F.col("full_doc_id").alias("doc"), "content")
+    return scans.kinds(chunks).select(F.col("id").alias("chunk_id"), "kind")
+
+
+def p6_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Every chunk as continuous paragraphs."""
+    chunks = unique(spark, d, "text_chunks", "full_doc_id", "content").select("id", F.col("full_doc_id").alias("doc"), "content")
+    return scans.repair(chunks).select(F.col("id").alias("chunk_id"), F.col("clean").alias("content"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document."""
     return encode.encode(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
@@ -63,7 +75,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.shares(*_mixture(spark, d))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_clean": p3_clean, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
 SQL = {
     "p1_found": "SELECT DISTINCT id AS chunk_id FROM text_chunks WHERE length(content) > 1920",
 }
