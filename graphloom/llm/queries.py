@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import encode, markup, mixture, scans, splitter
+from graphloom.llm import encode, markup, mixture, personal, scans, splitter
 from graphloom.sources.tables import table, unique
 
 LIMIT, OVERLAP = 480, 32
@@ -75,7 +75,18 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.shares(*_mixture(spark, d))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Personal details of every document."""
+    f = personal.scan(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.explode("details").alias("x"))
+    return f.select("doc_id", "x.kind", "x.item").distinct()
+
+
+def p10_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with its details replaced by placeholders."""
+    return personal.scan(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.col("clean").alias("text"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_clean": p10_clean}
 SQL = {
     "p1_found": "SELECT DISTINCT id AS chunk_id FROM text_chunks WHERE length(content) > 1920",
 }
