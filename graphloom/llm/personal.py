@@ -48,7 +48,7 @@ _MAIL_RIGHT = re.compile(_AT + rf"{_LABEL}(?:{_DOT}{_LABEL})*{_DOT}[A-Za-z]{{2,2
 
 _PHONE = re.compile(
     r"\+\d{1,3}[ .-]?\(0\)[ ]?\d{1,5}(?:[ /.-]\d{2,8}){1,4}"
-    r"|(?:\+|00)\d{1,3}(?:[ .-]\(?\d{1,5}\)?){2,5}"
+    r"|(?:\+|00)\d{1,3}(?:[ .-]\(?\d{1,6}\)?){2,5}"
     r"|\+\d{9,14}"
     r"|\(\d{2,5}\)[ ]?\d{3,4}[ .-]\d{3,4}"
     r"|0\d{1,5}/\d{3,8}(?:[- ]\d{1,5})?"
