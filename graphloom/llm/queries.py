@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import encode, markup, mixture, personal, scans, splitter
+from graphloom.llm import encode, markup, mixture, names, personal, scans, splitter
 from graphloom.sources.tables import table, unique
 
 LIMIT, OVERLAP = 480, 32
@@ -28,6 +29,24 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p.where("piece = 0 and n_pieces > 1").select(F.col("id").alias("chunk_id")).distinct()
 
 
+def _named(spark: SparkSession, d: str) -> DataFrame:
+    """tbl, id, name, kind of every author and of every node that is a person or an organisation."""
+    authors = table(spark, d, "papers").select(F.explode("authors").alias("a")).select(F.lit("papers").alias("tbl"), F.col("a.author_id").alias("id"), F.col("a.display_name").alias("name"))
+    authors = authors.where("id is not null").distinct().withColumn("kind", F.lit("person"))
+
+    @F.pandas_udf("string")
+    def kind(ids: pd.Series, types: pd.Series) -> pd.Series:
+        return pd.Series([names.kind_of(i, t) for i, t in zip(ids, types, strict=True)], dtype=object)
+
+    nodes = table(spark, d, "graph_nodes").where("id is not null").select(F.lit("graph_nodes").alias("tbl"), "id", F.col("id").alias("name"), kind("id", "entity_type").alias("kind"))
+    return authors.unionByName(nodes.where("kind is not null").distinct())
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of ids that are spellings of one person or organisation."""
+    return names.links(_named(spark, d))
+
+
 def _clean(spark: SparkSession, d: str) -> DataFrame:
     return markup.convert(table(spark, d, "text_chunks").select("id", "content"))
 
@@ -86,7 +105,7 @@ def p10_clean(spark: SparkSession, d: str) -> DataFrame:
     return personal.scan(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.col("clean").alias("text"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_clean": p10_clean}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p3_found": p3_found, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_clean": p10_clean}
 SQL = {
     "p1_found": "SELECT DISTINCT id AS chunk_id FROM text_chunks WHERE length(content) > 1920",
 }
