@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import encode, markup, mixture, names, personal, scans, splitter
+from graphloom.llm import encode, markup, mixture, names, neighbours, personal, scans, splitter
 from graphloom.sources.tables import table, unique
 
 LIMIT, OVERLAP = 480, 32
@@ -61,6 +61,21 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return _clean(spark, d).where("kind is not null").select(F.col("id").alias("chunk_id"), "kind").distinct()
 
 
+def _near(spark: SparkSession, d: str) -> DataFrame:
+    seq = F.get_json_object("record", "$.__write_seq__")
+    return neighbours.neighbours(table(spark, d, "faiss_docs").select("id", "record", "vector"), seq=seq)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of which one is among the five most similar of the other, with a cosine of 0.8 or more."""
+    return neighbours.pairs(_near(spark, d))
+
+
+def p4_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """The five most similar others of every id, with their cosines."""
+    return _near(spark, d)
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Kinds of scanning noise of each chunk. Counts hold rows that were sent twice once."""
     chunks = unique(spark, d, "text_chunks", "full_doc_id", "content").select("id", F.col("full_doc_id").alias("doc"), "content")
@@ -105,7 +120,7 @@ def p10_clean(spark: SparkSession, d: str) -> DataFrame:
     return personal.scan(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.col("clean").alias("text"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p3_found": p3_found, "p3_clean": p3_clean, "p6_found": p6_found, "p6_clean": p6_clean, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_clean": p10_clean}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_neighbours": p4_neighbours, "p6_found": p6_found, "p6_clean": p6_clean, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_clean": p10_clean}
 SQL = {
     "p1_found": "SELECT DISTINCT id AS chunk_id FROM text_chunks WHERE length(content) > 1920",
 }
