@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from graphloom.plans import data_quality
+from graphloom.plans import data_quality, graph_queries
 
-MODULES = (data_quality,)
+MODULES = (data_quality, graph_queries)
 FLAGSHIP = "p5_found"
 
 
