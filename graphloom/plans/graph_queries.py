@@ -162,7 +162,8 @@ def n19_migration(spark, d):
     return per.unionByName(pairs(spark, d).groupBy(F.lit("written").alias("what")).agg(F.count("*").alias("rows")))
 
 
-SPLIT_SQL = "list_distinct(list_filter(list_transform(string_split(coalesce({0}, ''), '<SEP>'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> ''))"
+LIST_SQL = "list_filter(list_transform(string_split(coalesce({0}, ''), '<SEP>'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '')"
+SPLIT_SQL = f"list_distinct({LIST_SQL})"  # in no order
 SRC = SPLIT_SQL.format("source_id")
 EVID = f"len(list_filter({SRC}, lambda x: x NOT IN ('manual_creation', 'UNKNOWN')))"
 

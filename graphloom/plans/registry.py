@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from graphloom.plans import data_quality, graph_queries
+from graphloom.plans import data_quality, graph_queries, merge_queries
 
-MODULES = (data_quality, graph_queries)
+MODULES = (data_quality, graph_queries, merge_queries)
 FLAGSHIP = "p5_found"
 
 
