@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from graphloom.plans import data_quality, graph_queries, merge_queries
+from graphloom.plans import data_quality, graph_queries, merge_queries, retrieval_queries
 
-MODULES = (data_quality, graph_queries, merge_queries)
-FLAGSHIP = "p5_found"
+MODULES = (data_quality, graph_queries, merge_queries, retrieval_queries)
+FLAGSHIP = "r11_mode_hybrid"
 
 
 def queries() -> dict[str, Callable]:
