@@ -18,7 +18,7 @@ BUDGET = 60_000
 def vectors(spark: SparkSession, d: str) -> DataFrame:
     """The last write of every id that has a comparable vector: id, vector, entity_name, src_id, tgt_id."""
     v = table(spark, d, "faiss_docs").select("id", "vector", *(F.get_json_object("record", f"$.{k}").alias(k) for k in ("__write_seq__", "entity_name", "src_id", "tgt_id")))
-    last = v.groupBy("id").agg(F.max_by(F.struct("vector", "entity_name", "src_id", "tgt_id"), F.col("__write_seq__").cast("long")).alias("x")).select("id", "x.*")
+    last = v.groupBy("id").agg(F.max_by(F.struct("vector", "entity_name", "src_id", "tgt_id"), F.col("__write_seq__").try_cast("long")).alias("x")).select("id", "x.*")
     sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return last.where((F.size("vector") == 64) & sound & F.exists("vector", lambda x: x != 0))
 
