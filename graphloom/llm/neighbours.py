@@ -251,7 +251,7 @@ def _merge(k: int):
 def neighbours(df: DataFrame, k: int = 5, least: float = 0.8, ident: str = "id", vector: str = "vector", seq: Column | None = None) -> DataFrame:
     """(id, other, cosine, rank): for each id its k most similar others with a cosine of ``least`` or more."""
     spark = df.sparkSession
-    rows = df.where(F.col(ident).isNotNull()).select(key_of(F.col(ident)).alias("key"), (seq if seq is not None else F.lit(0)).cast("long").alias("seq"), valid(F.col(vector)).alias("v"))
+    rows = df.where(F.col(ident).isNotNull()).select(key_of(F.col(ident)).alias("key"), (seq if seq is not None else F.lit("0")).try_cast("long").alias("seq"), valid(F.col(vector)).alias("v"))
     packed = rows.mapInArrow(_pack_batches, "key binary, seq long, code binary")
     latest = packed.groupBy("key").agg(F.max(F.struct("seq", "code")).alias("x")).select("key", F.col("x.code").alias("code")).where("code is not null")
     n = df.count()
