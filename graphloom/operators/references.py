@@ -15,6 +15,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,10 +39,13 @@ def unpack(data: bytes, size: int) -> np.ndarray:
 def _range_bitmaps(kind: str):
     """For one key range: the surviving keys of each (tbl, field, month). Both inputs hold distinct keys with their month."""
 
-    def work(refs: pd.DataFrame, parents: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {"kind": [], "tbl": [], "field": [], "month": [], "ref_key": []}
-        if len(refs) == 0:
-            return pd.DataFrame(out).astype({"month": "int32"})
+    schema = pa.schema([("kind", pa.string()), ("tbl", pa.string()), ("field", pa.string()), ("month", pa.int32()), ("ref_key", pa.string())])
+
+    def work(left_rows: pa.Table, right_rows: pa.Table) -> pa.Table:
+        out: dict[str, list] = {name: [] for name in schema.names}
+        if not left_rows.num_rows:
+            return pa.table(out, schema=schema)
+        refs, parents = left_rows.to_pandas(), right_rows.to_pandas()
         codes, keys = pd.factorize(pd.concat([refs["key"], parents["key"]], ignore_index=True))
         size = len(keys)
         refs, parents = refs.assign(code=codes[: len(refs)]), parents.assign(code=codes[len(refs) :])
@@ -58,7 +62,7 @@ def _range_bitmaps(kind: str):
             out["field"] += [field] * len(left)
             out["month"] += [month] * len(left)
             out["ref_key"] += list(keys[left])
-        return pd.DataFrame(out).astype({"month": "int32"})
+        return pa.table(out, schema=schema)
 
     return work
 
@@ -80,7 +84,7 @@ def dangling(refs: DataFrame, parents: DataFrame, kind: str, ranges: int) -> Dat
     bucket = F.pmod(F.xxhash64("key"), F.lit(ranges))
     asked = refs.select("tbl", "field", "month", F.col("ref_key").alias("key")).distinct().withColumn("bucket", bucket)
     born = parents.select("key", _month("created_at", ALWAYS).alias("month")).withColumn("bucket", bucket)
-    left = asked.groupBy("bucket").cogroup(born.groupBy("bucket")).applyInPandas(_range_bitmaps(kind), "kind string, tbl string, field string, month int, ref_key string")
+    left = asked.groupBy("bucket").cogroup(born.groupBy("bucket")).applyInArrow(_range_bitmaps(kind), "kind string, tbl string, field string, month int, ref_key string")
     # the survivors are unique by these keys: the month splits a hot key, and the skew join splits the rest
     again = refs.join(left.drop("kind"), ["tbl", "field", "month", "ref_key"], "left_semi").drop("month")
     seen = again.join(parents.select(F.col("key").alias("ref_key"), F.col("created_at"), F.lit(True).alias("exists")), "ref_key", "left")
