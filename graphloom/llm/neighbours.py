@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 
 DIM = 64
 #: Vectors in one cell, about, and the bounds of the number of cells.
-CELL_ROWS, LEAST_CELLS, MOST_CELLS = 512, 1, 8192
+CELL_ROWS, LEAST_CELLS, MOST_CELLS = 256, 1, 8192
 #: The sample for the centroids holds so many vectors a cell (196,608 at most), for the codebooks CODE_SAMPLE of them.
 SAMPLE_A_CELL, CODE_SAMPLE = 24, 8192
-SPILL, SHORTLIST, ETA = 3, 40, 4.0
+SPILL, SHORTLIST, ETA = 3, 32, 4.0
 #: Rows of one block of a cell.
 BLOCK_ROWS = 20_000
 SUBSPACES, CODES = 32, 16
@@ -99,29 +99,28 @@ def spherical_means(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np
     return c
 
 
-def encode(x: np.ndarray, books: np.ndarray, rounds: int = 2) -> np.ndarray:
+def encode(x: np.ndarray, books: np.ndarray, rounds: int = 1) -> np.ndarray:
     """Four-bit codes by coordinate descent on |r|^2 + (ETA - 1) (r.x)^2, r the residual; one byte a subspace."""
-    n, width = len(x), x.shape[1] // SUBSPACES
-    parts = x.reshape(n, SUBSPACES, width)
-    codes = np.empty((n, SUBSPACES), dtype=np.uint8)
-    along = np.zeros((n, SUBSPACES), dtype=np.float32)
-    for s in range(SUBSPACES):
-        d = parts[:, s, None, :] - books[s][None]
-        codes[:, s] = np.argmin((d * d).sum(2), axis=1)
-        r = parts[:, s] - books[s][codes[:, s]]
-        along[:, s] = (r * parts[:, s]).sum(1)
-    total = along.sum(1)
+    n = len(x)
+    parts = np.ascontiguousarray(x.reshape(n, SUBSPACES, -1).transpose(1, 0, 2))
+    product = np.matmul(parts, books.transpose(0, 2, 1))  # subspace, vector, codeword
+    own = (parts * parts).sum(2)[:, :, None]
+    along = own - product  # the part of r.x that each codeword leaves
+    square = along - product + (books * books).sum(2)[:, None, :]
+    codes = square.argmin(axis=2)
+    now = np.take_along_axis(along, codes[:, :, None], 2)[:, :, 0]
+    total = now.sum(axis=0)
     for _ in range(rounds):
         for s in range(SUBSPACES):
-            d = parts[:, s, None, :] - books[s][None]
-            dot = (d * parts[:, s, None, :]).sum(2)
-            rest = (total - along[:, s])[:, None]
-            new = np.argmin((d * d).sum(2) + (ETA - 1) * (rest + dot) ** 2, axis=1)
-            codes[:, s] = new
-            fresh = dot[np.arange(n), new]
-            total += fresh - along[:, s]
-            along[:, s] = fresh
-    return codes
+            cost = along[s] + (total - now[s])[:, None]
+            cost *= cost
+            cost *= ETA - 1
+            cost += square[s]
+            new = cost.argmin(axis=1)
+            fresh = along[s][np.arange(n), new]
+            total += fresh - now[s]
+            now[s], codes[s] = fresh, new
+    return np.ascontiguousarray(codes.T.astype(np.uint8))
 
 
 def codebooks(x: np.ndarray, rounds: int = 6, seed: int = 7) -> np.ndarray:
@@ -154,9 +153,12 @@ def scan(queries: np.ndarray, codes: np.ndarray, books: np.ndarray, n: int) -> n
     q = len(queries)
     tables = np.einsum("qsw,scw->qsc", queries.reshape(q, SUBSPACES, -1), books)
     pairs = (tables[:, 0::2, :, None] + tables[:, 1::2, None, :]).reshape(q, SUBSPACES // 2, CODES * CODES)
-    low = pairs.min(axis=2, keepdims=True)
-    step = np.maximum((pairs.max(axis=2, keepdims=True) - low).max(axis=1, keepdims=True) / 255, 1e-9)
-    bytes_ = np.rint((pairs - low) / step).astype(np.uint8)
+    least, most = tables.min(axis=2), tables.max(axis=2)
+    low, high = least[:, 0::2] + least[:, 1::2], most[:, 0::2] + most[:, 1::2]
+    step = np.maximum((high - low).max(axis=1) / 255, 1e-9)[:, None, None]
+    pairs -= low[:, :, None]
+    pairs /= step
+    bytes_ = np.rint(pairs, out=pairs).astype(np.uint8)
     both = codes[:, 0::2].astype(np.intp) * CODES + codes[:, 1::2]
     score = np.zeros((q, len(codes)), dtype=np.uint16)
     for s in range(SUBSPACES // 2):
@@ -164,8 +166,9 @@ def scan(queries: np.ndarray, codes: np.ndarray, books: np.ndarray, n: int) -> n
     return np.argpartition(score, len(codes) - n, axis=1)[:, len(codes) - n :]
 
 
-def nearest(queries: np.ndarray, base: np.ndarray, books: np.ndarray, k: int, least: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query, places in base, cosines) with the k best of at least ``least`` and one more, exact products after the scan."""
+def nearest(queries: np.ndarray, base: np.ndarray, books: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first query, places, cosines) of blocks of queries: the places in ``base`` of the k best of each, best first, by exact products
+    of the shortlist that the table scan leaves."""
     codes = encode(base, books) if len(base) > SHORTLIST else None
     for at in range(0, len(queries), QUERY_ROWS):
         q = queries[at : at + QUERY_ROWS]
@@ -173,17 +176,23 @@ def nearest(queries: np.ndarray, base: np.ndarray, books: np.ndarray, k: int, le
             short = np.broadcast_to(np.arange(len(base)), (len(q), len(base)))
         else:
             short = scan(q, codes, books, SHORTLIST)
-        exact = np.einsum("qd,qnd->qn", q, base[short])
-        for i in range(len(q)):
-            good = np.flatnonzero(exact[i] >= least)
-            good = good[np.argsort(-exact[i][good], kind="stable")][: k + 1]
-            yield at + i, short[i][good], exact[i][good]
+        exact = np.matmul(base[short], q[:, :, None])[:, :, 0]
+        if exact.shape[1] > k:
+            best = np.argpartition(-exact, k - 1, axis=1)[:, :k]
+            short, exact = np.take_along_axis(short, best, 1), np.take_along_axis(exact, best, 1)
+        order = np.argsort(-exact, axis=1, kind="stable")
+        yield at, np.take_along_axis(short, order, 1), np.take_along_axis(exact, order, 1)
+
+
+def _framed(key: bytes) -> bytes:
+    """A key with its length before it."""
+    return bytes([len(key)]) + key if 0 < len(key) < 256 else b"\0" + struct.pack("<I", len(key)) + key
 
 
 def _cell(books: np.ndarray, k: int, least: float):
     def work(t: pa.Table) -> pa.Table:
         keys, code = t.column("key").to_pylist(), t.column("code").combine_chunks()
-        base_row = np.asarray(t.column("base"))
+        base_row, asks = np.asarray(t.column("base")), np.asarray(t.column("asks"))
         # equal vectors are scored once
         seen: dict[bytes, int] = {}
         group = np.array([seen.setdefault(c, len(seen)) for c in code.to_pylist()])
@@ -191,27 +200,35 @@ def _cell(books: np.ndarray, k: int, least: float):
         first[group[::-1]] = np.arange(len(group))[::-1]
         v = unpack(code.take(pa.array(first)))
         held: list[list[bytes]] = [[] for _ in range(len(seen))]
-        for i in np.flatnonzero(base_row):
-            held[group[i]].append(keys[i])
+        asking: list[list[bytes]] = [[] for _ in range(len(seen))]
+        for i, g in enumerate(group.tolist()):
+            if base_row[i]:
+                held[g].append(keys[i])
+            if asks[i]:
+                asking[g].append(keys[i])
         for h in held:
-            h.sort()
-            del h[k + 1 :]
-        there = np.flatnonzero([bool(h) for h in held])
-        asking: dict[int, list[bytes]] = {}
-        for key, g, asks in zip(keys, group, np.asarray(t.column("asks")), strict=True):
-            if asks:
-                asking.setdefault(int(g), []).append(key)
+            if len(h) > 1:
+                h.sort()
+                del h[k + 1 :]
+        there, asked = np.flatnonzero([bool(h) for h in held]), np.flatnonzero([bool(x) for x in asking])
+        framed = [[_framed(o) for o in h] for h in held]
         out_key, out_list = [], []
-        if len(there) and asking:
-            asked = np.array(sorted(asking))
-            for i, places, cos in nearest(v[asked], v[there], books, k, least):
-                found = [(-float(c), o) for p, c in zip(places, cos, strict=True) for o in held[there[p]]]
-                found.sort()
-                for key in asking[int(asked[i])]:
-                    mine = [(c, o) for c, o in found if o != key][:k]
-                    if mine:
-                        out_key.append(key)
-                        out_list.append(b"".join(struct.pack("<fB", c, len(o)) + o if len(o) < 256 else struct.pack("<fBI", c, 0, len(o)) + o for c, o in mine))
+        if len(there) and len(asked):
+            for at, places, cos in nearest(v[asked], v[there], books, k + 1):
+                enough, raw = (cos >= least).sum(axis=1).tolist(), cos.astype("<f4")
+                groups = there[places]
+                for i, n in enumerate(enough):
+                    if not n:
+                        continue
+                    # equal cosines in the order of the keys
+                    near = [(-float(raw[i, j]), o, g, m) for j in range(n) for g in (groups[i, j],) for m, o in enumerate(held[g])]
+                    if len(near) > 1:
+                        near.sort(key=lambda x: x[:2])
+                    for key in asking[asked[at + i]]:
+                        mine = [struct.pack("<f", c) + framed[g][m] for c, o, g, m in near if o != key][:k]
+                        if mine:
+                            out_key.append(key)
+                            out_list.append(b"".join(mine))
         return pa.table({"key": pa.array(out_key, pa.binary()), "near": pa.array(out_list, pa.binary())})
 
     return work
