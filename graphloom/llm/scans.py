@@ -17,6 +17,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -220,10 +221,14 @@ def explains(read: str, meant: str) -> tuple[str, ...] | None:
 _DIGRAPH = re.compile("rn|vv|li|ii|cl|nn|ri|[ﬀ-ﬆ]|m")
 
 
-def _match(known: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+_FOUND = pa.schema([("token", pa.string()), ("seen", pa.int64()), ("word", pa.string()), ("n", pa.int64()), ("edits", pa.int32()), ("first", pa.string())])
+
+
+def _match(known_rows: pa.Table, asked_rows: pa.Table) -> pa.Table:
     out = []
-    if len(known) and len(asked):
-        trie, count = Trie(known["word"].tolist()), dict(zip(known["word"], known["n"], strict=True))
+    if known_rows.num_rows and asked_rows.num_rows:
+        known, asked = known_rows.to_pydict(), asked_rows.to_pydict()
+        trie, count = Trie(known["word"]), dict(zip(known["word"], known["n"], strict=True))
         for token, n in zip(asked["token"], asked["n"], strict=True):
             if not suspicious(token):
                 continue
@@ -235,7 +240,7 @@ def _match(known: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
                 how = explains(token, w)
                 if how and (len(how) == 1 or len(how) <= max(1, len(w) // 4) or noise and len(how) <= 2):
                     out.append((token, n, w, count[w], len(how), how[0]))
-    return pd.DataFrame(out, columns=["token", "seen", "word", "n", "edits", "first"])
+    return pa.table({name: [x[i] for x in out] for i, name in enumerate(_FOUND.names)}, schema=_FOUND)
 
 
 def vocabulary(df: DataFrame, text: str = "content") -> DataFrame:
@@ -254,7 +259,7 @@ def candidates(suspects: DataFrame, known: DataFrame) -> DataFrame:
     blocks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // shards)
     k = known.select("word", "n", F.pmod(F.xxhash64("word"), F.lit(shards)).alias("shard")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     s = suspects.select("token", "n", F.pmod(F.xxhash64("token"), F.lit(blocks)).cast("int").alias("block")).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    return k.groupBy("shard", "block").cogroup(s.groupBy("shard", "block")).applyInPandas(_match, "token string, seen long, word string, n long, edits int, first string")
+    return k.groupBy("shard", "block").cogroup(s.groupBy("shard", "block")).applyInArrow(_match, "token string, seen long, word string, n long, edits int, first string")
 
 
 def contexts(chunks: DataFrame, found: DataFrame) -> DataFrame:

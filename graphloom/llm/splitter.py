@@ -82,7 +82,7 @@ class RangeMaximum:
 
     def argmax(self, a: int, b: int) -> int:
         """Place of the maximum in a..b, both included."""
-        k = (b - a + 1).bit_length() - 1
+        k = int(b - a + 1).bit_length() - 1
         row = self.rows[k]
         return int(max(row[a], row[b - (1 << k) + 1]) % (self.n + 1))
 
