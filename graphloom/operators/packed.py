@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from graphloom.session import cut
+
 # The signs that part values in the library's tables, and the quotes.
 SEPARATORS = ("<SEP>", ";", "；", ",", "，", "、", "|", "\n", "\t")
 QUOTES = ('"', "'")
@@ -59,6 +61,8 @@ def unquote(value: str) -> str:
 
 
 _SEP = re.compile(r"<sep>", re.I)
+_ANY = re.compile(r"<sep>|[;；,，、|\n\t]", re.I)
+_QUOTED = re.compile(r"[\"'\[\]]")
 
 
 def split(text: str, delimiters: tuple[str, ...], quote: str | None) -> list[str]:
@@ -122,10 +126,27 @@ def spelled(kind: str, value: str) -> float:
     return NEW_BITS + CHAR_BITS * len(value) + (fine if well_formed(kind, value) else MALFORMED_BITS * (1 + len(_SIGNS.findall(value))))
 
 
+def evident(kind: str, text: str) -> list[str] | None:
+    """The values of a field that needs no pricing: no quote or bracket, at most one kind of separator, and all values well-formed.
+    Its other parses are always dearer, for each separator that stays in a value costs more than a new value."""
+    if _QUOTED.search(text):
+        return None
+    found = {m.lower() for m in _ANY.findall(text)}
+    # a keyword may hold a comma, so commas between keywords are priced
+    if len(found) > 1 or kind == "properties" and "," in found:
+        return None
+    items = [v for v in (x.strip() for x in (_ANY.split(text) if found else [text])) if v]
+    # a single word among files is no evidence of a separator
+    return items if items and all(well_formed(kind, v) and not (kind == "file_path" and found and _SENTINEL.match(v)) for v in items) else None
+
+
 def candidates(kind: str, text: str | None) -> list[tuple[list[str], list[float]]]:
     """The parses that can still be the cheapest whatever the code book holds, each with its values' spelled-out costs."""
     if text is None:
         return []
+    plain = evident(kind, text)
+    if plain:
+        return [(plain, [0.0] * len(plain))]
     found = []
     for items in parses(text):
         bits = [spelled(kind, v) for v in items]
@@ -164,14 +185,14 @@ def fields_of(df: DataFrame, tbl: str, only: tuple[str, ...] = ("source_id", "fi
 def parse_packed(fields: DataFrame) -> DataFrame:
     """(tbl, gid, field, items): the chosen parse of every field. ``fields`` has tbl, gid, field, packed and one row per field.
 
-    The code book is one partially aggregated count of values; fields that only one parse can win never meet it, so only the
-    truly ambiguous ones are shuffled."""
-    parsed = fields.mapInPandas(_parse_batches, _PARSED)
+    Texts are parsed once, into a table. The code book is one partially aggregated count of values; fields that only one parse can win
+    never meet it, so only the truly ambiguous ones are shuffled."""
+    parsed = cut(fields.mapInPandas(_parse_batches, _PARSED))
     sure = parsed.where("n = 1").select("tbl", "gid", "field", "items")
-    book = sure.select("field", F.explode("items").alias("value")).groupBy("field", "value").agg(F.count("*").alias("c"))
+    book = sure.select("field", F.explode("items").alias("value")).groupBy("field", "value").agg(F.count("*").alias("c")).where("c > 1")
     # one total for each kind of field: three rows, so their broadcast is bounded
-    total = book.groupBy("field").agg(F.sum("c").alias("total"))
-    book = book.where("c > 1").join(F.broadcast(total), "field").select("field", "value", (-F.log2(F.col("c") / F.col("total"))).alias("code"))
+    total = sure.groupBy("field").agg(F.sum(F.size("items")).alias("total"))
+    book = book.join(F.broadcast(total), "field").select("field", "value", (-F.log2(F.col("c") / F.col("total"))).alias("code"))
     open_ = parsed.where("n > 1").select("tbl", "gid", "field", "k", F.posexplode(F.arrays_zip("items", "bits")).alias("pos", "x"))
     open_ = open_.select("tbl", "gid", "field", "k", "pos", F.col("x.items").alias("value"), F.col("x.bits").alias("spelled"))
     priced = open_.join(book, ["field", "value"], "left").groupBy("tbl", "gid", "field", "k").agg(

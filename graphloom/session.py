@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +49,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that later branches read files instead of computing it again."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as a table in the shared folder and read again: later branches read compressed columns instead of computing
+    it again, and a lost executor loses nothing. Tables are removed when the driver's Python ends."""
+    spark = df.sparkSession
+    where = f"{checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(where)
+    atexit.register(_remove, spark, where)
+    return spark.read.schema(df.schema).parquet(where)
+
+
+def _remove(spark: SparkSession, where: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(where)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001 - the session may be gone, and then the folder's owner cleans up
+        pass
