@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from graphloom.functions import external
@@ -49,9 +50,12 @@ def s13_custom_graph(spark, d):
 def s17_tables(spark, d):
     """Rows and headers of chunks that hold an HTML table."""
     c = unique(spark, d, "text_chunks", "content").where("lower(content) like '%<table%'")
-    rows = F.udf(lambda t: len(files.table_rows(t)), "int")
-    header = F.udf(files.has_header, "boolean")
-    return c.select("id", rows("content").alias("rows"), header("content").alias("header"))
+
+    @F.pandas_udf("struct<rows int, header boolean>")
+    def look(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"rows": [len(files.table_rows(t)) for t in texts], "header": [files.has_header(t) for t in texts]})
+
+    return c.select("id", look("content").alias("t")).select("id", "t.rows", "t.header")
 
 
 def r24_rerank(spark, d):

@@ -1,7 +1,7 @@
 """Files as sources: which engine reads a file, Markdown and HTML as heading blocks, DOCX and plain files as text, block tables.
 
 Every reader is ``binaryFile`` or ``text`` with one narrow Python pass, so files spread over the tasks. Cases: an unknown ending has no
-engine; a broken file gives a row with its error and no text; empty files give empty texts; undecodable bytes become replacement signs.
+engine; a broken file gives a row with its error and no text; empty files have no row (Spark lists none); undecodable bytes become replacement signs.
 """
 
 from __future__ import annotations
