@@ -196,3 +196,10 @@ def heading_path(levels: Column, budget: int) -> Column:
 def without_media_marks(text: Column) -> Column:
     """Text without the engine's own marks for drawings, tables and equations."""
     return F.regexp_replace(text, r"(?s)<(drawing|equation|table_ref)\b[^>]*/>|<(drawing|equation)\b[^>]*>.*?</\2>|\[\[(?:drawing|table|equation):[^\]]*\]\]", "")
+
+
+def suspicious_name(name: Column) -> Column:
+    """Why a name looks like a slip of an extractor: ``variable`` (snake or camel case), ``glued`` (two names run together), or null."""
+    variable = name.rlike(r"^[a-z]+(?:_[a-z0-9]+)+$") | name.rlike(r"^[a-z]+(?:[A-Z][a-z0-9]+)+$")
+    glued = name.rlike(r"[a-z]{3,}[A-Z][a-z]{3,}[A-Z]?") | name.rlike(r"[A-Za-z]{3,}[;|][A-Za-z]{3,}")
+    return F.when(variable, "variable").when(glued, "glued")

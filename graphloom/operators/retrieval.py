@@ -134,3 +134,21 @@ def references(df: DataFrame, path: str = "file_path", pos: str = "pos") -> Data
     """(reference, file_path): files by frequency, ties by first place, numbered from 1."""
     f = df.groupBy(path).agg(F.count("*").alias("n"), F.min(pos).alias("first"))
     return f.withColumn("reference", F.row_number().over(Window.orderBy(F.desc("n"), "first"))).select("reference", path)
+
+
+def fit_context(entities: DataFrame, relations: DataFrame, chunks: DataFrame, budget: int) -> DataFrame:
+    """(kind, pos, tokens) of what fits a context: entities and relations in turn by rank up to the first that does not fit, then each
+    list on its own, then chunks. All are lists of (pos, tokens) bounded by a parameter."""
+    leg = lambda df, k, name: df.select(F.lit(k).alias("leg"), F.lit(name).alias("kind"), F.col("pos").cast("int").alias("pos"), F.col("tokens").cast("long").alias("tokens"))
+    whole = leg(entities, 0, "entity").unionByName(leg(relations, 1, "relation"))
+    both = within_budget(whole, F.col("tokens"), [F.asc("pos"), F.asc("leg")], budget).drop("running")
+    rest = whole.join(both.select("leg", "pos"), ["leg", "pos"], "left_anti").unionByName(leg(chunks, 2, "chunk"))
+    used = both.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("_used"))
+    # what is left goes down the lists one after the other; the first that does not fit ends it
+    more = within_budget(rest.join(F.broadcast(used)), F.col("tokens"), [F.asc("leg"), F.asc("pos")], 1 << 60).where(F.col("running") + F.col("_used") <= budget)
+    return both.select("kind", "pos", "tokens").unionByName(more.select("kind", "pos", "tokens"))
+
+
+def structured_result(entities: DataFrame, relations: DataFrame, chunks: DataFrame, mode: str, keywords: list[str]) -> dict:
+    """The result of a query as tables, with its references and what it was asked."""
+    return {"entities": entities, "relationships": relations, "chunks": chunks, "references": references(chunks), "metadata": {"mode": mode, "keywords": list(keywords)}}

@@ -89,3 +89,20 @@ def custom_graph(spark: SparkSession, kg: dict) -> dict[str, DataFrame]:
     entities = spark.createDataFrame(rows("entities", "entity_name", "entity_type", "description", "source_id"), "name string, type string, description string, source_id string")
     relations = spark.createDataFrame([(x["src_id"], x["tgt_id"], float(x.get("weight", 1.0)), x.get("keywords"), x.get("source_id")) for x in kg.get("relationships", ())], "src string, tgt string, weight double, keywords string, source_id string")
     return {"chunks": chunks, "entities": entities, "relations": relations}
+
+
+def check_space(stored: dict | None, model: str, dim: int) -> dict:
+    """The vector space of a store: refused if it was written by another model or with another length; recorded if it is new."""
+    wanted = {"embedding.model": model, "embedding.dim": dim}
+    for key, value in wanted.items():
+        if stored and key in stored and stored[key] != value:
+            raise ValueError(f"{key} is {stored[key]!r} in the store and {value!r} in the session")
+    return {**(stored or {}), **wanted}
+
+
+def counted(df: DataFrame, name: str, **metrics):
+    """The table with metrics gathered while it is computed: (df, observation). Metrics are aggregate columns by name."""
+    from pyspark.sql import Observation
+
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in metrics.items())), seen
