@@ -83,6 +83,12 @@ def test_links(spark, rows):
     assert names.links(df.limit(0)).count() == 0
 
 
+def test_organizations_meet_by_their_rare_words(spark, rows):
+    n = ["Kinefestus Institute of Applied Linguistics", "Inst. Appl. Ling., Kinefestus", "Applied Linguistics Institute, Kiinefestus", "Nipivupus Institute of Applied Linguistics", *(f"{w} Institute of Applied Linguistics" for w in ("Razosiis", "Verifodis", "Trenurius"))]
+    df = spark.createDataFrame([("graph_nodes", f"{i}", x, "organization") for i, x in enumerate(n)], "tbl string, id string, name string, kind string")
+    assert rows(names.links(df), "id_a", "id_b") == [("0", "1"), ("0", "2"), ("1", "2")]
+
+
 # --- 3 markup
 @pytest.mark.parametrize("text,kind", [("a <b>c</b>", "html"), ("x&nbsp;y", "html"), ("# Top\n\ntext", "markdown"), ("see [x](http://a.b/c)", "markdown"), ("* a\n+ b", "markdown"), ("[[Link|x]] y", "wiki"), ("'''The''' x", "wiki"), ("== T ==", "wiki"), ("\\emph{x} y", "latex"), ("where $x_1 \\leq 2$", "latex"), ("text. % a comment", "latex")])
 def test_language(text, kind):
