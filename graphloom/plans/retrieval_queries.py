@@ -212,6 +212,15 @@ def r26_context(spark, d):
     return r.select("pos", F.to_json(F.struct(F.col("entity_name").alias("entity"), F.col("degree").alias("rank"))).alias("line"))
 
 
+def r19_context_fit(spark, d):
+    """The local and global lists and the lexical chunks fitted to one budget."""
+    e = entity_hits(spark, d).select("pos", F.length("entity_name").alias("tokens"))
+    r = relation_hits(spark, d).select("pos", (F.length("src_id") + F.length("tgt_id")).alias("tokens"))
+    lex = retrieval.lexical(chunks(spark, d), WORDS, K)
+    c = chunks(spark, d).join(F.broadcast(lex), "id").select("pos", F.coalesce(tokens(F.col("content")), F.lit(0)).alias("tokens"))
+    return retrieval.fit_context(e, r, c, BUDGET)
+
+
 def r28_cache_key(spark, d):
     """Keys of the answer cache for each mode over the same knobs."""
     modes = spark.createDataFrame([(m,) for m in ("local", "global", "hybrid", "mix", "naive")], "mode string")
@@ -274,7 +283,7 @@ def j09_contained(spark, d):
     return graph.induced(pairs(spark, d), graph.popular(names(spark, d), pairs(spark, d), TOP)).select("a", "b")
 
 
-QUERIES = {f.__name__: f for f in (r01_vector_search, r03_rank_given, r04_local_leg, r05_local_edges, r06_global_leg, j03_incident_edges, j04_endpoints, j05_chunk_lookup, j07_contributions, j08_coauthors, j09_contained, r07_vector_leg, r08_lexical_leg, r_modes("local"), r_modes("global"), r_modes("hybrid"), r12_interleave, r13_prepend, r14_owned_chunks, r15_pick_by_vector, r16_pick_by_weight, r17_relation_chunks, r18_token_budget, r20_processed_chunks, r21_work_cap, r22_named_work_pin, r23_references, r26_context, r28_cache_key, r29_naive)}
+QUERIES = {f.__name__: f for f in (r01_vector_search, r03_rank_given, r04_local_leg, r05_local_edges, r06_global_leg, j03_incident_edges, j04_endpoints, j05_chunk_lookup, j07_contributions, j08_coauthors, j09_contained, r07_vector_leg, r08_lexical_leg, r_modes("local"), r_modes("global"), r_modes("hybrid"), r12_interleave, r13_prepend, r14_owned_chunks, r15_pick_by_vector, r16_pick_by_weight, r17_relation_chunks, r18_token_budget, r19_context_fit, r20_processed_chunks, r21_work_cap, r22_named_work_pin, r23_references, r26_context, r28_cache_key, r29_naive)}
 _LOCAL = f"{ALL_SQL}, {VEC_SQL}, {_hits('entity_name')}, lo AS (SELECT entity_name, degree, pos FROM h JOIN nd ON nd.id = h.entity_name)"
 _GLOBAL = f"{ALL_SQL}, {VEC_SQL}, {_hits('src_id')}, ga AS (SELECT least(src_id, tgt_id) AS a, greatest(src_id, tgt_id) AS b, pos FROM h), en AS (SELECT id, min(place) AS place FROM (SELECT src_id AS id, pos * 2 AS place FROM h UNION ALL SELECT tgt_id, pos * 2 + 1 FROM h) JOIN lab USING (id) GROUP BY id)"
 _TAKEN = "cnt AS (SELECT group_pos, count(*) AS n FROM ow GROUP BY 1), g0 AS (SELECT *, row_number() OVER (ORDER BY group_pos) - 1 AS i, count(*) OVER () AS m FROM cnt), g1 AS (SELECT *, CAST(CASE WHEN m = 1 THEN 5 ELSE round_even(5 - i / (m - 1.0) * 4, 0) END AS INTEGER) AS want FROM g0), g2 AS (SELECT *, least(want, n) AS base, n - least(want, n) AS more FROM g1), g3 AS (SELECT group_pos, base + greatest(0, least(more, sum(want - base) OVER () - coalesce(sum(more) OVER (ORDER BY group_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS quota FROM g2), tk AS (SELECT ow.group_pos, chunk_id FROM ow JOIN g3 USING (group_pos) WHERE place <= quota)"

@@ -163,6 +163,12 @@ def f14_oriented(spark, d):
     return r.select("gid", F.least("src", "tgt").alias("a"), F.greatest("src", "tgt").alias("b"), F.when(flip & (F.col("types") != "related_to"), F.concat(F.lit("inverse:"), "types")).otherwise(F.col("types")).alias("types"))
 
 
+def f15_slips(spark, d):
+    """Words of documents that look like slips of an extractor as names."""
+    w = documents(spark, d).select(F.explode(F.regexp_extract_all("text", F.lit(r"([A-Za-z_;|]{4,})"), 1)).alias("name")).distinct()
+    return w.select("name", records.suspicious_name(F.col("name")).alias("slip")).where("slip is not null")
+
+
 def f16_keywords(spark, d):
     e = unique(spark, d, "graph_edges", "properties").select("gid", F.get_json_object("properties", "$.keywords").alias("k")).where("k is not null")
     return e.select("gid", F.array_join(records.keyword_list(F.col("k")), "|").alias("keywords"))
@@ -254,7 +260,7 @@ def _junk(column: str) -> str:
 _INV = "CASE w WHEN 'cited_by' THEN 'cites' WHEN 'used_by' THEN 'uses' WHEN 'has_part' THEN 'part_of' WHEN 'cites' THEN 'cites' END"
 _TYPED = f"ty AS (SELECT gid, CASE WHEN sw THEN tgt_id ELSE src_id END AS src, CASE WHEN sw THEN src_id ELSE tgt_id END AS tgt, coalesce({_INV}, 'related_to') AS types FROM (SELECT *, w IN ('cited_by', 'used_by', 'has_part') AS sw FROM (SELECT DISTINCT gid, src_id, tgt_id, ['cites', 'cited_by', 'used_by', 'has_part', 'unknown'][CAST(length(src_id) % 5 + 1 AS BIGINT)] AS w FROM graph_edges WHERE src_id IS NOT NULL AND tgt_id IS NOT NULL)))"
 
-QUERIES = {f.__name__: f for f in (c01_windows, c02_by_separator, c03_separator_only, c04_recursive, c05_semantic, c06_structured, c07_without_references, c09_chunk_ids, c10_spans, c11_rerank_windows, c12_surroundings, f01_parse, f02_entities, f03_relations, f04_json, f05_name_cap, f06_symbolic, f07_junk_names, f08_without_junk, f09_types, f10_fold_keys, f11_fold_map, f12_apply_fold, f13_typed_relations, f14_oriented, f16_keywords, f17_valid_queries, f18_headings, f19_media_marks, f20_bibliography, f21_garble, f22_junk_ratio, f23_clean, f24_repeated_lines, f25_tail_references, f26_empty, f27_thin, f28_base_names, s05_html_text)}
+QUERIES = {f.__name__: f for f in (c01_windows, c02_by_separator, c03_separator_only, c04_recursive, c05_semantic, c06_structured, c07_without_references, c09_chunk_ids, c10_spans, c11_rerank_windows, c12_surroundings, f01_parse, f02_entities, f03_relations, f04_json, f05_name_cap, f06_symbolic, f07_junk_names, f08_without_junk, f09_types, f10_fold_keys, f11_fold_map, f12_apply_fold, f13_typed_relations, f14_oriented, f15_slips, f16_keywords, f17_valid_queries, f18_headings, f19_media_marks, f20_bibliography, f21_garble, f22_junk_ratio, f23_clean, f24_repeated_lines, f25_tail_references, f26_empty, f27_thin, f28_base_names, s05_html_text)}
 _ENT = f"SELECT key, {T.format('id')} AS name, lower(replace(list_filter(list_transform(string_split({T.format('entity_type')}, ','), lambda x: {T.format('x')}), lambda x: x <> '')[1], ' ', '')) AS type, {T.format('description')} AS description FROM nn WHERE {T.format('id')} <> '' AND {T.format('entity_type')} <> '' AND {T.format('description')} <> '' AND NOT regexp_matches(entity_type, '[''()<>|/\\\\]')"
 _RELN = f"SELECT key, {T.format('src_id')} AS src, {T.format('tgt_id')} AS tgt, {T.format(chr(34) + 'kw' + chr(34))} AS keywords, {T.format('description')} AS description, 1.0::DOUBLE AS weight FROM (SELECT *, replace(coalesce(keywords, ''), '，', ',') AS kw FROM ee) WHERE {T.format('src_id')} <> '' AND {T.format('tgt_id')} <> '' AND {T.format('description')} <> '' AND {T.format('src_id')} <> {T.format('tgt_id')}"
 SQL = {
@@ -276,6 +282,7 @@ SQL = {
     "f09_types": f"WITH {NODE_SQL} SELECT CASE WHEN type IN ('person', 'method', 'dataset') THEN type ELSE 'other' END AS type, count(*) AS n FROM ({_ENT}) GROUP BY 1",
     "f13_typed_relations": f"WITH {_TYPED} SELECT gid, src, tgt, types FROM ty",
     "f14_oriented": f"WITH {_TYPED} SELECT gid, least(src, tgt) AS a, greatest(src, tgt) AS b, CASE WHEN src > tgt AND types <> 'related_to' THEN 'inverse:' || types ELSE types END AS types FROM ty",
+    "f15_slips": "SELECT name, slip FROM (SELECT name, CASE WHEN regexp_matches(name, '^[a-z]+(?:_[a-z0-9]+)+$') OR regexp_matches(name, '^[a-z]+(?:[A-Z][a-z0-9]+)+$') THEN 'variable' WHEN regexp_matches(name, '[a-z]{3,}[A-Z][a-z]{3,}[A-Z]?') OR regexp_matches(name, '[A-Za-z]{3,}[;|][A-Za-z]{3,}') THEN 'glued' END AS slip FROM (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z_;|]{4,}')) AS name FROM documents)) WHERE slip IS NOT NULL",
     "f16_keywords": f"SELECT gid, array_to_string(list_filter(list_transform(regexp_split_to_array(k, '[\\n,;]+'), lambda x: {T.format('x')}), lambda x: x <> '' AND NOT regexp_matches(x, '^[<\\[{{].*[>\\]}}]$')), '|') AS keywords FROM (SELECT DISTINCT gid, properties ->> '$.keywords' AS k FROM graph_edges) WHERE k IS NOT NULL",
     "f17_valid_queries": "SELECT paper_id, w AS weight, w >= 3 AS valid FROM (SELECT paper_id, CAST(length(t) + length(regexp_replace(t, '[^\\x{2E80}-\\x{9FFF}\\x{AC00}-\\x{D7AF}\\x{F900}-\\x{FAFF}]', '', 'g')) AS INTEGER) AS w FROM (SELECT paper_id, regexp_replace(coalesce(title, ''), '\\s+', '', 'g') AS t FROM papers))",
     "f18_headings": f"SELECT paper_id, CASE WHEN length(array_to_string(h, ' → ')) > 60 AND len(h) > 2 THEN h[1] || ' → … → ' || h[len(h)] ELSE array_to_string(h, ' → ') END AS path FROM (SELECT paper_id, list_transform(list_filter([venue, CAST(pub_year AS VARCHAR), title], lambda x: x IS NOT NULL AND {T.format('x')} <> ''), lambda x: substr({T.format(chr(114) + 'egexp_replace(x, ' + chr(39) + chr(92) + 's+' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')}, 1, 80)) AS h FROM papers)",
