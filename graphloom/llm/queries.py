@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.llm import encode, markup, mixture, names, neighbours, personal, scans, splitter
+from graphloom.session import cut
 from graphloom.sources.tables import table, unique
 
 LIMIT, OVERLAP = 480, 32
@@ -94,7 +95,8 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mixture(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    sized = encode.count_tokens(table(spark, d, "documents").where("source is not null").select("doc_id", "source", "text")).drop("text")
+    # three columns of sizes, read by the plan, the running sums and the report: counted once
+    sized = cut(encode.count_tokens(table(spark, d, "documents").where("source is not null").select("doc_id", "source", "text")).drop("text"))
     targets = table(spark, d, "mix_targets")
     return mixture.mixture(sized, targets), targets
 
