@@ -196,7 +196,7 @@ def e03_measures(spark, d):
     ranked = evaluation.tfidf(table(spark, d, "documents").select(F.col("doc_id").alias("name"), "text"), _queries(spark, d), 10)
     p = unique(spark, d, "papers", "attachment_key", "title").where("title is not null").select(F.col("paper_id").alias("query"), F.col("attachment_key").alias("item_key"))
     expected = p.join(table(spark, d, "documents").select("item_key", F.col("doc_id").alias("name")), "item_key").select("query", "name")
-    return evaluation.measures(ranked, expected, 10)
+    return evaluation.measures(ranked, expected, 10).select("queries", F.round("recall", 9).alias("recall"), F.round("mrr", 9).alias("mrr"), "full", "none")
 
 
 def m01_rebuild_vectors(spark, d):
@@ -290,7 +290,7 @@ SQL = {
     "s16_noop": "SELECT CAST(NULL AS VARCHAR) AS id, CAST(NULL AS DOUBLE) AS score WHERE false",
     "e01_tfidf": f"WITH {_TFIDF} SELECT query, name, round(score, 6) AS score, rank FROM rk WHERE rank <= 10",
     "e02_terms": f"SELECT doc_id, len({_TERM.format('text')}) AS n FROM documents WHERE text IS NOT NULL",
-    "e03_measures": f"WITH {_TFIDF}, ex AS (SELECT DISTINCT paper_id AS query, doc_id AS name FROM papers JOIN documents ON attachment_key = item_key WHERE title IS NOT NULL), e AS (SELECT ex.query, ex.name, rank FROM ex LEFT JOIN (SELECT * FROM rk WHERE rank <= 10) r ON r.query = ex.query AND r.name = ex.name), p AS (SELECT query, count(rank) / count(*) AS recall, coalesce(max(1.0 / rank), 0) AS rr FROM e GROUP BY 1) SELECT count(*) AS queries, avg(recall) AS recall, avg(rr) AS mrr, CAST(sum(CASE WHEN recall = 1 THEN 1 ELSE 0 END) AS BIGINT) AS full, CAST(sum(CASE WHEN recall = 0 THEN 1 ELSE 0 END) AS BIGINT) AS none FROM p",
+    "e03_measures": f"WITH {_TFIDF}, ex AS (SELECT DISTINCT paper_id AS query, doc_id AS name FROM papers JOIN documents ON attachment_key = item_key WHERE title IS NOT NULL), e AS (SELECT ex.query, ex.name, rank FROM ex LEFT JOIN (SELECT * FROM rk WHERE rank <= 10) r ON r.query = ex.query AND r.name = ex.name), p AS (SELECT query, count(rank) / count(*) AS recall, coalesce(max(1.0 / rank), 0) AS rr FROM e GROUP BY 1) SELECT count(*) AS queries, round(avg(recall), 9) AS recall, round(avg(rr), 9) AS mrr, CAST(sum(CASE WHEN recall = 1 THEN 1 ELSE 0 END) AS BIGINT) AS full, CAST(sum(CASE WHEN recall = 0 THEN 1 ELSE 0 END) AS BIGINT) AS none FROM p",
     "m01_rebuild_vectors": "SELECT 'ent-' || md5(id) AS vid, id || chr(10) || coalesce(properties ->> '$.description', '') AS content FROM (SELECT DISTINCT gid, id, properties FROM graph_nodes WHERE id IS NOT NULL)",
     "m02_clean_cache": f"SELECT {_KEY} AS key FROM (SELECT DISTINCT id FROM graph_nodes WHERE id IS NOT NULL) WHERE length(id) % 2 <> 0",
     "m03_copy_cache": f"SELECT {_KEY} AS key FROM (SELECT DISTINCT id FROM graph_nodes WHERE id IS NOT NULL) WHERE length(id) % 2 <> 0",
