@@ -24,4 +24,4 @@ def unique(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     rows whose key is null are kept apart by their content."""
     key = KEYS[name]
     wanted = list(dict.fromkeys([*key, *columns])) if columns else table(spark, sf_dir, name).columns
-    return table(spark, sf_dir, name).select(*wanted).dropDuplicates(wanted if not columns else wanted)
+    return table(spark, sf_dir, name).select(*wanted).distinct()
