@@ -25,10 +25,12 @@ from graphloom.session import cut
 
 #: A word is known from this many occurrences, and a candidate must be so many times as frequent as the misreading.
 KNOWN, RATIO = 5, 8
-#: How many times as often as its confusion's rate a known word may stand and still be a misreading.
+#: How many times as often as its confusion's rate a word may stand and still be a misreading.
 SLACK = 6.0
 #: The share of its occurrences that must stand where its candidate also stands.
 SAME_PLACE = 0.7
+#: Standard deviations that chance may add to the expected number, and take from that share.
+CHANCE = 3.0
 #: Known words in one shard of the vocabulary's trie.
 SHARD_WORDS = 200_000
 
@@ -263,29 +265,37 @@ def candidates(suspects: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def contexts(chunks: DataFrame, found: DataFrame) -> DataFrame:
-    """Adds to candidates (token, word, ...) the share of the token's occurrences whose preceding word also stands before the
-    candidate twice or more in the corpus. Pairs are counted for the tokens and candidates alone."""
+    """Adds to candidates (token, word, ...) how many of the token's occurrences follow a word or a sign (placed), how many of those
+    follow one that also stands before the candidate twice or more in the corpus (same), and the share of these. Pairs are counted
+    for the tokens and candidates alone."""
     asked = found.select(F.explode(F.array("token", "word")).alias("word")).distinct()
-    pair = F.explode(F.regexp_extract_all(F.lower("content"), F.lit(r"(?=(\p{L}+\s+[\p{L}\p{M}\p{N}_!|@]+))\p{L}+"), 1))
+    pair = F.explode(F.regexp_extract_all(F.lower("content"), F.lit(r"(?=((?:\p{L}+|[^\p{L}\p{M}\p{N}\s_!|@])\s+[\p{L}\p{M}\p{N}_!|@]+))(?:\p{L}+|.)"), 1))
     pairs = chunks.select(pair.alias("p")).select(F.split("p", r"\s+").alias("p")).select(F.col("p")[0].alias("before"), F.col("p")[1].alias("word"))
     pairs = cut(pairs.join(asked, "word").groupBy("before", "word").agg(F.count("*").alias("pairs")))
     own = pairs.select("before", F.col("word").alias("token"), F.col("pairs").alias("mine")).join(found.select("token", "word"), "token")
-    share = F.sum(F.when(F.col("pairs") >= 2, F.col("mine")).otherwise(0)) / F.sum("mine")
-    near = own.join(pairs, ["before", "word"], "left").groupBy("token", "word").agg(share.alias("share"))
-    return found.join(near, ["token", "word"], "left").na.fill(0.0, ["share"])
+    same = F.sum(F.when(F.col("pairs") >= 2, F.col("mine")).otherwise(0))
+    near = own.join(pairs, ["before", "word"], "left").groupBy("token", "word").agg(F.sum("mine").alias("placed"), same.alias("same"))
+    return found.join(near, ["token", "word"], "left").na.fill(0, ["placed", "same"]).withColumn("share", F.col("same") / F.greatest("placed", F.lit(1)))
+
+
+def misread(placed: DataFrame) -> DataFrame:
+    """Of candidates with their places, those that are misreadings, whatever their counts. A confusion's rate is that of all its
+    candidates (seen over the candidate's n) that stand where these stand. A token without signs of noise counts if its number is
+    within SLACK times that rate and chance, and if its places are the candidate's, but for chance: a token that has no places has
+    nothing against it. Of several confusions the first sets the limit, since they are no more frequent together."""
+    there = F.col("same") >= SAME_PLACE * F.col("placed") - CHANCE * F.sqrt(SAME_PLACE * (1 - SAME_PLACE) * F.col("placed"))
+    # one row a confusion
+    rates = placed.where((F.col("edits") == 1) & there).groupBy("first").agg((F.sum("seen") / F.sum("n")).alias("rate"))
+    expected = SLACK * F.coalesce("rate", F.lit(0.0)) * F.col("n")
+    likely = F.col("seen") <= expected + CHANCE * F.sqrt(expected) + CHANCE
+    return placed.join(F.broadcast(rates), "first", "left").where(F.col("token").rlike(f"[{_NOISE}]") | likely & there)
 
 
 def corrections(chunks: DataFrame, counts: DataFrame) -> DataFrame:
-    """(token, word, n, edits, share) of the tokens that are misread. A token that is itself frequent enough to be known counts
-    only if it is no more frequent than confusions make likely (within SLACK times the rate that the unknown words show), and if
-    its occurrences stand where the candidate stands."""
+    """(token, word, n, edits, share) of the tokens that are misread."""
     known = counts.where((F.col("n") >= KNOWN) & F.col("word").rlike(r"^\p{L}{3,}$"))
     found = cut(candidates(counts.where(~F.col("word").contains("-")).withColumnRenamed("word", "token"), known))
-    # one row
-    rate = found.where((F.col("seen") < KNOWN) & (F.col("edits") == 1)).agg(F.coalesce(F.sum("seen") / F.sum("n"), F.lit(0.0)).alias("rate"))
-    rated = contexts(chunks, found).join(F.broadcast(rate))
-    likely = (F.col("seen") < KNOWN) | F.col("token").rlike(f"[{_NOISE}]") | (F.col("edits") == 1) & (F.col("seen") <= SLACK * F.col("rate") * F.col("n")) & (F.col("share") >= SAME_PLACE)
-    return cut(rated.where(likely).select("token", "word", "n", "edits", "share"))
+    return cut(misread(cut(contexts(chunks, found))).select("token", "word", "n", "edits", "share"))
 
 
 def facts(chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -216,6 +216,18 @@ def test_kinds(spark, rows):
     assert scans.kinds(df.limit(0)).count() == 0
 
 
+def test_misread_at_any_size(spark, rows):
+    """The same words in ten times the text are the same misreadings; a word of its own stays one."""
+    plain = "the glacier was measured; which of the reefs are near the coast"
+    one = [plain] * 120 + ["the glacier was measured; wliich of tlie reefs arc near the coast"] + ["large arc, wide arc, long arc"] * 4
+    found = []
+    for times in (1, 10, 40):
+        data = [(f"c{i}-{k}", f"d{i}-{k}", t) for k in range(times) for i, t in enumerate(one)]
+        df = spark.createDataFrame(data, "id string, doc string, content string")
+        found.append({r.token for r in scans.corrections(df, scans.vocabulary(df)).collect()})
+    assert found == [{"wliich", "tlie"}] * 3
+
+
 # --- 8 encoding
 @pytest.mark.parametrize("text", ["", "plain", "<|endoftext|> x", "日本語 ẞ 👩🏽‍🔬 \u0000 \r\n\t", "a" * 5000, "  \u00a0 "])
 def test_round_trip(text):
