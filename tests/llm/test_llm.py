@@ -89,6 +89,17 @@ def test_organizations_meet_by_their_rare_words(spark, rows):
     assert rows(names.links(df), "id_a", "id_b") == [("0", "1"), ("0", "2"), ("1", "2")]
 
 
+def test_organizations_of_common_words(spark, rows):
+    """A name whose words all stand in more than RARE names meets its abbreviated and misspelled forms."""
+    many = names.RARE + 10
+    fill = [f"{w} {i:03d}x{k}" for k, w in enumerate(("Kyoto", "Polar", "Ecology", "Institute")) for i in range(many * (1 if k == 1 else 2))]
+    cases = ["Kyoto Institute of Polar Ecology", "Inst. Pol. Ecol., Kyoto", "Kyoto Enstitute of Polar Ecology"]
+    df = spark.createDataFrame([("t", n, n, "organization") for n in fill + cases], "tbl string, id string, name string, kind string")
+    got = {frozenset((r.id_a, r.id_b)) for r in names.links(df).collect()}
+    assert {frozenset((cases[0], x)) for x in cases[1:]} <= got
+    assert not any(len(x & set(cases)) == 1 for x in got)
+
+
 # --- 3 markup
 @pytest.mark.parametrize("text,kind", [("a <b>c</b>", "html"), ("x&nbsp;y", "html"), ("# Top\n\ntext", "markdown"), ("see [x](http://a.b/c)", "markdown"), ("* a\n+ b", "markdown"), ("[[Link|x]] y", "wiki"), ("'''The''' x", "wiki"), ("== T ==", "wiki"), ("\\emph{x} y", "latex"), ("where $x_1 \\leq 2$", "latex"), ("text. % a comment", "latex")])
 def test_language(text, kind):
