@@ -62,16 +62,17 @@ def rare_keywords(query: str, counts: dict[str, int], n: int = 5) -> list[str]:
 
 def rule_extractor(text: str) -> str:
     """Capitalised names as entities and their neighbours as relations, in the delimited form."""
-    names = list(dict.fromkeys(m for m in re.findall(r"\b[A-Z][a-z]{5,}\b", text or "")))[:20]
+    names = list(dict.fromkeys(m for m in re.findall(r"\b[A-Z][a-z]{5,}\b", text or "")))
     out = [f"(entity<|#|>{n}<|#|>concept<|#|>{n} stands in the text)" for n in names]
     out += [f"(relation<|#|>{a}<|#|>{b}<|#|>near<|#|>{a} stands near {b})" for a, b in zip(names, names[1:], strict=False)]
     return "\n".join(out) + "\n<|COMPLETE|>"
 
 
 def extract(chunks: DataFrame, cache: DataFrame | None = None, function=rule_extractor, most_tokens: int = 12_000, passes: int = 1) -> DataFrame:
-    """(id, pass, reply) for chunks (id, content): replies of the cache (digest, pass, reply) are taken, others computed; texts beyond
-    the token bound are skipped."""
-    x = chunks.where(F.length("content") <= most_tokens).select("id", "content", F.md5("content").alias("digest")).withColumn("pass", F.explode(F.sequence(F.lit(1), F.lit(passes))))
+    """(id, pass, reply) for chunks (id, content): replies of the cache (digest, pass, reply) are taken, others computed. Every text
+    has its first pass; those beyond the token bound have no further ones."""
+    x = chunks.where("content is not null").select("id", "content", F.md5("content").alias("digest")).withColumn("pass", F.explode(F.sequence(F.lit(1), F.lit(passes))))
+    x = x.where((F.col("pass") == 1) | (F.length("content") <= most_tokens))
     known = x.join(cache, ["digest", "pass"]).select("id", "pass", "reply") if cache is not None else None
     todo = x.join(cache, ["digest", "pass"], "left_anti") if cache is not None else x
 

@@ -102,3 +102,12 @@ def test_running_total_over_one_hot_group(spark):
     out = running_total(df, ["k"], [F.col("id")], F.col("n"), F.floor(F.col("id") / 64), "before")
     assert {r.id: r.before for r in out.where("k = 'k'").collect()} == {i: 2 * i for i in range(1000)}
     assert sorted(r.before for r in out.where("k is null").collect()) == [0, 3]
+
+
+def test_extraction_takes_all(spark):
+    """All names of a chunk, and the first pass of a chunk of any length; the bound skips further passes only."""
+    words = [f"Name{a}{b}" for a in "abcde" for b in "fghijk"]
+    d = spark.createDataFrame([("a", " ".join(words)), ("b", "Glacier " * 2_000), ("c", None)], "id string, content string")
+    got = {(r.id, r["pass"]): r.reply for r in external.extract(d, passes=2).collect()}
+    assert set(got) == {("a", 1), ("a", 2), ("b", 1)}
+    assert got["a", 1].count("(entity<") == 30 and got["a", 1].count("(relation<") == 29 and "Glacier" in got["b", 1]
