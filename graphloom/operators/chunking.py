@@ -181,6 +181,16 @@ def without_references(blocks: DataFrame, last: int | None = None) -> DataFrame:
     return blocks.withColumn("_r", place).where(~(is_ref & (F.col("_r") <= last))).drop("_r")
 
 
+def mentions_around(df: DataFrame, key: str, text: str, mark: str, budget: int) -> DataFrame:
+    """(key, item, leading, trailing) of each place where the literal mark stands in a text, items from 1."""
+    before = F.transform(F.split(text, rf"\Q{mark}\E", -1), F.length)
+    # the parts between the marks, added up; the last part ends no mark
+    none = F.array().cast("array<int>")
+    ends = F.aggregate(F.slice(before, 1, F.size(before) - 1), F.struct(F.lit(-len(mark)).alias("at"), none.alias("all")), lambda a, n: F.struct((a["at"] + len(mark) + n).alias("at"), F.concat(a["all"], F.array(a["at"] + len(mark) + n)).alias("all")), lambda a: a["all"])
+    x = df.where(F.col(text).isNotNull()).select(key, text, F.posexplode(ends).alias("i", "at"))
+    return x.select(key, (F.col("i") + 1).alias("item"), surroundings(F.col(text), F.col("at"), budget).alias("s")).select(key, "item", "s.leading", "s.trailing")
+
+
 def surroundings(text: Column, at: Column, budget: int) -> Column:
     """Leading and trailing text of a place, half the budget each."""
     half = budget // 2

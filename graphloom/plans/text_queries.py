@@ -71,6 +71,11 @@ def c12_surroundings(spark, d):
     return x.select("doc_id", "s.leading", "s.trailing")
 
 
+def c12_all_surroundings(spark, d):
+    """Text around every mention of a table, numbered in its document."""
+    return chunking.mentions_around(documents(spark, d), "doc_id", "text", "Table ", 200)
+
+
 def replies(spark, d) -> DataFrame:
     """Extraction replies made of the stored nodes and edges, one a node or edge."""
     n = unique(spark, d, "graph_nodes", "id", "entity_type", "properties")
@@ -260,7 +265,7 @@ def _junk(column: str) -> str:
 _INV = "CASE w WHEN 'cited_by' THEN 'cites' WHEN 'used_by' THEN 'uses' WHEN 'has_part' THEN 'part_of' WHEN 'cites' THEN 'cites' END"
 _TYPED = f"ty AS (SELECT gid, CASE WHEN sw THEN tgt_id ELSE src_id END AS src, CASE WHEN sw THEN src_id ELSE tgt_id END AS tgt, coalesce({_INV}, 'related_to') AS types FROM (SELECT *, w IN ('cited_by', 'used_by', 'has_part') AS sw FROM (SELECT DISTINCT gid, src_id, tgt_id, ['cites', 'cited_by', 'used_by', 'has_part', 'unknown'][CAST(length(src_id) % 5 + 1 AS BIGINT)] AS w FROM graph_edges WHERE src_id IS NOT NULL AND tgt_id IS NOT NULL)))"
 
-QUERIES = {f.__name__: f for f in (c01_windows, c02_by_separator, c03_separator_only, c04_recursive, c05_semantic, c06_structured, c07_without_references, c09_chunk_ids, c10_spans, c11_rerank_windows, c12_surroundings, f01_parse, f02_entities, f03_relations, f04_json, f05_name_cap, f06_symbolic, f07_junk_names, f08_without_junk, f09_types, f10_fold_keys, f11_fold_map, f12_apply_fold, f13_typed_relations, f14_oriented, f15_slips, f16_keywords, f17_valid_queries, f18_headings, f19_media_marks, f20_bibliography, f21_garble, f22_junk_ratio, f23_clean, f24_repeated_lines, f25_tail_references, f26_empty, f27_thin, f28_base_names, s05_html_text)}
+QUERIES = {f.__name__: f for f in (c01_windows, c02_by_separator, c03_separator_only, c04_recursive, c05_semantic, c06_structured, c07_without_references, c09_chunk_ids, c10_spans, c11_rerank_windows, c12_surroundings, c12_all_surroundings, f01_parse, f02_entities, f03_relations, f04_json, f05_name_cap, f06_symbolic, f07_junk_names, f08_without_junk, f09_types, f10_fold_keys, f11_fold_map, f12_apply_fold, f13_typed_relations, f14_oriented, f15_slips, f16_keywords, f17_valid_queries, f18_headings, f19_media_marks, f20_bibliography, f21_garble, f22_junk_ratio, f23_clean, f24_repeated_lines, f25_tail_references, f26_empty, f27_thin, f28_base_names, s05_html_text)}
 _ENT = f"SELECT key, {T.format('id')} AS name, lower(replace(list_filter(list_transform(string_split({T.format('entity_type')}, ','), lambda x: {T.format('x')}), lambda x: x <> '')[1], ' ', '')) AS type, {T.format('description')} AS description FROM nn WHERE {T.format('id')} <> '' AND {T.format('entity_type')} <> '' AND {T.format('description')} <> '' AND NOT regexp_matches(entity_type, '[''()<>|/\\\\]')"
 _RELN = f"SELECT key, {T.format('src_id')} AS src, {T.format('tgt_id')} AS tgt, {T.format(chr(34) + 'kw' + chr(34))} AS keywords, {T.format('description')} AS description, 1.0::DOUBLE AS weight FROM (SELECT *, replace(coalesce(keywords, ''), '，', ',') AS kw FROM ee) WHERE {T.format('src_id')} <> '' AND {T.format('tgt_id')} <> '' AND {T.format('description')} <> '' AND {T.format('src_id')} <> {T.format('tgt_id')}"
 SQL = {
@@ -271,6 +276,7 @@ SQL = {
     "c09_chunk_ids": f"SELECT printf('%d-chunk-%03d', doc_id, chunk_order_index) AS id, doc_id, tokens FROM ({_window_sql(SIZE, OVERLAP)})",
     "c10_spans": f'SELECT doc_id, chunk_order_index, start, start + tokens AS "end" FROM ({_window_sql(SIZE, OVERLAP)})',
     "c11_rerank_windows": f"SELECT doc_id, chunk_order_index, CAST(ceil(length(content) / 4.0) AS INTEGER) AS tokens FROM ({_window_sql(1920, 128)})",
+    "c12_all_surroundings": "SELECT doc_id, i AS item, substr(text, greatest(1, p - 99), least(100, p)) AS leading, substr(text, p + 1, 100) AS trailing FROM (SELECT doc_id, text, i, length(array_to_string(ps[1:i], 'Table ')) AS p FROM (SELECT doc_id, text, ps, unnest(range(1, len(ps))) AS i FROM (SELECT doc_id, text, string_split(text, 'Table ') AS ps FROM documents WHERE text IS NOT NULL)))",
     "c12_surroundings": "SELECT doc_id, substr(text, greatest(1, p - 99), least(100, p)) AS leading, substr(text, p + 1, 100) AS trailing FROM (SELECT doc_id, text, strpos(text, 'Table ') - 1 AS p FROM documents WHERE strpos(text, 'Table ') > 0)",
     "f01_parse": f"WITH {NODE_SQL}, {EDGE_SQL} SELECT key, 4 AS n, 'entity' AS what FROM nn WHERE id IS NOT NULL UNION ALL SELECT key, 5, 'relation' FROM ee",
     "f02_entities": f"WITH {NODE_SQL} {_ENT}",

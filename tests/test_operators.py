@@ -178,3 +178,9 @@ def test_maintenance(spark, rows):
 def test_results_do_not_depend_on_partitions(spark, small, rows):
     nodes, pairs = small
     assert rows(graph.with_degree(nodes, pairs.repartition(7, "b"))) == rows(graph.with_degree(nodes, pairs.coalesce(1)))
+
+
+def test_surroundings_of_every_mention(spark, rows):
+    d = spark.createDataFrame([("a", "Table 1 and Table 2, then " + "x" * 300 + "Table Table 3"), ("b", "none"), ("c", None), ("d", "ends with Table ")], "doc_id string, text string")
+    got = rows(chunking.mentions_around(d, "doc_id", "text", "Table ", 20))
+    assert got == [("a", 1, "", "Table 1 an"), ("a", 2, "ble 1 and ", "Table 2, t"), ("a", 3, "x" * 10, "Table Tabl"), ("a", 4, "xxxxTable ", "Table 3"), ("d", 1, "ends with ", "Table ")]
