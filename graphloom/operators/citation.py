@@ -73,6 +73,47 @@ def cheapest(links: DataFrame, start: int, hops: int) -> DataFrame:
     return best
 
 
+def cheapest_paths(links: DataFrame, start: int, target: int, k: int, hops: int) -> DataFrame:
+    """(pos, cost, hops, path): up to k cheapest paths of at most so many hops between two papers, each without the inner papers of
+    those before. Entering a paper costs 1 + log2(1 + degree) / 2, entering the target 1. Each hop is one join of the frontier with
+    the links; its rows carry their paths. A paper's dearer state stays if it has fewer hops, and states that can no longer
+    undercut the target's cost end. Of equal costs the path with the smaller ids is taken. links: x, y."""
+    spark = links.sparkSession
+    adj = symmetric(links.select("x", "y")).where("node <> nbr").distinct()
+    toll = adj.groupBy("node").agg((1 + 0.5 * F.log2(1 + F.count("*"))).alias("toll"))
+    priced = cut(adj.join(toll.withColumnRenamed("node", "nbr"), "nbr").select("node", "nbr", F.when(F.col("nbr") == target, 1.0).otherwise(F.col("toll")).alias("toll")))
+    found: list[tuple[int, float, int, list[int]]] = []
+    banned: set[int] = set()
+    direct = False
+    while start != target and len(found) < k:
+        use = priced.where(~F.col("nbr").isin([start, *sorted(banned)]))
+        if direct:
+            use = use.where((F.col("node") != start) | (F.col("nbr") != target))
+        front = spark.createDataFrame([(start, 0.0, [start])], "node long, cost double, path array<long>")
+        settled, best = front.select("node", "cost"), None
+        for _ in range(hops):
+            step = front.join(use, "node").select(F.col("nbr").alias("node"), (F.col("cost") + F.col("toll")).alias("cost"), F.concat("path", F.array("nbr")).alias("path"))
+            step = step.groupBy("node").agg(F.min(F.struct("cost", "path")).alias("b")).select("node", "b.cost", "b.path")
+            # a state with as little cost and fewer hops is better
+            step = cut(step.join(settled.withColumnRenamed("cost", "before"), "node", "left").where("before is null or cost < before").drop("before"))
+            end = step.where(F.col("node") == target).first()
+            if end is not None and (best is None or end["cost"] < best["cost"]):
+                best = end
+            front = step.where(F.col("node") != target)
+            if best is not None:
+                front = front.where(F.col("cost") + 1 < best["cost"])
+            if front.isEmpty():
+                break
+            settled = cut(settled.unionByName(step.select("node", "cost")).groupBy("node").agg(F.min("cost").alias("cost")))
+        if best is None:
+            break
+        inner = best["path"][1:-1]
+        direct = direct or not inner
+        banned.update(inner)
+        found.append((len(found) + 1, best["cost"], len(best["path"]) - 1, list(best["path"])))
+    return spark.createDataFrame(found, "pos int, cost double, hops int, path array<long>")
+
+
 def paper_map(links: DataFrame, seed: int, n: int) -> DataFrame:
     """(node, hop, strength) around a seed: first neighbours by weight, second ones by strength * weight / log2(2 + degree)."""
     adj = symmetric(links, "weight").where(F.col("node") != F.col("nbr"))

@@ -10,7 +10,7 @@ from graphloom.operators import citation, evaluation, lifecycle, maintenance, re
 from graphloom.plans.graph_queries import ALL_SQL, LIST_SQL, names, pairs
 from graphloom.sources.tables import table, unique
 
-PAPER, TOPIC = 1, "STANDARD"
+PAPER, OTHER, TOPIC = 1, 100, "STANDARD"
 
 
 def lists(spark: SparkSession, d: str) -> DataFrame:
@@ -66,6 +66,11 @@ def z05_cheapest(spark, d):
     return citation.cheapest(links(spark, d), PAPER, 2).select("node", F.round("cost", 6).alias("cost"), "hops")
 
 
+def z05_paths(spark, d):
+    """The three cheapest paths between two papers, of six hops at most."""
+    return citation.cheapest_paths(links(spark, d), PAPER, OTHER, 3, 6).select("pos", F.round("cost", 6).alias("cost"), "hops", "path")
+
+
 def z06_map(spark, d):
     return citation.paper_map(links(spark, d), PAPER, 20).select("node", "hop", F.round("strength", 6).alias("strength"))
 
@@ -258,7 +263,7 @@ _TFIDF = (
 )
 _KEY = "CASE WHEN length(id) % 2 = 0 THEN 'mix:query:' ELSE 'default:extract:' END || md5(id)"
 
-QUERIES = {f.__name__: f for f in (z01_coupling, z02_related, z03_topic_papers, z04_topic_search, z05_cheapest, z06_map, z07_thinned, z08_link_weights, z09_dois, r09_find_works, r10_mentions, r31_citation_line, r32_paper_search, r33_passages, r34_linking_names, p01_enqueue, p02_moves, p03_keyset_page, p04_offset_page, p05_conflicts, p06_delete_document, p08_resumable, s08_upsert, s08_missing_keys, s09_rows, s14_first_contexts, s16_noop, e01_tfidf, e02_terms, e03_measures, m01_rebuild_vectors, m02_clean_cache, m03_copy_cache, m04_clear_workspace, j06_unseen, j10_anchor_gaps, j11_tracking_repair, j12_live_references)}
+QUERIES = {f.__name__: f for f in (z01_coupling, z02_related, z03_topic_papers, z04_topic_search, z05_cheapest, z05_paths, z06_map, z07_thinned, z08_link_weights, z09_dois, r09_find_works, r10_mentions, r31_citation_line, r32_paper_search, r33_passages, r34_linking_names, p01_enqueue, p02_moves, p03_keyset_page, p04_offset_page, p05_conflicts, p06_delete_document, p08_resumable, s08_upsert, s08_missing_keys, s09_rows, s14_first_contexts, s16_noop, e01_tfidf, e02_terms, e03_measures, m01_rebuild_vectors, m02_clean_cache, m03_copy_cache, m04_clear_workspace, j06_unseen, j10_anchor_gaps, j11_tracking_repair, j12_live_references)}
 # names of lifecycle operators begin like those of the numbered problems, so they are registered under another prefix
 for _name in [k for k in QUERIES if k.startswith("p0")]:
     QUERIES[f"d{_name[1:]}"] = QUERIES.pop(_name)

@@ -184,3 +184,30 @@ def test_surroundings_of_every_mention(spark, rows):
     d = spark.createDataFrame([("a", "Table 1 and Table 2, then " + "x" * 300 + "Table Table 3"), ("b", "none"), ("c", None), ("d", "ends with Table ")], "doc_id string, text string")
     got = rows(chunking.mentions_around(d, "doc_id", "text", "Table ", 20))
     assert got == [("a", 1, "", "Table 1 an"), ("a", 2, "ble 1 and ", "Table 2, t"), ("a", 3, "x" * 10, "Table Tabl"), ("a", 4, "xxxxTable ", "Table 3"), ("d", 1, "ends with ", "Table ")]
+
+
+def test_cheapest_paths(spark):
+    """Against every simple path by brute force; the later paths avoid the inner nodes of those before."""
+    import itertools
+    import math
+    import random
+
+    rng = random.Random(5)
+    edges = {tuple(sorted(rng.sample(range(12), 2))) for _ in range(22)} | {(0, 11)}
+    adj = {n: {b if a == n else a for a, b in edges if n in (a, b)} for n in range(12)}
+    toll = {n: 1 + 0.5 * math.log2(1 + len(adj[n])) for n in adj}
+    want, banned, direct = [], set(), False
+    for _ in range(3):
+        ways = [(0, *inner, 11) for n in range(4) for inner in itertools.permutations(sorted(set(range(1, 11)) - banned), n)]
+        ways = [w for w in ways if all(b in adj[a] for a, b in zip(w, w[1:], strict=False)) and not (direct and len(w) == 2)]
+        if not ways:
+            break
+        best = min(ways, key=lambda w: (round(sum(toll[n] for n in w[1:-1]) + 1, 9), w))
+        want.append((round(sum(toll[n] for n in best[1:-1]) + 1, 6), len(best) - 1))
+        direct = direct or len(best) == 2
+        banned |= set(best[1:-1])
+    links = spark.createDataFrame(sorted(edges), "x long, y long")
+    got = citation.cheapest_paths(links, 0, 11, 3, 4).orderBy("pos").collect()
+    assert [(round(r.cost, 6), r.hops) for r in got] == want and len(want) > 1
+    assert all(b in adj[a] for r in got for a, b in zip(r.path, r.path[1:], strict=False))
+    assert citation.cheapest_paths(links, 0, 0, 3, 4).count() == 0
