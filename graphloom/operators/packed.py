@@ -4,6 +4,7 @@ A dialect is a set of delimiters with a quote sign. Every field is parsed under
 a parse costs the code lengths of its values and of its separators. A value that the corpus holds elsewhere costs
 -log2 of its share of the code book (counted over the whole corpus by one distributed aggregation); any other value is
 spelled out and costs more, most of all if it lacks the form of its field. The cheapest parse wins, ties to fewer values.
+Fields whose outcome no code book can change (one kind of separator, no quotes, all values well-formed) are not priced.
 
 Cases: a null field has no values; an empty or blank one has none either; values that are blank between two delimiters are
 dropped and positions count the rest from 1; equal rows give equal values; quotes that never close are ordinary signs.
@@ -39,7 +40,7 @@ _SENTINEL = re.compile(r"[A-Za-z][A-Za-z_]*\Z")
 _FILE = re.compile(r"[^\n\t]*\.[A-Za-z][A-Za-z0-9]{1,4}\Z")
 _FILE_INSIDE = re.compile(r"\.[A-Za-z][A-Za-z0-9]{1,4}\s*(?:<SEP>|[;；,，、|\n\t\"'])", re.I)
 _WORDS = re.compile(r"[^\W_][^;；，、|\n\t\"'\[\]<>]*\Z")
-_SIGNS = re.compile(r"<sep>|[;；，、|\n\t\"]", re.I)
+_SIGNS = re.compile(r"<sep>|[;；,，、|\n\t\"]", re.I)
 
 
 def well_formed(kind: str, value: str) -> bool:
@@ -106,17 +107,12 @@ def parses(text: str) -> list[list[str]]:
     if not there:
         return out
     quotes: list[str | None] = [None, *(q for q in QUOTES if q in body)]
-    for n in range(1, min(len(there), 3) + 1):
+    for n in range(1, len(there) + 1):
         for chosen in itertools.combinations(there, n):
             for q in quotes:
                 items = split(body, chosen, q)
                 if items and items not in out:
                     out.append(items)
-    if len(there) > 3:
-        for q in quotes:
-            items = split(body, tuple(there), q)
-            if items and items not in out:
-                out.append(items)
     return out
 
 
@@ -128,7 +124,9 @@ def spelled(kind: str, value: str) -> float:
 
 def evident(kind: str, text: str) -> list[str] | None:
     """The values of a field that needs no pricing: no quote or bracket, at most one kind of separator, and all values well-formed.
-    Its other parses are always dearer, for each separator that stays in a value costs more than a new value."""
+    Its only other parse leaves the field whole, with all its separators in one malformed value. Each of k separators then costs
+    MALFORMED_BITS, against NEW_BITS and SEPARATOR_BITS for a further value, so the whole is dearer whatever the code book holds
+    (``priced`` gives the same answer, which the tests compare)."""
     if _QUOTED.search(text):
         return None
     found = {m.lower() for m in _ANY.findall(text)}
@@ -145,8 +143,11 @@ def candidates(kind: str, text: str | None) -> list[tuple[list[str], list[float]
     if text is None:
         return []
     plain = evident(kind, text)
-    if plain:
-        return [(plain, [0.0] * len(plain))]
+    return [(plain, [0.0] * len(plain))] if plain else priced(kind, text)
+
+
+def priced(kind: str, text: str) -> list[tuple[list[str], list[float]]]:
+    """``candidates`` of a field by the costs of all its parses."""
     found = []
     for items in parses(text):
         bits = [spelled(kind, v) for v in items]
@@ -158,7 +159,7 @@ def candidates(kind: str, text: str | None) -> list[tuple[list[str], list[float]
     return [(items, bits) for low, high, items, bits in found if low <= best]
 
 
-_PARSED = "tbl string, gid long, field string, k int, n int, items array<string>, bits array<double>"
+_PARSED = "tbl string, gid long, field string, k int, n int, likely boolean, items array<string>, bits array<double>"
 
 
 def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -166,8 +167,9 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for tbl, gid, field, packed in zip(b["tbl"], b["gid"], b["field"], b["packed"], strict=True):
             c = candidates(field, packed)
-            rows += [(tbl, gid, field, k, len(c), items, bits) for k, (items, bits) in enumerate(c)]
-        yield pd.DataFrame(rows, columns=["tbl", "gid", "field", "k", "n", "items", "bits"])
+            best = min(range(len(c)), key=lambda k: (sum(c[k][1]) + SEPARATOR_BITS * len(c[k][0]), len(c[k][0]), k), default=-1)
+            rows += [(tbl, gid, field, k, len(c), k == best, items, bits) for k, (items, bits) in enumerate(c)]
+        yield pd.DataFrame(rows, columns=["tbl", "gid", "field", "k", "n", "likely", "items", "bits"])
 
 
 def keywords_of(properties: Column) -> Column:
@@ -185,13 +187,15 @@ def fields_of(df: DataFrame, tbl: str, only: tuple[str, ...] = ("source_id", "fi
 def parse_packed(fields: DataFrame) -> DataFrame:
     """(tbl, gid, field, items): the chosen parse of every field. ``fields`` has tbl, gid, field, packed and one row per field.
 
-    Texts are parsed once, into a table. The code book is one partially aggregated count of values; fields that only one parse can win
-    never meet it, so only the truly ambiguous ones are shuffled."""
+    Texts are parsed once, into a table. The code book is one partially aggregated count of the values of all fields, of an ambiguous
+    one by its parse that is cheapest without a code book; fields that only one parse can win never meet the book, so only the
+    truly ambiguous ones are shuffled."""
     parsed = cut(fields.mapInPandas(_parse_batches, _PARSED))
     sure = parsed.where("n = 1").select("tbl", "gid", "field", "items")
-    book = sure.select("field", F.explode("items").alias("value")).groupBy("field", "value").agg(F.count("*").alias("c")).where("c > 1")
+    likely = parsed.where("likely")
+    book = likely.select("field", F.explode("items").alias("value")).groupBy("field", "value").agg(F.count("*").alias("c")).where("c > 1")
     # one total for each kind of field: three rows, so their broadcast is bounded
-    total = sure.groupBy("field").agg(F.sum(F.size("items")).alias("total"))
+    total = likely.groupBy("field").agg(F.sum(F.size("items")).alias("total"))
     book = book.join(F.broadcast(total), "field").select("field", "value", (-F.log2(F.col("c") / F.col("total"))).alias("code"))
     open_ = parsed.where("n > 1").select("tbl", "gid", "field", "k", F.posexplode(F.arrays_zip("items", "bits")).alias("pos", "x"))
     open_ = open_.select("tbl", "gid", "field", "k", "pos", F.col("x.items").alias("value"), F.col("x.bits").alias("spelled"))

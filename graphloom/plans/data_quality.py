@@ -42,9 +42,12 @@ def _orphans(spark: SparkSession, d: str) -> DataFrame:
         "tbl", "row_key", "e.field", "e.ref_key", "updated_at"
     ).where("ref_key is not null")
     nodes = unique(spark, d, "graph_nodes", "gid", "id", "created_at").select(F.col("id").alias("key"), "created_at")
-    n = references.ranges_for(spark, table(spark, d, "text_chunks").count())
-    a = references.dangling(chunk_refs, chunks.groupBy("key").agg(F.min("created_at").alias("created_at")), "chunk", n)
-    b = references.dangling(node_refs, nodes.groupBy("key").agg(F.min("created_at").alias("created_at")), "node", n)
+    # keys of each kind, missing ones among them, from the columns alone
+    chunk_keys = references.count_keys(values.select("ref_key"), from_lists.select("ref_key"), table(spark, d, "text_chunks").select("id"))
+    edge = table(spark, d, "graph_edges")
+    node_keys = references.count_keys(edge.select(F.explode(F.array("src_id", "tgt_id"))), table(spark, d, "graph_nodes").select("id"))
+    a = references.dangling(chunk_refs, chunks.groupBy("key").agg(F.min("created_at").alias("created_at")), "chunk", chunk_keys)
+    b = references.dangling(node_refs, nodes.groupBy("key").agg(F.min("created_at").alias("created_at")), "node", node_keys)
     a = references.explain_missing(a, deletions, "doc_status", F.regexp_extract("ref_key", r"^(doc-[0-9a-f]{32})-chunk-", 1))
     b = references.explain_missing(b, deletions, "graph_nodes", F.col("ref_key"))
     return a.unionByName(b)

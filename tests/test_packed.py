@@ -1,3 +1,9 @@
+import json
+import os
+import random
+
+import pandas as pd
+
 from graphloom.operators import packed
 
 A, B, C = (f"doc-{c * 32}-chunk-00{i}" for i, c in enumerate("abc"))
@@ -41,8 +47,32 @@ def test_table(spark, rows):
     assert packed.values_of(packed.parse_packed(fields.limit(0))).count() == 0
 
 
-def test_evident_agrees_with_the_parser():
-    for t in (f"{A}<SEP>{B}", f"{A};{B}", f"{A}; {B}|{C}", "UNKNOWN", "", " ", f"<SEP>{A}", "x;y"):
-        plain = packed.evident("source_id", t)
-        found = [(i, sum(packed.spelled("source_id", v) for v in i) + len(i)) for i in packed.parses(t)]
-        assert plain is None or plain == min(found, key=lambda x: x[1])[0]
+def test_lists_of_any_length_and_mixed_separators():
+    refs = [f"doc-{i:032x}-chunk-{i:03d}" for i in range(50)]
+    for n in (2, 3, 6, 7, 20, 50):
+        for a in packed.SEPARATORS:
+            assert best("source_id", a.join(refs[:n])) == refs[:n], (n, a)
+            for b in (";", ",", "|", "<SEP>"):
+                assert best("source_id", a.join(refs[: n - 1]) + b + refs[n - 1]) == refs[:n], (n, a, b)
+    assert best("source_id", ",".join(refs[:6]) + "; " + refs[6]) == refs[:7]
+    assert best("source_id", f"{A};{B}|{C},{refs[0]}<SEP>{refs[1]}\n{refs[2]}") == [A, B, C, *refs[:3]]
+    assert best("properties", "reef; coral|tide\nkelp、sand") == ["reef", "coral", "tide", "kelp", "sand"]
+
+
+def test_evident_agrees_with_the_prices():
+    """Wherever a field goes unpriced, pricing leaves that parse alone in the race whatever the code book holds."""
+    rng, n = random.Random(5), 0
+    words = {"source_id": [A, B, C, "UNKNOWN"], "file_path": ["a, b.pdf", "Report x.docx", "unknown_source"], "properties": ["reef", "deep, sea", "a b", "x"]}
+    fields = [(kind, rng.choice(["", " "]) + s.join(rng.choice(w) for _ in range(rng.randint(1, 12)))) for kind, w in words.items() for s in packed.SEPARATORS for _ in range(60)]
+    for d in ("/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        for t in ("graph_nodes", "graph_edges"):
+            if os.path.exists(f"{d}/{t}.parquet"):
+                p = pd.read_parquet(f"{d}/{t}.parquet", columns=["source_id", "file_path", "properties"])
+                p["properties"] = [json.loads(x).get("keywords") if x else None for x in p["properties"]]
+                fields += [(k, x) for k in p for x in set(p[k].dropna())]
+    for kind, text in fields:
+        plain = packed.evident(kind, text)
+        if plain:
+            n += 1
+            assert [items for items, _ in packed.priced(kind, text)] == [plain], (kind, text)
+    assert n > 300
