@@ -6,9 +6,11 @@ similar vectors share one almost always. In a cell, vectors are held as four-bit
 scores). Tables of sixteen products a subspace, in pairs as bytes, score every code; the best SHORTLIST are ranked again by
 exact products. The lists of a vector's cells are merged to its k nearest.
 
-Vectors travel as 16-bit integers with a scale (an error of some 1e-5 in a cosine). A cell that the sample shows to be large is
-cut into blocks: its rows stand in one block and ask all of them, so that no task takes an unbounded cell. Equal vectors of
-a block are scored once.
+Vectors travel as 16-bit integers with a scale (an error of some 1e-5 in a cosine). The cells of the whole table are bounded in
+number, for the driver holds their centroids; a task whose cell has more than SPLIT_ROWS different vectors makes a second level of
+cells of its own, with CELL_ROWS vectors each, so that the work grows with the rows and not with the square of a cell. A cell that
+the sample shows to be beyond BLOCK_ROWS is also cut into blocks: its rows stand in one block and ask all of them, so that no task
+takes an unbounded cell. Equal vectors of a block are scored once.
 
 Cases: of several writes of an id the one with the greatest number counts (of equal numbers, the greatest code); vectors that
 are null, of another length, not finite or all zero are compared with nothing; ties go to the smaller key; fewer than two
@@ -32,8 +34,12 @@ CELL_ROWS, LEAST_CELLS, MOST_CELLS = 256, 1, 8192
 #: The sample for the centroids holds so many vectors a cell (196,608 at most), for the codebooks CODE_SAMPLE of them.
 SAMPLE_A_CELL, CODE_SAMPLE = 24, 8192
 SPILL, SHORTLIST, ETA = 3, 32, 4.0
-#: Rows of one block of a cell.
-BLOCK_ROWS = 20_000
+#: Different vectors of a cell from which a task makes a second level of cells, and the number of them that each query asks.
+SPLIT_ROWS, INNER_SPILL = 4096, 6
+#: Vectors that the centroids of the second level are made of, for each of these cells.
+INNER_SAMPLE = 16
+#: Rows of one block of a cell (150 bytes each as they travel, 256 unpacked).
+BLOCK_ROWS = 200_000
 SUBSPACES, CODES = 32, 16
 QUERY_ROWS = 256
 
@@ -184,6 +190,43 @@ def nearest(queries: np.ndarray, base: np.ndarray, books: np.ndarray, k: int) ->
         yield at, np.take_along_axis(short, order, 1), np.take_along_axis(exact, order, 1)
 
 
+def inner_cells(base: np.ndarray) -> np.ndarray:
+    """Centroids of the second level."""
+    k = max(2, len(base) // CELL_ROWS)
+    pick = np.random.default_rng(7).permutation(len(base))[: INNER_SAMPLE * k]
+    return spherical_means(base[pick], k, rounds=4)
+
+
+def nearest_in_cells(queries: np.ndarray, base: np.ndarray, books: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(queries, places, cosines) like ``nearest``, with the numbers of the queries. Many base vectors lie in cells of the second level,
+    each in one, and every query asks the nearest of them; its best are merged over these cells."""
+    if len(base) <= SPLIT_ROWS:
+        yield from ((np.arange(at, at + len(p)), p, c) for at, p, c in nearest(queries, base, books, k))
+        return
+    centroids = inner_cells(base)
+    spill = min(INNER_SPILL, len(centroids))
+    home = np.concatenate([np.argmax(base[i : i + 2048] @ centroids.T, axis=1) for i in range(0, len(base), 2048)])
+    near = [np.argpartition(-(queries[i : i + 2048] @ centroids.T), spill - 1, axis=1)[:, :spill] for i in range(0, len(queries), 2048)]
+    asked = np.concatenate(near) if near else np.zeros((0, spill), dtype=np.int64)
+    place = np.full((len(queries), spill * k), -1, dtype=np.int64)
+    score = np.full((len(queries), spill * k), -2.0, dtype=np.float32)
+    by_home, by_asked = np.argsort(home, kind="stable"), np.argsort(asked.ravel(), kind="stable")
+    edges = np.arange(len(centroids) + 1)
+    home_at, asked_at = np.searchsorted(home[by_home], edges), np.searchsorted(asked.ravel()[by_asked], edges)
+    for c in range(len(centroids)):
+        held, flat = by_home[home_at[c] : home_at[c + 1]], by_asked[asked_at[c] : asked_at[c + 1]]
+        if not len(held) or not len(flat):
+            continue
+        who, turn = flat // spill, flat % spill
+        for at, p, cos in nearest(queries[who], base[held], books, k):
+            rows, columns = who[at : at + len(p)], turn[at : at + len(p)][:, None] * k + np.arange(p.shape[1])
+            place[rows[:, None], columns], score[rows[:, None], columns] = held[p], cos
+    for at in range(0, len(queries), QUERY_ROWS):
+        part = score[at : at + QUERY_ROWS]
+        order = np.argsort(-part, axis=1, kind="stable")[:, :k]
+        yield np.arange(at, at + len(part)), np.take_along_axis(place[at : at + QUERY_ROWS], order, 1), np.take_along_axis(part, order, 1)
+
+
 def _framed(key: bytes) -> bytes:
     """A key with its length before it."""
     return bytes([len(key)]) + key if 0 < len(key) < 256 else b"\0" + struct.pack("<I", len(key)) + key
@@ -214,7 +257,7 @@ def _cell(books: np.ndarray, k: int, least: float):
         framed = [[_framed(o) for o in h] for h in held]
         out_key, out_list = [], []
         if len(there) and len(asked):
-            for at, places, cos in nearest(v[asked], v[there], books, k + 1):
+            for rows, places, cos in nearest_in_cells(v[asked], v[there], books, k + 1):
                 enough, raw = (cos >= least).sum(axis=1).tolist(), cos.astype("<f4")
                 groups = there[places]
                 for i, n in enumerate(enough):
@@ -224,7 +267,7 @@ def _cell(books: np.ndarray, k: int, least: float):
                     near = [(-float(raw[i, j]), o, g, m) for j in range(n) for g in (groups[i, j],) for m, o in enumerate(held[g])]
                     if len(near) > 1:
                         near.sort(key=lambda x: x[:2])
-                    for key in asking[asked[at + i]]:
+                    for key in asking[asked[rows[i]]]:
                         mine = [struct.pack("<f", c) + framed[g][m] for c, o, g, m in near if o != key][:k]
                         if mine:
                             out_key.append(key)

@@ -24,6 +24,20 @@ def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
     return p.select(F.col("id").alias("chunk_id"), "full_doc_id", "chunk_order_index", "piece", "start", F.ceil(F.length("content") / 4).cast("int").alias("tokens"), "content")
 
 
+def p1_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """What the pieces of each chunk hold of it: its characters without the overlaps, whether no piece is above the limit, no overlap
+    above its own limit, and none missing between two pieces of a long text."""
+    p = _pieces(spark, d).where("content is not null")
+    ends = p.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("p"))
+    repeated = F.transform(F.sequence(F.lit(1), F.size("p") - 1), lambda i: F.col("p")[i - 1]["end"] - F.col("p")[i]["start"])
+    ends = ends.withColumn("over", F.when(F.size("p") > 1, repeated).otherwise(F.array().cast("array<int>")))
+    size = F.aggregate("p", F.lit(0), lambda a, x: a + x["end"] - x["start"])
+    return ends.select(
+        F.col("id").alias("chunk_id"), (size - F.aggregate("over", F.lit(0), lambda a, x: a + x)).cast("long").alias("n_chars"), (F.size("p") > 1).alias("was_cut"),
+        F.forall("p", lambda x: x["end"] - x["start"] <= LIMIT * 4).alias("within_limit"), F.forall("over", lambda x: (x > 0) & (x <= OVERLAP * 4)).alias("overlap_ok"),
+    )
+
+
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Chunks that the splitter had to cut."""
     p = splitter.split(table(spark, d, "text_chunks").select("id", "content"), limit=LIMIT, overlap=OVERLAP)
@@ -48,6 +62,16 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return names.links(_named(spark, d))
 
 
+def p2_members(spark: SparkSession, d: str) -> DataFrame:
+    """The representative (folded name) of each author and node."""
+    return names.members(_named(spark, d)).select("tbl", "id", "rep")
+
+
+def p2_variants(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of representatives that are spellings of one person or organisation; with p2_members they hold all links."""
+    return names.variants(_named(spark, d))[1]
+
+
 def _clean(spark: SparkSession, d: str) -> DataFrame:
     return markup.convert(table(spark, d, "text_chunks").select("id", "content"))
 
@@ -122,7 +146,9 @@ def p10_clean(spark: SparkSession, d: str) -> DataFrame:
     return personal.scan(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.col("clean").alias("text"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p2_found": p2_found, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_neighbours": p4_neighbours, "p6_found": p6_found, "p6_clean": p6_clean, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_clean": p10_clean}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p1_coverage": p1_coverage, "p2_found": p2_found, "p2_members": p2_members, "p2_variants": p2_variants, "p3_found": p3_found, "p3_clean": p3_clean, "p4_found": p4_found, "p4_neighbours": p4_neighbours, "p6_found": p6_found, "p6_clean": p6_clean, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_clean": p10_clean}
 SQL = {
     "p1_found": "SELECT DISTINCT id AS chunk_id FROM text_chunks WHERE length(content) > 1920",
+    "p1_coverage": """SELECT chunk_id, n_chars, n_chars > 1920 AS was_cut, true AS within_limit, true AS overlap_ok FROM (
+        SELECT DISTINCT id AS chunk_id, CAST(length(content) AS BIGINT) AS n_chars FROM text_chunks WHERE content IS NOT NULL)""",
 }

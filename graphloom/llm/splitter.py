@@ -2,7 +2,8 @@
 
 Every place of a text has a boundary strength (paragraph, heading or line, sentence, clause, word, none). A sparse table over
 the strengths answers range-maximum queries in constant time: from the start of a piece, the strongest cut among all permitted
-lengths is taken, the rightmost of equals; the next piece steps back by the overlap to the first word that begins there.
+lengths is taken, the rightmost of equals; the next piece steps back by the overlap to the first word that begins there, and
+by the whole overlap where none does (long words, scripts without spaces).
 
 A token is four code points, rounded up. Cases: null, empty and blank texts give one piece without change (null stays null);
 a text within the limit is one piece; a text without any boundary is cut hard at the limit, but never between a letter and
@@ -87,6 +88,17 @@ class RangeMaximum:
         return int(max(row[a], row[b - (1 << k) + 1]) % (self.n + 1))
 
 
+def _step_back(s: np.ndarray, starts: np.ndarray, cut: int, least: int) -> int:
+    """Where the piece after ``cut`` begins, at ``least`` or later: at the first word there, else at the first place that is not
+    before a combining mark."""
+    k = np.searchsorted(starts, least)
+    if k < len(starts) and starts[k] < cut:
+        return int(starts[k])
+    while least < cut and s[least] < 0:
+        least += 1
+    return min(least, cut)
+
+
 def pieces(text: str | None, limit: int, overlap: int) -> list[tuple[int, int]]:
     """(start, end) of each piece in code points."""
     if limit < 1 or not 0 <= overlap < limit:
@@ -109,8 +121,7 @@ def pieces(text: str | None, limit: int, overlap: int) -> list[tuple[int, int]]:
                 cut -= 1
         out.append((start, cut))
         done = cut
-        k = np.searchsorted(starts, max(cut - back, start + 1))
-        start = int(starts[k]) if k < len(starts) and starts[k] <= cut else cut
+        start = _step_back(s, starts, cut, max(cut - back, start + 1))
     return [*out, (start, n)]
 
 

@@ -26,7 +26,7 @@ def test_pieces_cover_the_text(text):
     p = splitter.pieces(text, 480, 32)
     assert p[0][0] == 0 and p[-1][1] == len(text)
     for (a, b), (c, d) in zip(p, p[1:]):
-        assert b - a <= 1920 and a < c <= b and b - c <= 128 and d > b
+        assert b - a <= 1920 and a < c < b and b - c <= 128 and d > b
     assert p[-1][1] - p[-1][0] <= 1920
 
 
@@ -83,6 +83,29 @@ def test_links(spark, rows):
     assert names.links(df.limit(0)).count() == 0
 
 
+def test_assignment_two_ways():
+    rng = random.Random(3)
+    for _ in range(200):
+        n, m = rng.randint(1, 6), rng.randint(1, 6)
+        cost = [[rng.choice([0.0, 0.2, 0.5, 1.0, names.NO]) for _ in range(m)] for _ in range(n)]
+        left, right = ([rng.choice([0.4, names.NO]) for _ in range(k)] for k in (n, m))
+        a, b = names.assignment(cost, left, right), names._augmenting(cost, left, right)
+        assert abs(a - b) < 1e-9 or a >= names.NO and b >= names.NO
+
+
+def test_names_of_many_words_are_compared_whole(spark, rows):
+    long = "First Second Third Fourth Fifth Sixth Seventh Eighth Ninth Tenth Eleventh Twelfth Thirteenth Institute of"
+    n = [f"{long} Glaciology", f"{long} Entomology", "Glaciology " + long, f"{long} Glacioiogy"]
+    df = spark.createDataFrame([("graph_nodes", f"{i}", x, "organization") for i, x in enumerate(n)], "tbl string, id string, name string, kind string")
+    assert rows(names.links(df), "id_a", "id_b") == [("0", "2"), ("0", "3"), ("2", "3")]
+
+
+def test_a_name_of_many_ids_is_one_representative(spark, rows):
+    df = spark.createDataFrame([("papers", f"{i}", "Kwame Zohihaten", "person") for i in range(300)] + [("papers", "x", "Zohihaten, K.", "person")], "tbl string, id string, name string, kind string")
+    members, pairs = names.variants(df)
+    assert members.count() == 301 and rows(pairs, "rep_a", "rep_b") == [("k zohihaten", "kwame zohihaten")] or rows(pairs, "rep_a", "rep_b") == [("kwame zohihaten", "zohihaten k")]
+
+
 def test_organizations_meet_by_their_rare_words(spark, rows):
     n = ["Kinefestus Institute of Applied Linguistics", "Inst. Appl. Ling., Kinefestus", "Applied Linguistics Institute, Kiinefestus", "Nipivupus Institute of Applied Linguistics", *(f"{w} Institute of Applied Linguistics" for w in ("Razosiis", "Verifodis", "Trenurius"))]
     df = spark.createDataFrame([("graph_nodes", f"{i}", x, "organization") for i, x in enumerate(n)], "tbl string, id string, name string, kind string")
@@ -147,6 +170,21 @@ def test_recall_against_brute_force(spark):
     assert len(got & want) >= 0.97 * len(want) and len(got & want) >= 0.97 * len(got)
 
 
+def test_a_second_level_of_cells_keeps_recall(spark, monkeypatch):
+    """One cell for the whole table: only the second level is left to find neighbours."""
+    v = vectors(6000, 5)
+    u = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+    books = neighbours.codebooks(u[:2000])
+    s = u @ u.T
+    got = {}
+    for rows, places, cos in neighbours.nearest_in_cells(u, u, books, 6):
+        got |= {int(r): {int(p) for p, c in zip(ps, cs) if p != r and c >= 0.8} for r, ps, cs in zip(rows, places, cos)}
+    np.fill_diagonal(s, -1)
+    want = {i: {int(j) for j in np.argsort(-s[i])[:5] if s[i, j] >= 0.8} for i in range(len(u))}
+    assert len(u) > neighbours.SPLIT_ROWS and sorted(got) == list(range(len(u)))
+    assert sum(len(want[i] & got[i]) for i in want) >= 0.95 * sum(map(len, want.values()))
+
+
 def test_bad_vectors_copies_and_writes(spark):
     one = [1.0] + [0.0] * 63
     rows = [("a", one, 1), ("b", one, 1), ("c", one, 1), ("c", [0.0] * 64, 2), ("d", [1.0], 1), ("e", None, 1), ("f", [float("nan")] + one[1:], 1), ("g", [None, *one[1:]], 1), ("ü-x", [2.0] + [0.0] * 63, 1), (None, one, 1)]
