@@ -1,11 +1,13 @@
 """Repair of text read from scanned pages: page furniture, words cut over two lines, and misread words.
 
-Furniture is found line by line: printed page numbers, and running titles by their forms (series with volume, proceedings,
-chapter, letter-spaced or capital titles, ``Name: subject``) or because a title-like line comes back in another chunk of the
-same file. Half words are joined over line ends, also across furniture, unless the corpus writes the compound with its hyphen.
-Words unknown to the corpus's vocabulary meet a trie of the known ones: a bit-parallel Levenshtein automaton walks the trie and
-returns every known word in reach; those whose differences are all confusions of similar shapes are candidates, and the
-preceding word (by pair counts of the corpus), then frequency, ranks them.
+Furniture is found line by line: printed page numbers, and running titles. Series with volume, proceedings and letter-spaced
+titles are running titles by their form. Forms that headings share (chapter, capitals, ``Name: subject``) need evidence of the page
+besides: a page number on or beside the line, a sentence that goes on across it, an edge of a page of wrapped or misread lines; and
+any title-like line is one if it comes back in another chunk of the same file. Other headings stay. Half words are joined over line
+ends, also across furniture, unless the corpus writes the compound with its hyphen.
+Tokens meet a trie of the known words that can begin like them: a bit-parallel Levenshtein automaton walks the trie and returns
+every known word in reach; those whose differences are all confusions of similar shapes are candidates, and the preceding word (by
+pair counts of the corpus), then frequency, ranks them.
 
 Cases: null, empty and blank texts come back as they are, with no kind; a page that is only furniture becomes an empty text;
 repeated rows give equal results; words never meet a candidate that is rarer than themselves; very long lines are no titles.
@@ -13,9 +15,12 @@ repeated rows give equal results; words never meet a candidate that is rarer tha
 
 from __future__ import annotations
 
+import bisect
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,7 +28,7 @@ from pyspark.sql import functions as F
 
 from graphloom.session import cut
 
-#: A word is known from this many occurrences, and a candidate must be so many times as frequent as the misreading.
+#: A word can be a candidate from this many occurrences, and must be so many times as frequent as the misreading.
 KNOWN, RATIO = 5, 8
 #: How many times as often as its confusion's rate a word may stand and still be a misreading.
 SLACK = 6.0
@@ -31,8 +36,10 @@ SLACK = 6.0
 SAME_PLACE = 0.7
 #: Standard deviations that chance may add to the expected number, and take from that share.
 CHANCE = 3.0
-#: Known words in one shard of the vocabulary's trie.
-SHARD_WORDS = 200_000
+#: Known words in one shard of the vocabulary's trie, and tokens in one block that asks it, each over all first letters.
+SHARD_WORDS, ASKED_ROWS = 100_000, 200_000
+#: Bits of the filter of misread tokens (half a megabyte at most): only tokens that pass it leave a text's scan.
+FILTER_BITS = 1 << 22
 
 # Characters that scanners read for others (read -> meant).
 CONFUSIONS = {
@@ -51,34 +58,44 @@ _ROMAN = re.compile(r"m{0,3}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3
 _PAGE = re.compile(rf"(?:[-–—~]\s*(?P<a>{_NUMBER})\s*[-–—~]|(?P<b>\d{{1,4}})\s*/\s*\d{{1,4}}|\[(?P<c>\d{{1,4}})\]|(?:page|seite|página|p\.|pp\.|s\.)\s*(?P<d>{_NUMBER})(?:\s*(?:of|von|de)\s*\d+)?|(?P<e>{_NUMBER}))\Z", re.I)
 _EDGE = re.compile(r"^(\d{1,4})(?: {2,}|\t+)(?=\S*[^\W\d])|(?<=\S)(?: {2,}|\t+)(\d{1,4})$")
 _CLEAR = str.maketrans({"0": "o", "1": "l", "!": "i", "|": "l", "@": "a", "5": "s", "6": "b", "9": "g"})
-_SERIES = re.compile(r"[^.!?]{3,70}, (?:vol|no|nr|bd|issue)\.? ?\w{1,6}\Z", re.I)
+_SERIES = re.compile(r"[^.!?]{3,70}, (?:vol|no|nr|bd|issue)(?:\. ?| )\w{1,6}\Z", re.I)
 _PROCEEDINGS = re.compile(r"(?:proc(?:eedings)?|trans(?:actions)?|bull(?:etin)?)\b\.? .{3,80}[^.!?,;:]\Z", re.I)
 _CHAPTER = re.compile(r"(?:chapter|section|kapitel|chapitre|capítulo|appendix)\s+[\divxl]{1,5}[.:]?\s+[^\W\d].{1,70}[^.!?,;:]\Z", re.I)
 _SPACED = re.compile(r"(?:[^\W_] ){4,}[^\W_](?: ?[·•|:–-] ?\S+(?: \S+){0,3})?\Z")
 _NAMED = re.compile(r"[A-Z]\w{2,}: [A-Z0-9]\w+(?: \w+){1,4}\Z")
 _MARKED = re.compile(r"[<>{}\\#*`\[\]=_]| \| |^\||\|$")
+_SIGN_INSIDE = re.compile(r"(?<=[^\W\d])[01!|@569]|[01!|@569](?=[^\W\d])")
+_MISREAD_SIGN = re.compile(r"[a-zß-ÿ][01!|@5698][a-zß-ÿ]")
+_STOPS = ".!?,;:"
 
+#: What the form of a line says: nothing, a title that headings share, a running title.
+PLAIN, SHARED, SURE = 0, 1, 2
 
-def furniture(line: str) -> tuple[bool, bool, str]:
-    """(is a running title by its form, has a page number, the line without the number) of one line."""
+
+def furniture(line: str) -> tuple[int, bool, str]:
+    """(form of a title, has a page number, the line without the number) of one line."""
     s = line.strip()
     if not s or len(s) > 110:
-        return False, False, s
-    m = _PAGE.match(s)
+        return PLAIN, False, s
+    m = _PAGE.match(s) if len(s) <= 24 else None
     if m:
         value = next(v for v in m.groups() if v)
         if value.isdigit() or (_ROMAN.match(value.lower()) and (len(value) > 1 or m.group("a") or m.group("d")) and value.islower()):
-            return False, True, ""
-        return False, False, s
-    number = _EDGE.search(s)
+            return PLAIN, True, ""
+        return PLAIN, False, s
+    number = _EDGE.search(s) if "  " in s or "\t" in s else None
     title = _EDGE.sub("", s).strip() if number else s
-    if _MARKED.search(title):
-        return False, False, s
-    clear = re.sub(r"(?<=[^\W\d])[01!|@569]|[01!|@569](?=[^\W\d])", lambda x: x.group().translate(_CLEAR), title)
-    letters = [c for c in title if c.isalpha()]
-    caps = len(letters) >= 10 and title.count(" ") >= 1 and sum(c.isupper() for c in letters) >= 0.85 * len(letters) and title[-1] not in ".!?,;:"
-    formed = bool(_SERIES.match(clear) or _PROCEEDINGS.match(clear) or _CHAPTER.match(clear) or _SPACED.match(title) or _NAMED.match(clear) or caps)
-    return formed, bool(number and formed), title
+    # no form ends like a sentence
+    if not title or title[-1] in _STOPS or _MARKED.search(title):
+        return PLAIN, False, s
+    clear = _SIGN_INSIDE.sub(lambda x: x.group().translate(_CLEAR), title)
+    if ", " in clear and _SERIES.match(clear) or _PROCEEDINGS.match(clear) or _SPACED.match(title):
+        return SURE, bool(number), title
+    upper = sum(map(str.isupper, title))
+    caps = upper >= 9 and " " in title and upper >= 0.85 * max(10, sum(map(str.isalpha, title)))
+    if caps or _CHAPTER.match(clear) or _NAMED.match(clear):
+        return SHARED, bool(number), title
+    return PLAIN, False, title
 
 
 def title_like(title: str) -> bool:
@@ -92,8 +109,48 @@ def skeleton(title: str) -> str:
     return re.sub(r"[^a-z]", "", title.lower().translate(_CLEAR).replace("i", "l").replace("c", "e").replace("u", "n").replace("h", "b"))
 
 
-def _lines(text: str) -> list[tuple[str, bool, bool, str]]:
-    return [(line, *furniture(line)) for line in text.split("\n")]
+def _joins(a: str, b: str) -> bool:
+    """Whether a sentence goes on from one line to the next."""
+    end = a.rstrip()[-1:]
+    return bool(end) and (end.isalnum() or end in _HYPHENS + ",") and b.lstrip()[:1].islower()
+
+
+def page(text: str) -> list[tuple[str, str, str]]:
+    """(line, what it is, its title) of every line: ``header``, ``pageno``, ``both`` on one line, ``maybe`` (a title if it comes back)
+    or nothing.
+
+    A number of four digits is a page number at an edge of the text or beside a title only, for it can be a year, and numbers in a
+    column are none."""
+    lines = [(line, *furniture(line)) for line in text.split("\n")]
+    full = [i for i, x in enumerate(lines) if x[0].strip()]
+    alone = [lines[i][2] and not lines[i][3] for i in full]
+    bare = [a and lines[i][0].strip().isdigit() for a, i in zip(alone, full, strict=True)]
+    for k, i in enumerate(full):
+        beside = [x for x in (k - 1, k + 1) if 0 <= x < len(full)]
+        if bare[k] and (any(bare[x] for x in beside) or len(lines[i][0].strip()) > 3 and len(beside) == 2 and not any(lines[full[x]][1] for x in beside)):
+            alone[k] = False
+    body = [k for k in range(len(full)) if not alone[k] and not lines[full[k]][1]]
+    wrapped = misread = None
+    kinds = [""] * len(lines)
+    for k, i in enumerate(full):
+        line, form, number, title = lines[i]
+        if alone[k]:
+            kinds[i] = "pageno"
+        elif form == PLAIN:
+            kinds[i] = "maybe" if title and title_like(title) else ""
+        else:
+            sure = form == SURE or number or any(alone[x] for x in (k - 1, k + 1) if 0 <= x < len(full))
+            if not sure:
+                at = bisect.bisect(body, k)
+                before, after = body[at - 1] if at else None, body[at] if at < len(body) else None
+                sure = before is not None and after is not None and _joins(lines[full[before]][0], lines[full[after]][0])
+                if not sure and (before is None or after is None):
+                    if wrapped is None:
+                        wrapped = sum(_joins(lines[full[a]][0], lines[full[b]][0]) for a, b in zip(body, body[1:])) >= 2
+                        misread = bool(_MISREAD_SIGN.search(text))
+                    sure = wrapped or misread
+            kinds[i] = ("both" if number else "header") if sure else "maybe"
+    return [(x[0], kind, x[3]) for x, kind in zip(lines, kinds, strict=True)]
 
 
 def joined(lines: list[str]) -> Iterator[tuple[str, str, int, int]]:
@@ -110,11 +167,6 @@ def joined(lines: list[str]) -> Iterator[tuple[str, str, int, int]]:
         last = i
 
 
-def words(text: str) -> list[str]:
-    """Tokens of a text: runs of letters, with signs that scanners write for letters inside or at an end."""
-    return [m.group() for m in _TOKEN.finditer(text)]
-
-
 def suspicious(token: str) -> bool:
     """Whether a token that is unknown may be a misread word at all: three letters or more, and any digits within small
     letters, so that codes and formulas (H2O, B0) are none."""
@@ -129,33 +181,55 @@ def suspicious(token: str) -> bool:
 _SCAN = "id string, doc string, kind string, a string, b string"
 
 
-def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Facts of each text: kind header (a: skeleton), maybe (a: skeleton of a title-like line), pageno, hyphen (a, b: halves)
-    and token (a: token of the body)."""
-    for batch in batches:
-        out = []
-        for key, doc, text in zip(batch["id"], batch["doc"], batch["content"], strict=True):
-            if not text or text.isspace():
-                continue
-            seen, body = set(), []
-            for line, header, page, title in _lines(text):
-                if header:
-                    seen.add(("header", skeleton(title), None))
-                if page:
-                    seen.add(("pageno", None, None))
-                if header or page and not title:
+def _scan(passing: Callable[[str], bool]):
+    """Facts of each text: kind header (a: skeleton), maybe (a: skeleton of a line that is a title if it comes back), pageno, hyphen
+    (a, b: halves) and token (a: token of the body that passes a filter by its small letters)."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for key, doc, text in zip(batch["id"], batch["doc"], batch["content"], strict=True):
+                if not text or text.isspace():
                     continue
-                if title and title_like(title):
-                    seen.add(("maybe", skeleton(title), None))
-                body.append(line)
-            halves = list(joined(body))
-            seen.update(("hyphen", a, b) for a, b, _, _ in halves)
-            for a, b, i, j in halves:  # the halves are no words
-                body[i] = body[i].rstrip()[: -len(a) - 1]
-                body[j] = body[j].replace(b, a + b, 1)
-            seen.update(("token", w, None) for line in body for w in words(line) if suspicious(w))
-            out += [(key, doc, *x) for x in seen]
-        yield pd.DataFrame(out, columns=["id", "doc", "kind", "a", "b"])
+                seen, body = set(), []
+                for line, kind, title in page(text):
+                    if kind in ("header", "both"):
+                        seen.add(("header", skeleton(title), None))
+                    if kind in ("pageno", "both"):
+                        seen.add(("pageno", None, None))
+                    if kind == "maybe":
+                        seen.add(("maybe", skeleton(title), None))
+                    if kind in ("", "maybe"):
+                        body.append(line)
+                halves = list(joined(body))
+                seen.update(("hyphen", a, b) for a, b, _, _ in halves)
+                for a, b, i, j in halves:  # the halves are no words
+                    body[i] = body[i].rstrip()[: -len(a) - 1]
+                    body[j] = body[j].replace(b, a + b, 1)
+                seen.update(("token", w, None) for w in set(_TOKEN.findall("\n".join(body))) if passing(w.lower()) and suspicious(w))
+                out += [(key, doc, *x) for x in seen]
+            yield pd.DataFrame(out, columns=["id", "doc", "kind", "a", "b"])
+
+    return work
+
+
+def token_filter(tokens: DataFrame) -> Callable[[str], bool]:
+    """A filter that every token of a one-column table passes, as few bits of checksums: at most FILTER_BITS bits come to the driver,
+    however many tokens there are."""
+    bit = F.pmod(F.crc32(F.encode(F.col(tokens.columns[0]), "UTF-8")), F.lit(FILTER_BITS))
+    rows = tokens.select(F.bitmap_bucket_number(bit + 1).alias("at"), F.bitmap_bit_position(bit + 1).alias("bit")).groupBy("at").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    flags = np.zeros(FILTER_BITS, dtype=np.uint8)
+    for r in rows:
+        part = np.unpackbits(np.frombuffer(bytes(r["bits"]), dtype=np.uint8), bitorder="little")
+        first = (r["at"] - 1) * len(part)
+        flags[first : first + len(part)] = part
+    packed = tokens.sparkSession.sparkContext.broadcast(np.packbits(flags, bitorder="little").tobytes())
+
+    def passing(word: str) -> bool:
+        bit = zlib.crc32(word.encode()) % FILTER_BITS
+        return bool(packed.value[bit >> 3] >> (bit & 7) & 1)
+
+    return passing
 
 
 class Trie:
@@ -226,14 +300,17 @@ _DIGRAPH = re.compile("rn|vv|li|ii|cl|nn|ri|[ﬀ-ﬆ]|m")
 _FOUND = pa.schema([("token", pa.string()), ("seen", pa.int64()), ("word", pa.string()), ("n", pa.int64()), ("edits", pa.int32()), ("first", pa.string())])
 
 
+def beginnings(read: str) -> list[str]:
+    """First letters that the word meant by a token can have: its own, and those of what its first signs are read for."""
+    return sorted({read[:1], *(to[0] for k in (1, 2) if len(read) >= k for to in _MEANT.get(read[:k], ()))})
+
+
 def _match(known_rows: pa.Table, asked_rows: pa.Table) -> pa.Table:
     out = []
     if known_rows.num_rows and asked_rows.num_rows:
         known, asked = known_rows.to_pydict(), asked_rows.to_pydict()
         trie, count = Trie(known["word"]), dict(zip(known["word"], known["n"], strict=True))
         for token, n in zip(asked["token"], asked["n"], strict=True):
-            if not suspicious(token):
-                continue
             noise = sum(c in _NOISE for c in token)
             reach = min(3, max(1, noise, 2 if _DIGRAPH.search(token) else 1, 3 if re.search("[ﬃﬄ]", token) else 1))
             for w in trie.within(token, reach):
@@ -253,15 +330,27 @@ def vocabulary(df: DataFrame, text: str = "content") -> DataFrame:
 
 
 def candidates(suspects: DataFrame, known: DataFrame) -> DataFrame:
-    """(token, seen, word, n, edits, first): all candidates of each suspicious token (token, n). The vocabulary lies in shards of a
-    bounded size, however large it is, and every shard answers all suspects: a stated query set against all rows, in blocks."""
-    spark = suspects.sparkSession
-    shards = max(1, -(-known.count() // SHARD_WORDS))
-    # suspects in blocks, so that many of them spread over the tasks of a shard
-    blocks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // shards)
-    k = known.select("word", "n", F.pmod(F.xxhash64("word"), F.lit(shards)).alias("shard")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    s = suspects.select("token", "n", F.pmod(F.xxhash64("token"), F.lit(blocks)).cast("int").alias("block")).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    return k.groupBy("shard", "block").cogroup(s.groupBy("shard", "block")).applyInArrow(_match, "token string, seen long, word string, n long, edits int, first string")
+    """(token, seen, word, n, edits, first): all candidates of each suspicious token (token, n).
+
+    The vocabulary lies in shards by first letter and hash, the tokens in blocks, both of a bounded size, and a token goes only to the
+    shards of letters that its word can begin with. A token that is too frequent for any word is not asked."""
+
+    @F.pandas_udf("array<string>")
+    def begins(tokens_: pd.Series) -> pd.Series:
+        return pd.Series([beginnings(t) if suspicious(t) else [] for t in tokens_])
+
+    sizes = known.agg(F.count("*").alias("words"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
+    suspects = suspects.where((F.col("n") * RATIO <= sizes["most"]) & (F.length("token") >= 3) & F.col("token").rlike(r"\p{L}.*\p{L}"))
+    shards, blocks = max(1, -(-sizes["words"] // SHARD_WORDS)), max(1, -(-suspects.count() // ASKED_ROWS))
+    # the tries are costly and their rows small, so the number of tasks is given and not merged by size
+    tasks = max(int(suspects.sparkSession.conf.get("spark.sql.shuffle.partitions")), shards * blocks)
+    keys = ["letter", "shard", "block"]
+    every = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+    own = lambda c, n, name: F.pmod(F.xxhash64(c), F.lit(n)).cast("int").alias(name)
+    k = known.select("word", "n", F.substring("word", 1, 1).alias("letter"), own("word", shards, "shard"), every(blocks, "block")).repartition(tasks, *keys)
+    s = suspects.select("token", "n", F.explode(begins("token")).alias("letter"), own("token", blocks, "block"))
+    s = s.select("token", "n", "letter", every(shards, "shard"), "block").repartition(tasks, *keys)
+    return k.groupBy(*keys).cogroup(s.groupBy(*keys)).applyInArrow(_match, "token string, seen long, word string, n long, edits int, first string")
 
 
 def contexts(chunks: DataFrame, found: DataFrame) -> DataFrame:
@@ -303,11 +392,10 @@ def facts(chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     folder, because several branches read them."""
     counts = cut(vocabulary(chunks))
     found = corrections(chunks, counts)
-    raw = chunks.mapInPandas(_scan, _SCAN)
-    read = found.select(F.col("token").alias("read"), F.lit(True).alias("wrong")).distinct()
-    low = raw.withColumn("read", F.when(F.col("kind") == "token", F.lower("a")))
-    kept = cut(low.join(read, "read", "left").where((F.col("kind") != "token") | F.col("wrong")).drop("wrong"))
-    return kept, counts, found
+    raw = cut(chunks.mapInPandas(_scan(token_filter(found.select("token"))), _SCAN))
+    # what passes the filter is exact after this join; facts without a token take no part in it
+    tokens = raw.where("kind = 'token'").withColumn("read", F.lower("a")).join(found.select(F.col("token").alias("read")).distinct(), "read", "left_semi")
+    return raw.where("kind <> 'token'").withColumn("read", F.lit(None).cast("string")).unionByName(tokens), counts, found
 
 
 def kinds(chunks: DataFrame) -> DataFrame:
@@ -331,8 +419,8 @@ def mend(text: str | None, titles: list[str] | None, fixes: dict[str, str] | Non
     if not text or text.isspace():
         return text
     known, body, dropped = set(titles or ()), [], False
-    for line, header, page, title in _lines(text):
-        if header or page and not title or title and title_like(title) and skeleton(title) in known:
+    for line, kind, title in page(text):
+        if kind in ("header", "pageno", "both") or kind == "maybe" and skeleton(title) in known:
             dropped = True
         else:
             body.append(line)

@@ -245,7 +245,35 @@ def test_trie_against_brute_force():
 
 def test_furniture():
     for line, header, page in (("- 86 -", False, True), ("12 / 412", False, True), ("[79]", False, True), ("Page 157", False, True), ("p. 130", False, True), ("cxxiv", False, True), ("Annals 0f Nested Filter, Vol. 9", True, False), ("M A R I N E · REPORT", True, False), ("148    Chapter 10. Tidal Settlement", True, True), ("POLAR INDEX QUARTERLY", True, False), ("Somobrurken: Porous ontology kernel    77", True, True), ("In 1998, the team revisited", False, False), ("", False, False), ("| 1990 | 4 |", False, False), ("i", False, False)):
-        assert scans.furniture(line)[:2] == (header, page), line
+        assert (bool(scans.furniture(line)[0]), scans.furniture(line)[1]) == (header, page), line
+
+
+def test_headings_that_stand_once_stay():
+    """What headings share with running titles needs evidence of the page."""
+    text = "One finding is stated here.\n\nSUMMARY OF FINDINGS\n\nIt is long and it goes on.\n\nChapter 3 The Reef System\n\nThe reef grew until\n\n1998\n\nand then it shrank.\n\nResults: Main effects of treatment\n\nThey were small."
+    assert [k for _, k, _ in scans.page(text) if k] == ["maybe"] * 3
+    assert scans.mend(text, None, None, None) == text
+    assert scans.mend(text, [scans.skeleton("SUMMARY OF FINDINGS")], None, None).count("SUMMARY") == 0
+    for page in ("the reef grew\nSUMMARY OF FINDINGS\nuntil it shrank.", "It shrank.\n12\nSUMMARY OF FINDINGS\nIt grew.", "It shrank.\n\nSUMMARY OF FINDINGS   12\n\nIt grew.", "SUMMARY OF FINDINGS\nthe reef grew\nuntil it shrank\nand went."):
+        assert "SUMMARY" not in scans.mend(page, None, None, None), page
+    assert [k for _, k, _ in scans.page("7\n12\n1998")] == [""] * 3 and [k for _, k, _ in scans.page("1998\nIt grew.")] == ["pageno", ""]
+
+
+def test_tokens_meet_every_word_that_explains_them(spark, rows):
+    """Shards by first letter lose no candidate: against all pairs."""
+    known = ["measure", "house", "modern", "which", "clear", "dear", "final", "lime", "hire", "uncle", "winter"]
+    read = ["rneasure", "bouse", "mocleru", "wliich", "dear", "ciear", "ﬁnal", "1ime", "lire", "nncle", "vvinter", "cat"]
+    k = spark.createDataFrame([(w, 1000) for w in known], "word string, n long")
+    s = spark.createDataFrame([(w, 1) for w in read], "token string, n long")
+    want = {(t, w) for t in read for w in known if t != w and (how := scans.explains(t, w)) and (len(how) == 1 or len(how) <= max(1, len(w) // 4) or any(c in "01!|@5698" for c in t))}
+    assert set(rows(scans.candidates(s, k), "token", "word")) == want and ("rneasure", "measure") in want and ("dear", "clear") not in want
+
+
+def test_the_filter_passes_every_token(spark):
+    words = ["wliich", "tlie", "ﬁnal", "日本", "a"]
+    passing = scans.token_filter(spark.createDataFrame([(w,) for w in words], "token string"))
+    assert all(map(passing, words)) and sum(passing(f"w{i}") for i in range(2000)) < 20
+    assert not scans.token_filter(spark.createDataFrame([], "token string"))("a")
 
 
 def test_words_cut_and_confusions():
