@@ -101,16 +101,21 @@ def p4_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return _near(spark, d)
 
 
+def _scanned(spark: SparkSession, d: str) -> DataFrame:
+    """id, doc, content of every chunk once, in a table: several passes read the texts, and their work is far more than their bytes,
+    so the number of partitions is given and not merged by size."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return cut(table(spark, d, "text_chunks").select("id", F.col("full_doc_id").alias("doc"), "content").repartition(n, "id").distinct())
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Kinds of scanning noise of each chunk. Counts hold rows that were sent twice once."""
-    chunks = unique(spark, d, "text_chunks", "full_doc_id", "content").select("id", F.col("full_doc_id").alias("doc"), "content")
-    return scans.kinds(chunks).select(F.col("id").alias("chunk_id"), "kind")
+    return scans.kinds(_scanned(spark, d)).select(F.col("id").alias("chunk_id"), "kind")
 
 
 def p6_clean(spark: SparkSession, d: str) -> DataFrame:
     """Every chunk as continuous paragraphs."""
-    chunks = unique(spark, d, "text_chunks", "full_doc_id", "content").select("id", F.col("full_doc_id").alias("doc"), "content")
-    return scans.repair(chunks).select(F.col("id").alias("chunk_id"), F.col("clean").alias("content"))
+    return scans.repair(_scanned(spark, d)).select(F.col("id").alias("chunk_id"), F.col("clean").alias("content"))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
