@@ -1,8 +1,9 @@
 """Personal details in free text: found, and replaced by typed placeholders.
 
 One Aho-Corasick automaton finds the anchors in a single pass (at-signs in their spellings, digits, labels of identity numbers,
-street words, given names, titles and initials). At each anchor a deterministic parser expands to the left and right, checks
-the grammar and gives exact boundaries. Overlapping finds go to the earlier kind of KINDS, then to the longer one.
+account numbers, street words, given names, titles, initials, words that introduce a person, and endings of family names). At each
+anchor a deterministic parser expands to the left and right as far as its grammar goes, which is counted in words and never in
+characters, checks it and gives exact boundaries. Overlapping finds go to the earlier kind of KINDS, then to the longer one.
 
 Cases: null, empty and blank texts have no details and come back as they are; a detail that stands twice is replaced twice and
 reported once; texts of any length are read once; labels and titles stay in the text; a family name alone is no detail.
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.given_names import GIVEN, SHORT
 
-KINDS = ("email", "address", "idnum", "phone", "name")
+KINDS = ("email", "account", "address", "idnum", "phone", "name")
 
 # Labels of identity numbers, titles, street words and words that begin sentences or fields.
 ID_LABELS = (
@@ -32,19 +33,52 @@ STREET_AFTER = "Street St Lane Avenue Ave Road Rd Way Court Close Drive Crescent
 STREET_BEFORE = "rue avenue quai impasse boulevard place chemin allée cours square route Calle Plaza Avenida Paseo Camino Carrera Ronda Via Viale Piazza".split()
 STREET_ENDINGS = "straße strasse weg allee gasse platz ufer ring damm".split()
 STREET_GERMAN = ("Am", "An der", "An den", "Auf dem", "Im", "In der", "Zum", "Zur", "Unter den")
+#: Words that begin sentences or fields, and no names.
 NOT_FAMILY = frozenset(
-    "A About After All Also Although An And Are As At Author Before Between Both But By Chunks Contact Der Die Das Duplicates Each Earlier El Entity For From Graph He Her"
-    " His How I If In Interviewed It Its La Las Le Les Links Los Minutes Mobil My No Noted Nothing Of On Or Our Passport Please Readers Results Retrieval See She So Speaker"
-    " Table Tel Thanks That The Their Then There These They This Those To Two Type Une Un Was We What When Where Which While Who Why With You Your Kontakt Anschrift Address"
+    "A About After All Also Although An And Are As At Author Before Between Both But By Contact Der Die Das Each El For From He Her His How I If In It Its La Las Le Les Los"
+    " Mobil My No Of On Or Our Passport Please See She So Tel Thanks That The Their Then There These They This Those To Two Une Un Was We What When Where Which While Who Why"
+    " With You Your Kontakt Anschrift Address Best Kind Dear Regards Sincerely Yours"
     .split()
 )
-
-_LOCAL = r"[A-Za-z0-9][A-Za-z0-9._%+'-]{0,63}"
+# What introduces a person, words that stand in names of bodies and places, particles of family names, family names
+# that stand first, and endings of family names in several languages.
+CUES = (
+    "Author:|Authors:|Contact:|Name:|Nom:|Nombre:|Speaker:|Speaker was|Interviewed|Interviewer:|Interviewee:|Interview with|Entretien avec|Gesprächspartner:|Gesprächspartnerin:"
+    "|Thanks to|thanks to|typed by|written by|signed by|prepared by|recorded by|reviewed by|chaired by|d'après|From:|To:|Cc:|Attn:|Dear|Liebe|Lieber|Cher|Chère|Estimado|Estimada"
+    "|Regards,|regards|regards,|Best wishes,|Sincerely,|Yours,|MfG|Mit freundlichen Grüßen|Cordialement,|Saludos,|Atentamente,"
+).split("|")
+BODIES = frozenset(
+    "Academy Archive Archives Association Bank Bay Board Bureau Centre Center City Club College Committee Company Council County Department Editor Faculty Foundation Fund Group"
+    " Hall Hospital House Institute Island Lake Laboratory Library Ministry Mount Museum National North Northern Ocean Office Park Port Press Project Region River Royal School Sea"
+    " Service Society South Southern East Eastern Station Survey Team Trust Union United University West Western"
+    .split()
+)
+PARTICLES = "al bin da das de del della den der di dos du el ibn la le ten ter van von zu Al Bin Da De Del Den Der Di Du El La Le Thi Van Von".split()
+FAMILY_FIRST = "Nguyen Nguyễn Tran Trần Pham Phạm Hoang Hoàng Huynh Huỳnh Phan Dang Đặng Bui Bùi Ngo Ngô".split()
+FAMILY_ENDINGS = "adze akis ashvili chuk czyk cki eanu enko escu ević ewicz ewski gaard ić idis inski nejad ński oğlu opoulos ová ović owicz owski quist sson ström wicz zadeh ójcik".split()
+
+
+def _letters(test: Callable[[str], bool]) -> str:
+    """A character class of all letters of alphabets with capitals that pass a test."""
+    there = [c for c in range(0x41, 0x590) if test(chr(c))] + [c for c in range(0x10A0, 0x10FF) if test(chr(c))] + [c for c in range(0x1E00, 0x2000) if test(chr(c))]
+    runs: list[list[int]] = []
+    for c in there:
+        if runs and runs[-1][1] == c - 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "[" + "".join(chr(a) if a == b else f"{chr(a)}-{chr(b)}" for a, b in runs) + "]"
+
+
+_UP, _LO = _letters(str.isupper), _letters(str.islower)
+# letters of alphabets that write mail addresses without spaces around them are no part of one
+_MAIL_LETTER = "A-Za-z0-9À-ÖØ-öø-ɏͰ-ӿ"
+_LOCAL = rf"[{_MAIL_LETTER}][{_MAIL_LETTER}._%+'-]{{0,63}}"
 _DOT = r"(?:\.|[ ]?(?:\[dot\]|\(dot\)|\{dot\})[ ]?| DOT | dot )"
-_LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?"
+_LABEL = rf"[{_MAIL_LETTER}](?:[{_MAIL_LETTER}-]{{0,61}}[{_MAIL_LETTER}])?"
 _AT = r"(?:@|[ ]@[ ]|[ ]?(?:\[at\]|\(at\)|\{at\})[ ]?|[ ]AT[ ])"
 _MAIL_LEFT = re.compile(_LOCAL + r"\Z")
-_MAIL_RIGHT = re.compile(_AT + rf"{_LABEL}(?:{_DOT}{_LABEL})*{_DOT}[A-Za-z]{{2,24}}(?![A-Za-z0-9])", re.I)
+_MAIL_RIGHT = re.compile(_AT + rf"{_LABEL}(?:{_DOT}{_LABEL})*{_DOT}(?:xn--[a-z0-9-]{{2,59}}|[A-Za-zÀ-ÖØ-öø-ɏͰ-ӿ]{{2,24}})(?![{_MAIL_LETTER}])", re.I)
 
 _PHONE = re.compile(
     r"\+\d{1,3}[ .-]?\(0\)[ ]?\d{1,5}(?:[ /.-]\d{2,8}){1,4}"
@@ -68,8 +102,7 @@ _ID = re.compile(
 )
 _ID_GAP = re.compile(r"(?:[ ]?(?:no\.?|nr\.?|number|num\.?|n°|card|code|is|was)\b)*[ :.,#=-]{0,4}", re.I)
 
-_UP = r"[A-ZÀ-ÖØ-Þ]"
-_WORD = rf"{_UP}[\wà-ÿ'’-]+"
+_WORD = rf"{_UP}[\w'’-]+"
 _POST = r"(?:[A-Z]{1,2}\d{1,2}[A-Z]? \d[A-Z]{2}|\d{5}(?:-\d{4})?)"
 _TOWN = rf"{_WORD}(?:[ -]{_WORD})?"
 _SEP = r"(?:,[ ]?\n?|[ ]?\n|,[ ]?\|?[ ])[ ]*"
@@ -77,7 +110,7 @@ _AFTER = "|".join(STREET_AFTER)
 _BEFORE = "|".join(STREET_BEFORE)
 _ADDRESSES = (
     # number and street, town, code: the flat first, the code behind the town or none
-    re.compile(rf"(?:(?:Flat|Apt\.?|Unit|Apartment|Suite) \d+[A-Za-z]?,? )?\d{{1,4}}[A-Za-z]? (?:{_WORD} ){{1,3}}(?:{_AFTER})\b{_SEP}(?:{_TOWN} {_POST}|{_WORD})(?![\w-])"),
+    re.compile(rf"(?:(?:Flat|Apt\.?|Unit|Apartment|Suite) \d+[A-Za-z]?,? )?\d{{1,4}}[A-Za-z]? (?:{_WORD} ){{1,3}}(?:{_AFTER})\b{_SEP}(?:(?:{_TOWN}{_SEP}){{0,2}}{_TOWN}(?: |{_SEP}){_POST}|{_WORD})(?![\w-])"),
     # number, street word, name; code and town
     re.compile(rf"\d{{1,4}}[A-Za-z]?(?: bis| ter)?,? (?:{_BEFORE}) (?:[\wà-ÿ'’-]+ ?){{1,5}}{_SEP}\d{{5}} {_WORD}(?:[ -]{_WORD})??(?![\w-])"),
     # street word, name, number; code and town
@@ -86,14 +119,25 @@ _ADDRESSES = (
     re.compile(rf"(?:(?:{'|'.join(STREET_GERMAN)}) (?:{_WORD} ){{1,3}}|{_UP}[\wà-ÿ-]*(?:{'|'.join(STREET_ENDINGS)}) )\d{{1,4}}[ ]?[a-z]?{_SEP}\d{{5}} {_WORD}(?![\w-])"),
 )
 
-_FAMILY = rf"(?:(?:de|van|von|der|da|di|del|la|le|du) )*(?:{_UP}[a-zà-ÿ]+(?:[-’']{_UP}?[a-zà-ÿ]+)*|{_UP}{{3,}}(?:-{_UP}{{2,}})?)"
-_INITIALS = r"(?:[A-Z]\.[ ]?){1,3}"
-_AFTER_GIVEN = re.compile(rf"(?: [A-Z]\.?(?![a-z]))?(?: [A-Z]\.)? (?P<f>{_FAMILY})(?![\w])")
+_SHORT_PARTICLES = "|".join(p for p in PARTICLES if p.islower())
+_CAPITAL = rf"(?:{_UP}{_LO}+(?:[-’']{_UP}?{_LO}+)*|{_UP}['’]{_UP}{_LO}+|{_UP}{{3,}}(?:-{_UP}{{2,}})?)"
+_FAMILY = rf"(?:(?:{_SHORT_PARTICLES}) )*{_CAPITAL}"
+_INITIALS = rf"(?:{_UP}\.[ ]?){{1,3}}"
+_SET_OFF = r"(?=[ ]?(?:[\n,;|()]|\Z|\.(?:[ ]?\n|\Z)))"
+#: A name after a cue: three words that stand alone, or a given name (or initials), middle initials or particles, and a family name.
+_CUED = re.compile(
+    rf"(?P<n>(?P<w>{_CAPITAL}) {_CAPITAL} (?P<f>{_CAPITAL})){_SET_OFF}"
+    rf"|(?P<m>(?P<g>(?:{_SHORT_PARTICLES} )*{_CAPITAL}), (?:{_CAPITAL}(?: {_UP}\.?(?!\w))?|{_INITIALS}))(?![\w])"
+    rf"|(?P<k>(?:(?P<v>{_CAPITAL})|{_UP}\.)(?: {_UP}\.)*(?: (?:{'|'.join(PARTICLES)}))* (?P<h>{_CAPITAL}))(?![\w])"
+)
+_CUE_GAP = re.compile(rf"[ ]?[:,]?\s{{1,3}}(?:(?:{'|'.join(map(re.escape, sorted(TITLES, key=len, reverse=True)))}) )*")
+_FIRST_FAMILY = re.compile(rf"(?: (?:Van|Thi|Văn|Thị))?(?: (?P<f>{_CAPITAL})){{1,2}}?(?![\w])")
+_AFTER_GIVEN = re.compile(rf"(?: {_UP}\.?(?!{_LO}))?(?: {_UP}\.)? (?P<f>{_FAMILY})(?![\w])")
 _BEFORE_GIVEN = re.compile(rf"(?<![\w.])(?P<f>{_FAMILY}), \Z")
-_AFTER_LAST = re.compile(r"(?: [A-Z]\.?(?![\w]))?")
-_FROM_INITIALS = re.compile(rf"(?:[A-Z]\.[ ]?){{1,3}}(?P<f>{_UP}[a-zà-ÿ]{{2,}}(?:-{_UP}[a-zà-ÿ]+)?|{_UP}{{3,}})(?![\w])")
+_AFTER_LAST = re.compile(rf"(?: {_UP}\.?(?![\w]))?")
+_FROM_INITIALS = re.compile(rf"(?:{_UP}\.[ ]?){{1,3}}(?P<f>{_UP}{_LO}{{2,}}(?:-{_UP}{_LO}+)?|{_UP}{{3,}})(?![\w])")
 _LAST_INITIALS = re.compile(rf"(?P<f>{_FAMILY}), {_INITIALS}")
-_TITLED = re.compile(rf" (?P<n>(?:{_WORD}|[A-Z]\.)(?: [A-Z]\.)* (?P<f>{_FAMILY}))(?![\w])|  ?(?P<m>(?P<g>{_FAMILY}), (?:{_WORD}|{_INITIALS}))(?![\w])")
+_TITLED = re.compile(rf" (?P<n>(?:{_WORD}|{_UP}\.)(?: {_UP}\.)* (?P<f>{_FAMILY}))(?![\w])|  ?(?P<m>(?P<g>{_FAMILY}), (?:{_WORD}|{_INITIALS}))(?![\w])")
 
 
 @functools.cache
@@ -127,8 +171,15 @@ def automaton():
         add(name.upper(), "given")
     for title in TITLES:
         add(f"{title} ", "title")
-    for c in map(chr, range(65, 91)):
-        add(f"{c}.", "initial")
+    for c in map(chr, range(0x41, 0x530)):
+        if c.isupper():
+            add(f"{c}.", "initial")
+    for cue in CUES:
+        add(cue, "cue")
+    for name in FAMILY_FIRST:
+        add(name, "first")
+    for ending in FAMILY_ENDINGS:
+        add(ending, "ending")
     for w, kinds in words.items():
         a.add_word(w, tuple(sorted(kinds)))
     a.make_automaton()
@@ -174,6 +225,56 @@ def _phone_end(phone: str) -> int:
         end = last.start()
 
 
+# The form of an international account number, and that of a payment card.
+_ACCOUNT = re.compile(r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_CARD = re.compile(r"\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}(?![\d])")
+
+
+def _account(t: str, s: int) -> Iterator[tuple[str, int, int]]:
+    """An account number whose check digits hold (remainder 1 by 97), or a card number whose digit sum does."""
+    if s >= 2 and t[s - 2 : s].isalpha() and not t[s - 3 : s - 2].isalnum():
+        m = _ACCOUNT.match(t, s - 2)
+        while m:
+            plain = m.group().replace(" ", "")
+            if 15 <= len(plain) <= 34 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+                yield "account", s - 2, m.end()
+                return
+            # a word of capitals after it is no part of it
+            last = t.rfind(" ", s, m.end())
+            m = _ACCOUNT.fullmatch(t, s - 2, last) if last > s else None
+    elif not t[s - 1 : s].isalnum():
+        m = _CARD.match(t, s)
+        if m:
+            d = [int(c) for c in m.group() if c.isdigit()]
+            if sum(x if i % 2 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(d)) % 10 == 0:
+                yield "account", s, m.end()
+
+
+def _words_back(t: str, at: int, n: int) -> int:
+    """Where the n-th word before a place begins; an empty line ends the walk."""
+    while n and at > 0:
+        while at > 0 and t[at - 1].isspace():
+            if t[at - 1] == "\n" and t[at - 2 : at - 1] in ("", "\n"):
+                return at
+            at -= 1
+        while at > 0 and not t[at - 1].isspace():
+            at -= 1
+        n -= 1
+    return at
+
+
+def _words_on(t: str, at: int, n: int) -> int:
+    """Where the n-th word from a place on ends."""
+    size = len(t)
+    while n and at < size:
+        while at < size and t[at].isspace():
+            at += 1
+        while at < size and not t[at].isspace():
+            at += 1
+        n -= 1
+    return at
+
+
 def _digits(t: str, s: int) -> Iterator[tuple[str, int, int]]:
     if s and (t[s - 1].isdigit() or t[s - 1].isalpha()):
         return
@@ -205,22 +306,30 @@ def _number(t: str, e: int) -> Iterator[tuple[str, int, int]]:
         yield "idnum", at, m.end()
 
 
+#: The most words that the grammar of addresses has before its street word (flat, number, words of the street's name) and from it
+#: on (the rest of the name, number, two localities, town, two parts of a code). A longer one would be no match either.
+ADDRESS_BEFORE, ADDRESS_AFTER = 9, 14
+
+
 def _address(t: str, s: int, e: int) -> Iterator[tuple[str, int, int]]:
-    low = max(0, s - 70)
     # an address begins at a number, a flat or a street word to the left of the anchor
-    window = t[low : e + 110]
+    low, high = _words_back(t, s, ADDRESS_BEFORE), _words_on(t, s, ADDRESS_AFTER)
     for pattern in _ADDRESSES:
-        for m in pattern.finditer(window):
-            a, b = m.start() + low, m.end() + low
+        for m in pattern.finditer(t, low, high):
+            a, b = m.span()
             if a <= s + 1 and b >= e and not (a and t[a - 1].isalnum()):
                 yield "address", a, b
                 return
 
 
+#: The most words of a family name with its particles.
+FAMILY_WORDS = 5
+
+
 def _name(t: str, s: int, e: int) -> Iterator[tuple[str, int, int]]:
     if s and (t[s - 1].isalnum() or t[s - 1] in "-@._+") or t[e : e + 1].isalnum() or t[e : e + 1] in tuple("@_"):
         return
-    before = _BEFORE_GIVEN.search(t[max(0, s - 40) : s])
+    before = _BEFORE_GIVEN.search(t[_words_back(t, s, FAMILY_WORDS) : s])
     after = _AFTER_GIVEN.match(t, e)
     if before and _family(before):
         tail = _AFTER_LAST.match(t, e)
@@ -229,17 +338,53 @@ def _name(t: str, s: int, e: int) -> Iterator[tuple[str, int, int]]:
         yield "name", s, after.end()
 
 
+def _fit(*words: str | None) -> bool:
+    """Whether none of the words begins a sentence or stands in the name of a body or a place."""
+    return not any(w and (w in NOT_FAMILY or w.capitalize() in NOT_FAMILY or w.capitalize() in BODIES or w in STREET_AFTER or w in TITLES) for w in words)
+
+
+def _cued(t: str, s: int, e: int) -> Iterator[tuple[str, int, int]]:
+    """A name of any language after what introduces a person."""
+    if s and (t[s - 1].isalnum() or t[s - 1] == "-"):
+        return
+    gap = _CUE_GAP.match(t, e)
+    m = _CUED.match(t, gap.end()) if gap else None
+    if m:
+        g = next(x for x in "nmk" if m.group(x))
+        words = [w for w in re.split(r"[ ,]+", m.group(g)) if w]
+        if _fit(*words) and not (g == "k" and not m.group("v") and len(words) < 2):
+            yield "name", m.start(g), m.end(g)
+
+
+def _ended(t: str, e: int) -> Iterator[tuple[str, int, int]]:
+    """A capital word and one with the ending of a family name."""
+    if t[e : e + 1].isalnum() or t[e : e + 1] in tuple("@_-"):
+        return
+    low = _words_back(t, e, 3)
+    m = re.search(rf"(?<![\w.@-])(?P<n>(?P<w>{_UP}{_LO}{{2,}}|{_UP}\.) (?:{_UP}\. )?(?P<f>{_UP}{_LO}{{2,}}(?:-{_UP}{_LO}+)?))\Z", t[low:e])
+    if m and _fit(m.group("w"), m.group("f")):
+        yield "name", low + m.start("n"), e
+
+
+def _family_first(t: str, s: int, e: int) -> Iterator[tuple[str, int, int]]:
+    if s and (t[s - 1].isalnum() or t[s - 1] in "-@._") or t[e : e + 1].isalnum():
+        return
+    m = _FIRST_FAMILY.match(t, e)
+    if m and _fit(m.group("f")):
+        yield "name", s, m.end()
+
+
 def _initial(t: str, s: int) -> Iterator[tuple[str, int, int]]:
     if s and (t[s - 1].isalnum() or t[s - 1] in ".-@_"):
         return
     # initials before belong to the same name
     m = _FROM_INITIALS.match(t, s)
-    before = _BEFORE_GIVEN.search(t[max(0, s - 40) : s])
+    before = _BEFORE_GIVEN.search(t[_words_back(t, s, FAMILY_WORDS) : s])
     if before and _family(before):
         tail = re.compile(_INITIALS).match(t, s)
         end = tail.end() - (1 if tail.group().endswith(" ") else 0)
         yield "name", s - (before.end() - before.start()), end
-    elif m and _family(m) and not re.search(r"[A-Z]\. ?\Z", t[max(0, s - 4) : s]):
+    elif m and _family(m) and not re.search(rf"{_UP}\. ?\Z", t[max(0, s - 4) : s]):
         yield "name", s, m.end()  # with a given name before, that anchor's longer find wins
 
 
@@ -266,6 +411,7 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
                 found.update(_email(text, s, e))
             elif kind == "digit":
                 found.update(_digits(text, s))
+                found.update(_account(text, s))
             elif kind == "idnum":
                 if not (s and text[s - 1].isalnum()):
                     found.update(_number(text, e))
@@ -275,6 +421,12 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
                 found.update(_name(text, s, e))
             elif kind == "initial":
                 found.update(_initial(text, s))
+            elif kind == "cue":
+                found.update(_cued(text, s, e))
+            elif kind == "ending":
+                found.update(_ended(text, e))
+            elif kind == "first":
+                found.update(_family_first(text, s, e))
             else:
                 found.update(_titled(text, s, e))
     out: list[tuple[str, int, int]] = []

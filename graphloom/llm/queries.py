@@ -143,7 +143,8 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     """Personal details of every document."""
     f = personal.scan(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.explode("details").alias("x"))
-    return f.select("doc_id", "x.kind", "x.item").distinct()
+    # numbers of accounts are replaced too, but are none of the kinds asked for
+    return f.where("x.kind <> 'account'").select("doc_id", "x.kind", "x.item").distinct()
 
 
 def p10_clean(spark: SparkSession, d: str) -> DataFrame:

@@ -366,6 +366,22 @@ def test_details(text, kind, item):
     assert f"[{kind.upper()}]" in personal.redact(text)
 
 
+@pytest.mark.parametrize("text,kind,whole", [
+    ("We met Zbigniew Wójcik there", "name", "Zbigniew Wójcik"), ("Contact: Łukasz Šimek, Prague", "name", "Łukasz Šimek"), ("seen with Nguyen Van Anh today", "name", "Nguyen Van Anh"), ("Author: Bjarne Stroustrup.", "name", "Bjarne Stroustrup"),
+    ("Interviewed Chinedu Okafor on", "name", "Chinedu Okafor"), ("Dear Αλέξανδρος Παπαδόπουλος,", "name", "Αλέξανδρος Παπαδόπουλος"), ("Speaker was Dr Ishaan Vibestobis.", "name", "Ishaan Vibestobis"), ("Regards,\nOkafor, Chinedu\n", "name", "Okafor, Chinedu"),
+    ("IBAN DE89 3704 0044 0532 0130 00 is", "account", "DE89 3704 0044 0532 0130 00"), ("card 4111 1111 1111 1111 ok", "account", "4111 1111 1111 1111"), ("mail jörg@müller.de now", "email", "jörg@müller.de"), ("联系abc@d.com吧", "email", "abc@d.com"),
+    ("at 12 Kensington Church Street, Royal Tunbridge, London W8 4LX now", "address", "12 Kensington Church Street, Royal Tunbridge, London W8 4LX"),
+    ("Flat 3, 233 " + "Saltpanwayofthewest" * 6 + " Northumberlandshire Way\n" + "H" + "efezuris" * 15 + " HE14 5QX", "address", "Flat 3, 233 " + "Saltpanwayofthewest" * 6 + " Northumberlandshire Way\n" + "H" + "efezuris" * 15 + " HE14 5QX"),
+])
+def test_details_beyond_lists_and_windows(text, kind, whole):
+    assert [(k, text[a:b]) for k, a, b in personal.find(text)] == [(kind, whole)]
+
+
+@pytest.mark.parametrize("text", ["card 4111 1111 1111 1112 ok", "Thanks to North Sea Survey", "Contact: Marine Office", "Interviewed Staff of", "the Wójcik test", "From: The Museum"])
+def test_no_accounts_and_bodies(text):
+    assert not [x for x in personal.find(text) if x[0] in ("account", "name")]
+
+
 @pytest.mark.parametrize("text", [None, "", " ", "release 3.12.64", "sample 8841-62-02", "user@ is left out", "see @section-14", "ratio 555:16", "pp. 123-145", "ISBN 978-0-0000-1700-1", "grant 40-221-7765", "the Pinohutan test", "doi 10.99991/aquifer.1964.0025", "In 1998 we met"])
 def test_no_details(text):
     assert personal.find(text) == [] and personal.redact(text) == text
