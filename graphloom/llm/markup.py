@@ -14,6 +14,7 @@ HTML, LaTeX, wiki, Markdown.
 
 from __future__ import annotations
 
+import bisect
 import html as html_lib
 import re
 from dataclasses import dataclass
@@ -48,23 +49,8 @@ _MARKDOWN = re.compile(
 # the wiki's double quotes alone also stand in plain text, so they count only as bold or around words
 LANGUAGES = (("html", _HTML), ("latex", _LATEX), ("wiki", _WIKI), ("markdown", _MARKDOWN))
 
-#: Languages whose grammar a text can hold inside another's code or text: their lead must be real to win.
 _FENCE = re.compile(r"^ {0,3}(```|~~~)[^\n]*\n(.*?)(?:^ {0,3}\1[ \t]*$|\Z)", re.M | re.S)
-
-
-def marks(text: str) -> dict[str, int]:
-    """Number of marks of each language; the inside of Markdown code fences is no mark of another language."""
-    outside = _FENCE.sub("```\n```", text) if "```" in text or "~~~" in text else text
-    return {name: sum(1 for _ in pattern.finditer(outside)) for name, pattern in LANGUAGES}
-
-
-def language(text: str | None) -> str | None:
-    """The markup language of a text, or None for plain text."""
-    if not text or text.isspace():
-        return None
-    found = marks(text)
-    best = max(found.values())
-    return next(k for k, _ in LANGUAGES if found[k] == best) if best else None
+_GAP = re.compile(r"\n[ \t]*\n\s*")
 
 
 @dataclass
@@ -84,41 +70,92 @@ STOP_WORDS = frozenset(
 _WORD = re.compile(r"\w+")
 
 
+def _decided(first: list) -> list[tuple[int | None, int | None]]:
+    """For each place the nearest decided places (that are not None) at or before it, and at or after it."""
+    last, seen = [], None
+    for i, x in enumerate(first):
+        seen = i if x is not None else seen
+        last.append(seen)
+    after, seen = [None] * len(first), None
+    for i in reversed(range(len(first))):
+        seen = i if first[i] is not None else seen
+        after[i] = seen
+    return list(zip(last, after, strict=True))
+
+
+def _nearest(i: int, near: tuple[int | None, int | None]) -> int | None:
+    """The nearer of two decided places, the one before of equals."""
+    a, b = near
+    return a if b is None or a is not None and i - a <= b - i else b
+
+
+def density(text: str) -> float:
+    """The share of stop words."""
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+
+
+def marks(text: str) -> list[tuple[str, dict[str, int]]]:
+    """(block, marks of each language) of the blocks of a text between empty lines; the inside of a Markdown code fence is no mark of
+    another language. A mark that runs over several blocks counts in its first."""
+    outside = _FENCE.sub(lambda m: "```" + re.sub(r"[^\n]", " ", m.group()[3:-3]) + "```", text) if "```" in text or "~~~" in text else text
+    starts = [0, *(m.end() for m in _GAP.finditer(outside))]
+    blocks: list[tuple[str, dict[str, int]]] = [(outside[a:b], {}) for a, b in zip(starts, [*starts[1:], len(outside)], strict=True)]
+    for name, pattern in LANGUAGES:
+        for m in pattern.finditer(outside):
+            found = blocks[bisect.bisect_right(starts, m.start()) - 1][1]
+            found[name] = found.get(name, 0) + 1
+    return blocks
+
+
+def language(text: str | None) -> str | None:
+    """The markup language of a text, or None for plain text, by its blocks in two passes. First: a block in which one language has
+    the most marks is of that language. Second: blocks left open, with as many marks of several languages, take the language of the
+    nearest decided block if it is one of theirs. The language of the most marks in blocks of its own is the text's; blocks that are
+    dense in stop words lead of equals, for there marks are least likely to be somebody's code."""
+    if not text or text.isspace():
+        return None
+    blocks = marks(text)
+    if not any(found for _, found in blocks):
+        return None
+    first: list[str | None] = []
+    for _, found in blocks:
+        most = max(found.values(), default=0)
+        best = [name for name, _ in LANGUAGES if found.get(name) == most] if most else []
+        first.append(best[0] if len(best) == 1 else None)
+    near = _decided(first)
+    total: dict[str, float] = {}
+    for i, (block, found) in enumerate(blocks):
+        if found:
+            at = _nearest(i, near[i])
+            # a text without any decided block has ties only, which go to the first language
+            label = first[at] if at is not None and first[at] in found else next(name for name, _ in LANGUAGES if name in found)
+            total[label] = total.get(label, 0) + found[label]
+    most = max(total.values())
+    best = [name for name, _ in LANGUAGES if total.get(name) == most]
+    if len(best) > 1:
+        in_prose = {name: sum(found.get(name, 0) * density(block) for block, found in blocks) for name in best}
+        best.sort(key=lambda name: -in_prose[name])
+    return best[0]
+
+
 def classify(blocks: list[Block]) -> list[bool]:
     """Whether each block is content."""
     first: list[bool | None] = []
     for b in blocks:
-        words = _WORD.findall(b.text.lower())
-        density = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+        dense = density(b.text)
         linked = b.links / max(1, len(b.text))
         if b.kind in ("heading", "code", "row", "formula"):
             first.append(True)
-        elif linked > 0.6 and density < 0.15:
+        elif linked > 0.6 and dense < 0.15:
             first.append(False)
-        elif density >= 0.2 and len(b.text) >= 25 or len(b.text) >= 120 and linked < 0.3:
+        elif dense >= 0.2 and len(b.text) >= 25 or len(b.text) >= 120 and linked < 0.3:
             first.append(True)
         else:
             first.append(None)
-    out, n = [], len(blocks)
-    last: list[int | None] = []
-    seen = None
-    for i in range(n):
-        seen = i if first[i] is not None else seen
-        last.append(seen)
-    seen = None
-    after: list[int | None] = [None] * n
-    for i in reversed(range(n)):
-        seen = i if first[i] is not None else seen
-        after[i] = seen
-    for i in range(n):
-        a, b = last[i], after[i]
-        if a is None and b is None:
-            out.append(True)
-        elif b is None or a is not None and i - a <= b - i:
-            out.append(bool(first[a]))
-        else:
-            out.append(bool(first[b]))
-    return out
+    near = _decided(first)
+    at = [_nearest(i, x) for i, x in enumerate(near)]
+    return [True if k is None else bool(first[k]) for k in at]
 
 
 def render(blocks: list[Block]) -> str:
