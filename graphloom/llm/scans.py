@@ -18,6 +18,7 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -50,7 +51,8 @@ CONFUSIONS = {
 #: Meant strings of each read string; single-character entries list alternatives, digraph targets are one string.
 _MEANT = {k: ([v] if len(k) > 1 or k in "mﬀﬁﬂﬃﬄﬅﬆ" else list(v)) for k, v in CONFUSIONS.items()}
 _NOISE = "01!|@5698"
-_TOKEN = re.compile(r"[\w!|@]+")
+_TOKEN = re.compile(r"[\w!|@\u0300-\u036f]+")
+_COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 _HYPHENS = "-‐­¬"
 
 _NUMBER = r"\d{1,4}|[ivxlcdm]{1,9}"
@@ -153,6 +155,9 @@ def page(text: str) -> list[tuple[str, str, str]]:
     return [(x[0], kind, x[3]) for x, kind in zip(lines, kinds, strict=True)]
 
 
+_LAST_LETTERS, _FIRST_LETTERS = re.compile(r"[^\W\d_]+\Z"), re.compile(r"[ \t]*([^\W\d_]+)")
+
+
 def joined(lines: list[str]) -> Iterator[tuple[str, str, int, int]]:
     """(first half, second half, line, next line) of each word cut over two of the lines."""
     last = None
@@ -160,10 +165,11 @@ def joined(lines: list[str]) -> Iterator[tuple[str, str, int, int]]:
         if not line.strip():
             continue
         if last is not None:
-            a = re.search(rf"([^\W\d_]+)[{_HYPHENS}][ \t]*\Z", lines[last])
-            b = re.match(r"[ \t]*([^\W\d_]+)", line)
-            if a and b and b.group(1)[0].islower():
-                yield a.group(1), b.group(1), last, i
+            head = lines[last].rstrip(" \t")
+            if head[-1:] in _HYPHENS:
+                a, b = _LAST_LETTERS.search(head, 0, len(head) - 1), _FIRST_LETTERS.match(line)
+                if a and b and b.group(1)[0].islower():
+                    yield a.group(), b.group(1), last, i
         last = i
 
 
@@ -187,7 +193,7 @@ def _scan(passing: Callable[[str], bool]):
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
+            out, asked = [], {}
             for key, doc, text in zip(batch["id"], batch["doc"], batch["content"], strict=True):
                 if not text or text.isspace():
                     continue
@@ -206,7 +212,12 @@ def _scan(passing: Callable[[str], bool]):
                 for a, b, i, j in halves:  # the halves are no words
                     body[i] = body[i].rstrip()[: -len(a) - 1]
                     body[j] = body[j].replace(b, a + b, 1)
-                seen.update(("token", w, None) for w in set(_TOKEN.findall("\n".join(body))) if passing(w.lower()) and suspicious(w))
+                for w in set(_TOKEN.findall("\n".join(body))):
+                    wanted = asked.get(w)
+                    if wanted is None:
+                        wanted = asked[w] = passing(w.lower()) and suspicious(w)
+                    if wanted:
+                        seen.add(("token", w, None))
                 out += [(key, doc, *x) for x in seen]
             yield pd.DataFrame(out, columns=["id", "doc", "kind", "a", "b"])
 
@@ -322,11 +333,20 @@ def _match(known_rows: pa.Table, asked_rows: pa.Table) -> pa.Table:
     return pa.table({name: [x[i] for x in out] for i, name in enumerate(_FOUND.names)}, schema=_FOUND)
 
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        count: Counter[str] = Counter()
+        for text in b.column(0).to_pylist():
+            low = (text or "").lower()
+            count.update(_TOKEN.findall(low))
+            if "-" in low:
+                count.update(_COMPOUND.findall(low))
+        yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], names=["word", "n"])
+
+
 def vocabulary(df: DataFrame, text: str = "content") -> DataFrame:
-    """(word, n): tokens in small letters, and compounds with an inner hyphen; counted before the shuffle."""
-    low = F.lower(text)
-    found = F.explode(F.concat(F.regexp_extract_all(low, F.lit(r"([\p{L}\p{M}\p{N}_!|@]+)"), 1), F.regexp_extract_all(low, F.lit(r"(\p{L}+(?:-\p{L}+)+)"), 1)))
-    return df.select(found.alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    """(word, n): tokens in small letters, and compounds with an inner hyphen; counted in the batches, then before the shuffle."""
+    return df.select(text).mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def candidates(suspects: DataFrame, known: DataFrame) -> DataFrame:
@@ -353,14 +373,39 @@ def candidates(suspects: DataFrame, known: DataFrame) -> DataFrame:
     return k.groupBy(*keys).cogroup(s.groupBy(*keys)).applyInArrow(_match, "token string, seen long, word string, n long, edits int, first string")
 
 
+_BEFORE = re.compile(r"(?:[^\W\d_]+|[^\w\s!|@])\Z")
+
+
+def _pairs(passing: Callable[[str], bool]):
+    """(before, word, pairs) of a batch of texts: how often a word that passes a filter follows white space after a word or a sign."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seen: dict[str, tuple[str | None, str | None]] = {}
+            count: Counter[tuple[str, str]] = Counter()
+            for text in b.column(0).to_pylist():
+                before = None
+                for part in (text or "").lower().split():
+                    it = seen.get(part)
+                    if it is None:
+                        end, first = _BEFORE.search(part), _TOKEN.match(part)
+                        word = first.group() if first else None
+                        it = seen[part] = end and end.group(), word if word and passing(word) else None
+                    if before and it[1]:
+                        count[before, it[1]] += 1
+                    before = it[0]
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in count], pa.string()), pa.array([w for _, w in count], pa.string()), pa.array(list(count.values()), pa.int64())], names=["before", "word", "pairs"])
+
+    return work
+
+
 def contexts(chunks: DataFrame, found: DataFrame) -> DataFrame:
     """Adds to candidates (token, word, ...) how many of the token's occurrences follow a word or a sign (placed), how many of those
     follow one that also stands before the candidate twice or more in the corpus (same), and the share of these. Pairs are counted
-    for the tokens and candidates alone."""
+    for the tokens and candidates alone, in the batches first."""
     asked = found.select(F.explode(F.array("token", "word")).alias("word")).distinct()
-    pair = F.explode(F.regexp_extract_all(F.lower("content"), F.lit(r"(?=((?:\p{L}+|[^\p{L}\p{M}\p{N}\s_!|@])\s+[\p{L}\p{M}\p{N}_!|@]+))(?:\p{L}+|.)"), 1))
-    pairs = chunks.select(pair.alias("p")).select(F.split("p", r"\s+").alias("p")).select(F.col("p")[0].alias("before"), F.col("p")[1].alias("word"))
-    pairs = cut(pairs.join(asked, "word").groupBy("before", "word").agg(F.count("*").alias("pairs")))
+    pairs = chunks.select("content").mapInArrow(_pairs(token_filter(asked)), "before string, word string, pairs long")
+    pairs = cut(pairs.join(asked, "word", "left_semi").groupBy("before", "word").agg(F.sum("pairs").alias("pairs")))
     own = pairs.select("before", F.col("word").alias("token"), F.col("pairs").alias("mine")).join(found.select("token", "word"), "token")
     same = F.sum(F.when(F.col("pairs") >= 2, F.col("mine")).otherwise(0))
     near = own.join(pairs, ["before", "word"], "left").groupBy("token", "word").agg(F.sum("mine").alias("placed"), same.alias("same"))
