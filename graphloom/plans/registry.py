@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from graphloom.plans import data_quality, graph_queries, library_queries, merge_queries, retrieval_queries, store_queries, text_queries
+from graphloom.plans import data_quality, graph_queries, library_queries, merge_queries, plan_queries, retrieval_queries, store_queries, text_queries
 
-MODULES = (data_quality, graph_queries, merge_queries, retrieval_queries, text_queries, library_queries, store_queries)
+MODULES = (data_quality, graph_queries, merge_queries, retrieval_queries, plan_queries, text_queries, library_queries, store_queries)
 FLAGSHIP = "r11_mode_hybrid"
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import parts, tokens
-from graphloom.operators import graph, retrieval
+from graphloom.operators import graph, quality, retrieval
 from graphloom.plans.graph_queries import ALL_SQL, HUB, SPLIT_SQL, names, pairs
 from graphloom.sources.tables import table, unique
 
@@ -41,14 +41,12 @@ def _hits(kind: str) -> str:
 
 def entity_hits(spark, d) -> DataFrame:
     v = vectors(spark, d)
-    hits = retrieval.search(v.where("entity_name is not null"), query_vector(v), K)
-    return hits.join(v.select("id", "entity_name"), "id")
+    return retrieval.search(v.where("entity_name is not null"), query_vector(v), K, carry=("entity_name",))
 
 
 def relation_hits(spark, d) -> DataFrame:
     v = vectors(spark, d)
-    hits = retrieval.search(v.where("src_id is not null"), query_vector(v), K)
-    return hits.join(v.select("id", "src_id", "tgt_id"), "id")
+    return retrieval.search(v.where("src_id is not null"), query_vector(v), K, carry=("src_id", "tgt_id"))
 
 
 def r01_vector_search(spark, d):
@@ -99,19 +97,43 @@ def r07_vector_leg(spark, d):
 
 
 def chunks(spark, d) -> DataFrame:
-    return unique(spark, d, "text_chunks", "full_doc_id", "content", "file_path")
+    """Chunks as they were sent; operators on them count copies once by id, so that no text is shuffled for it."""
+    return table(spark, d, "text_chunks").select("id", "full_doc_id", "content", "file_path", "chunk_order_index")
+
+
+def lex(spark, d, k: int = K) -> DataFrame:
+    return retrieval.lexical_leg(chunks(spark, d), WORDS, k)
 
 
 def r08_lexical_leg(spark, d):
-    return retrieval.lexical(chunks(spark, d), WORDS, K).select("id", F.round("score", 6).alias("score"), "pos")
+    return lex(spark, d).select("id", F.round("score", 6).alias("score"), "pos")
 
 
-_TERMS = "'" + "', '".join(sorted(WORDS)) + "'"
-LEX_SQL = (
-    "ch AS (SELECT DISTINCT id, full_doc_id, content, file_path FROM text_chunks), ht AS (SELECT id, unnest(list_filter(list_distinct(regexp_split_to_array(lower(content), '[^a-z]+')), lambda t: t IN (" + _TERMS + "))) AS w FROM ch),"
-    " wt AS (SELECT w, count(*) AS df, ln((SELECT count(*) FROM ch) / (count(*) + 1.0)) AS wt FROM ht GROUP BY w), rare AS (SELECT w FROM wt ORDER BY df, w LIMIT 3),"
-    f" lx AS (SELECT id, score, row_number() OVER (ORDER BY score DESC, id) - 1 AS pos FROM (SELECT id, round(sum(wt), 9) AS score FROM ht JOIN wt USING (w) GROUP BY id) WHERE id IN (SELECT id FROM ht WHERE w IN (SELECT w FROM rare)) ORDER BY score DESC, id LIMIT {K})"
-)
+def _bib(x: str) -> str:
+    """is_bibliography in SQL."""
+    q = lambda p: "'" + p.replace("'", "''") + "'"
+    m = lambda p: f"regexp_matches(l, {q(p)})"
+    n = lambda p: f"len(regexp_extract_all(l, {q(p)}))"
+    packed = f"length(l) > 600 AND {m(quality.ENTRY)} AND {n('(?i)doi|https?://')} >= 3 AND {n(quality.YEAR)} >= 5"
+    return f"(len(list_filter(string_split({x}, chr(10)), lambda l: {m(quality.ENTRY)} AND {m(quality.YEAR)} AND {m(quality.CUE)})) >= 5 OR len(list_filter(string_split({x}, chr(10)), lambda l: {packed})) > 0)"
+
+
+_QUESTION = retrieval.question_terms(WORDS)
+_TERMS = "'" + "', '".join(_QUESTION) + "'"
+_MOST = f"greatest({retrieval.COMMON_LEAST}, {retrieval.COMMON_PCT} * (SELECT count(*) FROM ch) / 100)"
+
+
+def _lex_sql(k: int) -> str:
+    return (
+        "ch AS (SELECT DISTINCT id, full_doc_id, content, file_path, chunk_order_index FROM text_chunks), ht AS (SELECT id, unnest(list_filter(list_distinct(regexp_split_to_array(lower(content), '[^a-z]+')), lambda t: t IN (" + _TERMS + "))) AS w FROM ch),"
+        f" dw AS (SELECT w, count(*) AS df, count(*) > {_MOST} AS common FROM ht GROUP BY w), fw AS (SELECT coalesce(min(ln((SELECT count(*) FROM ch) / (df + 1.0))), 0.0) AS f FROM dw WHERE NOT common),"
+        " wt AS (SELECT w, df, common, CASE WHEN common THEN f ELSE ln((SELECT count(*) FROM ch) / (df + 1.0)) END AS wt FROM dw, fw), rare AS (SELECT w FROM wt WHERE NOT common ORDER BY df, w LIMIT 3),"
+        f" l0 AS (SELECT id, round(sum(wt), 9) AS score FROM ht JOIN wt USING (w) GROUP BY id), l1 AS (SELECT * FROM l0 WHERE id IN (SELECT id FROM ht WHERE w IN (SELECT w FROM rare)) ORDER BY score DESC, id LIMIT {3 * k}),"
+        f" lx AS (SELECT id, score, row_number() OVER (ORDER BY score DESC, id) - 1 AS pos FROM (SELECT l1.* FROM l1 JOIN ch USING (id) WHERE NOT {_bib('content')} ORDER BY score DESC, id LIMIT {k}))"
+    )
+
+
+LEX_SQL = _lex_sql(K)
 
 
 def _lists(spark, d) -> list[DataFrame]:
@@ -169,56 +191,22 @@ def r17_relation_chunks(spark, d):
 
 def j05_chunk_lookup(spark, d):
     picked = retrieval.pick_by_weight(_owned(spark, d), 5)
-    return chunks(spark, d).join(F.broadcast(picked.select(F.col("chunk_id").alias("id"), "group_pos")), "id").select("id", "group_pos", F.length("content").cast("long").alias("size"))
+    hits = picked.select(F.col("chunk_id").alias("id"), "group_pos")
+    return retrieval.with_rows(hits, chunks(spark, d), "content").select("id", "group_pos", F.length("content").cast("long").alias("size"))
 
 
 def r18_token_budget(spark, d):
-    lex = retrieval.lexical(chunks(spark, d), WORDS, K)
-    c = chunks(spark, d).join(F.broadcast(lex), "id").select("id", "pos", F.coalesce(tokens(F.col("content")), F.lit(0)).cast("long").alias("tokens"))
+    c = retrieval.with_rows(lex(spark, d), chunks(spark, d), "content").select("id", "pos", F.coalesce(tokens(F.col("content")), F.lit(0)).cast("long").alias("tokens"))
     return retrieval.within_budget(c, F.col("tokens"), [F.asc("pos")], BUDGET).select("id", "pos", F.col("running").cast("long").alias("running"))
 
 
-def r20_processed_chunks(spark, d):
-    """Lexical candidates through the post-processing: identity rerank, at most two chunks a work, then the token budget."""
-    lex = retrieval.lexical(chunks(spark, d), WORDS, 3 * K)
-    c = chunks(spark, d).join(F.broadcast(lex), "id").where("content is not null")
-    c = retrieval.capped_per_work(c, "full_doc_id", [F.asc("pos")], 2).orderBy("pos").limit(K)
-    return retrieval.within_budget(c, tokens(F.col("content")), [F.asc("pos")], BUDGET).select("id", "pos")
-
-
 def r21_work_cap(spark, d):
-    lex = retrieval.lexical(chunks(spark, d), WORDS, K)
-    c = chunks(spark, d).join(F.broadcast(lex), "id")
+    c = retrieval.with_rows(lex(spark, d), chunks(spark, d), "full_doc_id")
     return retrieval.capped_per_work(c, "full_doc_id", [F.asc("pos")], 1).select("id", "full_doc_id", "pos")
 
 
-def r22_named_work_pin(spark, d):
-    """Chunks of the two works that lead the lexical list, two each, moved to the front."""
-    lex = retrieval.lexical(chunks(spark, d), WORDS, K)
-    c = chunks(spark, d).join(F.broadcast(lex), "id").select("id", "full_doc_id", "pos")
-    works = c.groupBy("full_doc_id").agg(F.min("pos").alias("first")).orderBy("first").limit(2)
-    pinned = retrieval.capped_per_work(c.join(F.broadcast(works), "full_doc_id"), "full_doc_id", [F.asc("pos")], 2).select("id", F.lit(0).alias("front"))
-    return retrieval.ranked(c.join(pinned, "id", "left").withColumn("front", F.coalesce("front", F.lit(1))).drop("pos").join(F.broadcast(lex.select("id", F.col("pos").alias("old"))), "id"), [F.asc("front"), F.asc("old")]).select("id", "front", "pos")
-
-
 def r23_references(spark, d):
-    lex = retrieval.lexical(chunks(spark, d), WORDS, K)
-    return retrieval.references(chunks(spark, d).join(F.broadcast(lex), "id").where("file_path is not null"))
-
-
-def r26_context(spark, d):
-    """The local leg rendered as JSON lines, one row each in order."""
-    r = _local(spark, d)
-    return r.select("pos", F.to_json(F.struct(F.col("entity_name").alias("entity"), F.col("degree").alias("rank"))).alias("line"))
-
-
-def r19_context_fit(spark, d):
-    """The local and global lists and the lexical chunks fitted to one budget."""
-    e = entity_hits(spark, d).select("pos", F.length("entity_name").alias("tokens"))
-    r = relation_hits(spark, d).select("pos", (F.length("src_id") + F.length("tgt_id")).alias("tokens"))
-    lex = retrieval.lexical(chunks(spark, d), WORDS, K)
-    c = chunks(spark, d).join(F.broadcast(lex), "id").select("pos", F.coalesce(tokens(F.col("content")), F.lit(0)).alias("tokens"))
-    return retrieval.fit_context(e, r, c, BUDGET)
+    return retrieval.references(retrieval.with_rows(lex(spark, d), chunks(spark, d), "file_path").where("file_path is not null"))
 
 
 def r28_cache_key(spark, d):
@@ -227,28 +215,6 @@ def r28_cache_key(spark, d):
     return modes.select("mode", F.concat(F.col("mode"), F.lit(":query:"), F.md5(F.concat_ws("|", "mode", F.lit(" ".join(WORDS)), F.lit(str(K)), F.lit(str(BUDGET))))).alias("key"))
 
 
-def r29_naive(spark, d):
-    """Naive mode: the lexical list and the chunks by size, in turn, within the budget."""
-    lex = retrieval.lexical(chunks(spark, d), WORDS, K)
-    big = chunks(spark, d).where("content is not null").select("id", F.length("content").alias("n")).orderBy(F.desc("n"), "id").limit(K)
-    mixed = retrieval.interleave([lex, retrieval.ranked(big, [F.desc("n"), F.asc("id")])])
-    c = chunks(spark, d).select("id", "content").join(F.broadcast(mixed), "id")
-    return retrieval.within_budget(c, F.coalesce(tokens(F.col("content")), F.lit(0)), [F.asc("rank")], 4 * BUDGET).select("id", "rank")
-
-
-def r_modes(mode: str):
-    """local, global, hybrid and mix: which ranked lists of names a mode joins."""
-
-    def run(spark: SparkSession, d: str) -> DataFrame:
-        local = entity_hits(spark, d).select(F.col("entity_name").alias("id"), "pos")
-        ends = j04_endpoints(spark, d).select("id", F.col("place").alias("pos"))
-        lists = {"local": [local], "global": [ends], "hybrid": [local, ends]}[mode]
-        return retrieval.interleave(lists).select("id", "rank")
-
-    run.__name__ = f"r11_mode_{mode}"
-    return run
-
-
 def r15_pick_by_vector(spark, d):
     """The hub's neighbours by similarity: groups are the popular names, candidates their neighbours with vectors."""
     v = vectors(spark, d)
@@ -283,7 +249,7 @@ def j09_contained(spark, d):
     return graph.induced(pairs(spark, d), graph.popular(names(spark, d), pairs(spark, d), TOP)).select("a", "b")
 
 
-QUERIES = {f.__name__: f for f in (r01_vector_search, r03_rank_given, r04_local_leg, r05_local_edges, r06_global_leg, j03_incident_edges, j04_endpoints, j05_chunk_lookup, j07_contributions, j08_coauthors, j09_contained, r07_vector_leg, r08_lexical_leg, r_modes("local"), r_modes("global"), r_modes("hybrid"), r12_interleave, r13_prepend, r14_owned_chunks, r15_pick_by_vector, r16_pick_by_weight, r17_relation_chunks, r18_token_budget, r19_context_fit, r20_processed_chunks, r21_work_cap, r22_named_work_pin, r23_references, r26_context, r28_cache_key, r29_naive)}
+QUERIES = {f.__name__: f for f in (r01_vector_search, r03_rank_given, r04_local_leg, r05_local_edges, r06_global_leg, j03_incident_edges, j04_endpoints, j05_chunk_lookup, j07_contributions, j08_coauthors, j09_contained, r07_vector_leg, r08_lexical_leg, r12_interleave, r13_prepend, r14_owned_chunks, r15_pick_by_vector, r16_pick_by_weight, r17_relation_chunks, r18_token_budget, r21_work_cap, r23_references, r28_cache_key)}
 _LOCAL = f"{ALL_SQL}, {VEC_SQL}, {_hits('entity_name')}, lo AS (SELECT entity_name, degree, pos FROM h JOIN nd ON nd.id = h.entity_name)"
 _GLOBAL = f"{ALL_SQL}, {VEC_SQL}, {_hits('src_id')}, ga AS (SELECT least(src_id, tgt_id) AS a, greatest(src_id, tgt_id) AS b, pos FROM h), en AS (SELECT id, min(place) AS place FROM (SELECT src_id AS id, pos * 2 AS place FROM h UNION ALL SELECT tgt_id, pos * 2 + 1 FROM h) JOIN lab USING (id) GROUP BY id)"
 _TAKEN = "cnt AS (SELECT group_pos, count(*) AS n FROM ow GROUP BY 1), g0 AS (SELECT *, row_number() OVER (ORDER BY group_pos) - 1 AS i, count(*) OVER () AS m FROM cnt), g1 AS (SELECT *, CAST(CASE WHEN m = 1 THEN 5 ELSE round_even(5 - i / (m - 1.0) * 4, 0) END AS INTEGER) AS want FROM g0), g2 AS (SELECT *, least(want, n) AS base, n - least(want, n) AS more FROM g1), g3 AS (SELECT group_pos, base + greatest(0, least(more, sum(want - base) OVER () - coalesce(sum(more) OVER (ORDER BY group_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS quota FROM g2), tk AS (SELECT ow.group_pos, chunk_id FROM ow JOIN g3 USING (group_pos) WHERE place <= quota)"
@@ -301,9 +267,6 @@ SQL = {
     "j09_contained": f"{ALL_SQL}, po AS (SELECT id FROM nd ORDER BY degree DESC, id LIMIT {TOP}) SELECT a, b FROM p WHERE a IN (SELECT id FROM po) AND b IN (SELECT id FROM po)",
     "r07_vector_leg": f"SELECT id, round(score, 6) AS score, row_number() OVER (ORDER BY score DESC, id) - 1 AS pos FROM (SELECT e.vec_id AS id, list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS score FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q) WHERE score >= 0.2 ORDER BY score DESC, id LIMIT {TOP}",
     "r08_lexical_leg": f"WITH {LEX_SQL} SELECT id, round(score, 6) AS score, pos FROM lx",
-    "r11_mode_local": f"{_LOCAL} SELECT entity_name AS id, row_number() OVER (ORDER BY pos) - 1 AS rank FROM (SELECT entity_name, min(pos) AS pos FROM h GROUP BY 1)",
-    "r11_mode_global": f"{_GLOBAL} SELECT id, row_number() OVER (ORDER BY place) - 1 AS rank FROM en",
-    "r11_mode_hybrid": f"{ALL_SQL}, {VEC_SQL}, {_hits('entity_name')}, h2 AS (SELECT *, row_number() OVER (ORDER BY score DESC, id) - 1 AS pos FROM (SELECT id, src_id, tgt_id, list_cosine_similarity(vector, qv) AS score FROM vec, q WHERE src_id IS NOT NULL) WHERE score >= 0.2 ORDER BY score DESC, id LIMIT {K}), en AS (SELECT id, min(place) AS place FROM (SELECT src_id AS id, pos * 2 AS place FROM h2 UNION ALL SELECT tgt_id, pos * 2 + 1 FROM h2) JOIN lab USING (id) GROUP BY id) SELECT id, row_number() OVER (ORDER BY x) - 1 AS rank FROM (SELECT id, min(struct_pack(p := pos, l := leg)) AS x FROM (SELECT entity_name AS id, pos, 0 AS leg FROM h UNION ALL SELECT id, place, 1 FROM en) GROUP BY id)",
     "r12_interleave": f"{LISTS_SQL} SELECT id, x.l AS leg, x.p AS pos, row_number() OVER (ORDER BY x) - 1 AS rank FROM (SELECT id, min(struct_pack(p := pos, l := leg)) AS x FROM li GROUP BY id)",
     "r13_prepend": f"{LISTS_SQL} SELECT id, row_number() OVER (ORDER BY x) - 1 AS rank FROM (SELECT id, min(struct_pack(l := leg, p := pos)) AS x FROM li GROUP BY id)",
     "r14_owned_chunks": f"{OWNED_SQL} SELECT group_pos, chunk_id, occurrence, place FROM ow",
@@ -311,11 +274,7 @@ SQL = {
     "r16_pick_by_weight": f"{OWNED_SQL}, {_TAKEN} SELECT group_pos, chunk_id FROM tk",
     "r17_relation_chunks": f"{OWNED_SQL}, {_TAKEN}, {VEC_SQL}, {_hits('src_id')} SELECT DISTINCT pos AS group_pos, s AS chunk_id FROM (SELECT h.pos, unnest({SPLIT_SQL.format('source_id')}) AS s FROM p JOIN h ON p.a = least(h.src_id, h.tgt_id) AND p.b = greatest(h.src_id, h.tgt_id)) WHERE s NOT IN (SELECT chunk_id FROM tk)",
     "r18_token_budget": f"WITH {LEX_SQL} SELECT id, pos, CAST(running AS BIGINT) AS running FROM (SELECT lx.id, pos, sum(coalesce(length(content), 0)) OVER (ORDER BY pos) AS running FROM lx JOIN ch USING (id)) WHERE running <= {BUDGET}",
-    "r20_processed_chunks": f"WITH {LEX_SQL.replace(f'LIMIT {K})', f'LIMIT {3 * K})')}, c AS (SELECT lx.id, pos, content, row_number() OVER (PARTITION BY full_doc_id ORDER BY pos) AS r FROM lx JOIN ch USING (id) WHERE content IS NOT NULL), k AS (SELECT * FROM c WHERE r <= 2 ORDER BY pos LIMIT {K}) SELECT id, pos FROM (SELECT id, pos, sum(length(content)) OVER (ORDER BY pos) AS t FROM k) WHERE t <= {BUDGET}",
     "r21_work_cap": f"WITH {LEX_SQL} SELECT id, full_doc_id, pos FROM (SELECT lx.id, full_doc_id, pos, row_number() OVER (PARTITION BY full_doc_id ORDER BY pos) AS r FROM lx JOIN ch USING (id)) WHERE r = 1",
-    "r22_named_work_pin": f"WITH {LEX_SQL}, c AS (SELECT lx.id, full_doc_id, pos FROM lx JOIN ch USING (id)), wk AS (SELECT full_doc_id, min(pos) AS f FROM c GROUP BY 1 ORDER BY f LIMIT 2), pi AS (SELECT id FROM (SELECT c.id, row_number() OVER (PARTITION BY full_doc_id ORDER BY pos) AS r FROM c JOIN wk USING (full_doc_id)) WHERE r <= 2), fr AS (SELECT id, pos AS old, CASE WHEN id IN (SELECT id FROM pi) THEN 0 ELSE 1 END AS front FROM c) SELECT id, front, row_number() OVER (ORDER BY front, old) - 1 AS pos FROM fr",
     "r23_references": f"WITH {LEX_SQL} SELECT row_number() OVER (ORDER BY n DESC, first) AS reference, file_path FROM (SELECT file_path, count(*) AS n, min(pos) AS first FROM lx JOIN ch USING (id) WHERE file_path IS NOT NULL GROUP BY 1)",
-    "r26_context": f"{_LOCAL} SELECT pos, '{{\"entity\":' || to_json(entity_name) || ',\"rank\":' || degree || '}}' AS line FROM lo",
     "r28_cache_key": f"SELECT mode, mode || ':query:' || md5(mode || '|{' '.join(WORDS)}|{K}|{BUDGET}') AS key FROM (VALUES ('local'), ('global'), ('hybrid'), ('mix'), ('naive')) t(mode)",
-    "r29_naive": f"WITH {LEX_SQL}, bg AS (SELECT id, row_number() OVER (ORDER BY length(content) DESC, id) - 1 AS pos FROM ch WHERE content IS NOT NULL ORDER BY length(content) DESC, id LIMIT {K}), mx AS (SELECT id, row_number() OVER (ORDER BY x) - 1 AS rank FROM (SELECT id, min(struct_pack(p := pos, l := leg)) AS x FROM (SELECT id, pos, 0 AS leg FROM lx UNION ALL SELECT id, pos, 1 FROM bg) GROUP BY id)) SELECT id, rank FROM (SELECT id, rank, sum(coalesce(length(content), 0)) OVER (ORDER BY rank) AS t FROM mx JOIN ch USING (id)) WHERE t <= {4 * BUDGET}",
 }
