@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.functions.text import evidence, parts
-from graphloom.session import cut
+from graphloom.functions.text import SEP, evidence, parts, strip
 
 
 def canonical(edges: DataFrame, newest: str = "updated_at", tie: str = "gid") -> DataFrame:
@@ -61,25 +60,35 @@ def search_labels(nodes: DataFrame, query: str, n: int) -> DataFrame:
     return nodes.select("id", label_score(F.col("id"), query).alias("score")).where("score is not null").orderBy(F.desc("score"), "id").limit(n)
 
 
-def subgraph(nodes: DataFrame, pairs: DataFrame, start: str, depth: int, cap: int) -> DataFrame:
-    """(id, level) of the nodes around a label: breadth first, each level in the order degree, label; at most ``cap`` nodes. The
-    frontier never exceeds ``cap`` rows, so its broadcast is bounded by a parameter."""
-    deg = cut(with_degree(nodes.select("id"), pairs))
-    adj = adjacency(pairs)
-    found = deg.where(F.col("id") == start).select("id", F.lit(0).alias("level"))
-    frontier, have = found, found.count()
+def directed(edges: DataFrame) -> DataFrame:
+    """Both directions of stored edges (src_id, tgt_id), with their copies: node, nbr. Nothing is shuffled."""
+    e = edges.where("src_id is not null and tgt_id is not null and src_id <> tgt_id")
+    return e.select(F.explode(F.array(F.struct(F.col("src_id").alias("node"), F.col("tgt_id").alias("nbr")), F.struct(F.col("tgt_id").alias("node"), F.col("src_id").alias("nbr")))).alias("e")).select("e.node", "e.nbr")
+
+
+def subgraph(nodes: DataFrame, edges: DataFrame, start: str, depth: int, cap: int) -> DataFrame:
+    """(id, level, truncated) of the nodes around a label: breadth first, each level in the order degree, label; at most ``cap`` nodes;
+    truncated tells whether that left any out. edges: src_id, tgt_id as stored.
+
+    Edges are filtered by the frontier where they lie, and degrees are counted for the candidates alone, so the work follows the
+    neighbourhood and not the graph. The frontier never exceeds ``cap`` rows, so its broadcast is bounded by a parameter."""
+    spark, both = nodes.sparkSession, directed(edges)
+    frontier = [r["id"] for r in nodes.where(F.col("id") == start).select("id").limit(1).collect()]
+    found, seen, cut_off = [(x, 0) for x in frontier], set(frontier), False
     for level in range(1, depth + 1):
-        if not have or have >= cap:
-            break
-        near = adj.join(F.broadcast(frontier.select(F.col("id").alias("node"))), "node").select(F.col("nbr").alias("id")).distinct()
-        fresh = near.join(F.broadcast(found.select("id")), "id", "left_anti").join(deg, "id")
-        frontier = cut(fresh.orderBy(F.desc("degree"), "id").limit(cap - have).select("id", F.lit(level).alias("level")))
-        got = frontier.count()
-        if not got:
+        if not frontier or len(found) >= cap:
             break
-        have += got
-        found = found.unionByName(frontier)
-    return found
+        asked = F.broadcast(spark.createDataFrame([(x,) for x in frontier], "node string"))
+        had = F.broadcast(spark.createDataFrame([(x,) for x in seen], "id string"))
+        near = both.join(asked, "node", "left_semi").select(F.col("nbr").alias("id")).distinct().join(had, "id", "left_anti").join(nodes.select("id").distinct(), "id", "left_semi")
+        degree = both.join(near.withColumnRenamed("id", "node"), "node", "left_semi").distinct().groupBy(F.col("node").alias("id")).agg(F.count("*").alias("degree"))
+        # one row more than there is room for tells that some are left out
+        got = [r["id"] for r in degree.orderBy(F.desc("degree"), "id").limit(cap - len(found) + 1).collect()]
+        cut_off = cut_off or len(got) > cap - len(found)
+        frontier = got[: cap - len(found)]
+        found += [(x, level) for x in frontier]
+        seen.update(frontier)
+    return spark.createDataFrame([(x, n, cut_off) for x, n in found], "id string, level int, truncated boolean")
 
 
 def induced(pairs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -93,14 +102,64 @@ def without_nodes(pairs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def redirect(pairs: DataFrame, names: DataFrame) -> DataFrame:
-    """Pairs after names (old, new) are replaced: self-loops dropped, equal pairs merged; weight = the greatest of the inputs and the
-    number of distinct real sources; keywords and files united in order."""
-    m = names.select("old", "new")
+    """Pairs (a, b, weight, source_id, file_path, keywords, description, gid) after names (old, new) are replaced: self-loops go, and
+    equal pairs become one. Weight is the greatest of the inputs and the number of distinct real sources; sources and files are
+    united in the order of gid, keywords united and sorted, distinct descriptions joined in that order. Pairs without a replaced end
+    pass through the same rules."""
+    m = names.select("old", "new").where("old <> new")
     p = pairs.join(m.select(F.col("old").alias("a"), F.col("new").alias("_na")), "a", "left").join(m.select(F.col("old").alias("b"), F.col("new").alias("_nb")), "b", "left")
-    p = p.withColumn("_a", F.coalesce("_na", "a")).withColumn("_b", F.coalesce("_nb", "b")).where("_a <> _b")
-    p = p.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "weight", F.explode_outer(parts(F.col("source_id"))).alias("s"))
-    real = ~F.col("s").isin("manual_creation", "UNKNOWN")
-    return p.groupBy("a", "b").agg(F.greatest(F.coalesce(F.max("weight"), F.lit(0.0)), F.count_distinct(F.when(real, F.col("s"))).cast("double")).alias("weight"))
+    p = p.withColumn("_a", F.coalesce("_na", "a")).withColumn("_b", F.coalesce("_nb", "b")).where("_a <> _b").withColumn("a", F.least("_a", "_b")).withColumn("b", F.greatest("_a", "_b"))
+    joined = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("gid", parts(F.col(c)).alias("v")))), lambda x: x["v"])
+    united = lambda c: F.array_join(F.array_distinct(F.flatten(joined(c))), SEP)
+    every = p.groupBy("a", "b").agg(
+        F.max("weight").alias("_w"), united("source_id").alias("source_id"), united("file_path").alias("file_path"),
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(parts(F.translate(F.col("keywords"), "，", ","), ","))))), ",").alias("keywords"),
+        F.array_join(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.when(strip(F.col("description")) != "", F.struct("gid", "description")))), lambda x: x["description"])), SEP).alias("description"),
+    )
+    floor = F.size(evidence(parts(F.col("source_id")))).cast("double")
+    return every.select("a", "b", F.greatest(F.coalesce("_w", F.lit(0.0)), floor).alias("weight"), "source_id", "file_path", "keywords", "description")
+
+
+def redirect_nodes(nodes: DataFrame, names: DataFrame) -> DataFrame:
+    """Nodes (id, entity_type, description, source_id, file_path, gid) after names (old, new) are replaced: one row a name. The type is
+    the first, distinct descriptions are joined, sources and files united, the merged ones before the target's own."""
+    m = names.select(F.col("old").alias("id"), F.col("new").alias("_n")).where("id <> _n")
+    n = nodes.join(m, "id", "left").withColumn("_o", F.struct(F.col("_n").isNull().cast("int").alias("k"), "gid")).withColumn("id", F.coalesce("_n", "id"))
+    in_order = lambda v: F.transform(F.array_sort(F.collect_list(F.struct("_o", v.alias("v")))), lambda x: x["v"])
+    united = lambda c: F.array_join(F.array_distinct(F.flatten(in_order(parts(F.col(c))))), SEP)
+    text = F.when(strip(F.coalesce("description", F.lit(""))) != "", F.col("description"))
+    return n.groupBy("id").agg(
+        F.min_by("entity_type", F.when(strip(F.col("entity_type")) != "", F.col("_o"))).alias("entity_type"),
+        F.array_join(F.array_distinct(F.filter(in_order(text), lambda x: x.isNotNull())), SEP).alias("description"), united("source_id").alias("source_id"), united("file_path").alias("file_path"),
+    )
+
+
+def redirect_tracking(tracking: DataFrame, names: DataFrame) -> DataFrame:
+    """Tracking rows (id, chunk_ids) after names are replaced: lists united in the order of the old ids, with their count."""
+    m = names.select(F.col("old").alias("id"), F.col("new").alias("_n")).where("id <> _n")
+    t = tracking.join(m, "id", "left").select(F.coalesce("_n", "id").alias("id"), F.struct(F.col("_n").isNull().alias("k"), "id").alias("_o"), F.coalesce("chunk_ids", F.array().cast("array<string>")).alias("v"))
+    lists = F.transform(F.array_sort(F.collect_list(F.struct("_o", "v"))), lambda x: x["v"])
+    united = t.groupBy("id").agg(F.array_distinct(F.filter(F.flatten(lists), lambda x: x.isNotNull())).alias("chunk_ids"))
+    return united.withColumn("chunk_count", F.size("chunk_ids"))
+
+
+def edited(pairs: DataFrame, edits: DataFrame) -> DataFrame:
+    """Pairs after edits (a, b, weight; one row a pair) of their weights, with the outcome: kept, edited, or refused where the new weight
+    is below the number of distinct real sources or not above 0."""
+    e = evidence_counts(pairs).join(edits.select("a", "b", F.col("weight").alias("_new"), F.lit(True).alias("_asked")), ["a", "b"], "left")
+    fine = (F.col("_new") > 0) & (F.col("_new") >= F.col("evidence"))
+    outcome = F.when(F.col("_asked").isNull() | F.col("_new").isNull(), "kept").when(fine, "edited").otherwise("refused")
+    return e.select("a", "b", F.when(outcome == "edited", F.col("_new")).otherwise(F.col("weight")).alias("weight"), outcome.alias("outcome"))
+
+
+def created(nodes: DataFrame, pairs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(src_id, tgt_id, state) of asked relations: created where both ends exist and no relation of them is stored, else why not."""
+    a = asked.where("src_id is not null and tgt_id is not null").select("src_id", "tgt_id").distinct()
+    hit = lambda c, x: nodes.select(F.col("id").alias(c), F.lit(True).alias(x)).distinct()
+    x = a.withColumn("a", F.least("src_id", "tgt_id")).withColumn("b", F.greatest("src_id", "tgt_id"))
+    x = x.join(hit("src_id", "_s"), "src_id", "left").join(hit("tgt_id", "_t"), "tgt_id", "left").join(pairs.select("a", "b", F.lit(True).alias("_e")), ["a", "b"], "left")
+    state = F.when(F.col("src_id") == F.col("tgt_id"), "self-loop").when(F.col("_s").isNull() | F.col("_t").isNull(), "endpoint missing").when(F.col("_e"), "exists").otherwise("created")
+    return x.select("src_id", "tgt_id", state.alias("state"))
 
 
 def evidence_counts(df: DataFrame) -> DataFrame:
