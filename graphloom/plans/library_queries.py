@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.functions.text import strip
-from graphloom.operators import citation, evaluation, lifecycle, maintenance, references
+from graphloom.functions.text import parts, strip
+from graphloom.operators import citation, evaluation, graph, lifecycle, maintenance, references, retrieval
 from graphloom.plans.graph_queries import ALL_SQL, LIST_SQL, names, pairs
+from graphloom.session import cut
 from graphloom.sources.tables import table, unique
 
 PAPER, OTHER, TOPIC = 1, 100, "STANDARD"
@@ -44,12 +45,23 @@ def topics(spark, d) -> tuple[DataFrame, DataFrame]:
     return tree, p.select(F.col("p_partkey").alias("paper"), F.col("leaf").alias("topic")).unionByName(p.where("p_partkey = 1").select(F.col("p_partkey").alias("paper"), F.col("p_type").alias("topic")))
 
 
+def authors(spark, d) -> DataFrame:
+    """Suppliers of a part stand for its authors."""
+    return table(spark, d, "lineitem").select(F.col("l_partkey").alias("paper"), F.col("l_suppkey").alias("author")).distinct()
+
+
+def z01_structure(spark, d):
+    """Citations in both directions and coupled papers of every paper."""
+    return citation.structure(cites(spark, d), citation.coupling(lists(spark, d)))
+
+
 def z01_coupling(spark, d):
     return citation.coupling(lists(spark, d))
 
 
 def z02_related(spark, d):
-    return citation.related(cites(spark, d), citation.coupling(lists(spark, d)), PAPER, 50)
+    years = table(spark, d, "part").select(F.col("p_partkey").alias("paper"), F.col("p_size").alias("year"))
+    return citation.related(cites(spark, d), citation.coupling(lists(spark, d)), authors(spark, d), years, PAPER, 50)
 
 
 def z03_topic_papers(spark, d):
@@ -59,7 +71,13 @@ def z03_topic_papers(spark, d):
 
 def z04_topic_search(spark, d):
     tree, _ = topics(spark, d)
-    return tree.select("topic").distinct().where(F.exists(F.split(F.lower("topic"), " "), lambda w: w.startswith("brand#1")))
+    t = tree.select("topic").distinct()
+    asked = ("brand#1", "stan", "brand#12 econ", "brand#1 tin", "bra")
+    whole = None
+    for q in asked:
+        x = citation.topic_search(t, q).select(F.lit(q).alias("query"), "topic")
+        whole = x if whole is None else whole.unionByName(x)
+    return whole
 
 
 def z05_cheapest(spark, d):
@@ -92,13 +110,41 @@ def papers(spark, d) -> DataFrame:
     return unique(spark, d, "papers", "title", "venue", "authors", "pub_year")
 
 
+def z09_resolve(spark, d):
+    """Papers by their DOIs as typed, their titles in capitals and their ids."""
+    p = papers_full(spark, d)
+    asked = p.select(F.explode(F.array("doi", F.upper("title"), "paper_id", F.concat(F.lit("https://doi.org/"), "doi"))).alias("asked"))
+    return citation.resolve(p, asked)
+
+
+def papers_full(spark, d) -> DataFrame:
+    return unique(spark, d, "papers", "doi", "title", "venue", "authors", "pub_year", "attachment_key")
+
+
+def _asked_work(p: DataFrame) -> tuple[list[str], int]:
+    """Family name and year of the first paper with a sound year stand for those in a question."""
+    r = p.where("pub_year between 1900 and 2030 and size(authors) > 0").orderBy("paper_id").select("pub_year", F.split(F.trim(F.col("authors")[0]["display_name"]), " ").alias("n")).first()
+    return [citation.fold_text(r["n"][-1])], r["pub_year"]
+
+
 def r09_find_works(spark, d):
-    return citation.find_works(papers(spark, d), "fobabiran", 2001)
+    """Works of an author and year with their passages: the first document of each and its best by the question's words. The document
+    of a paper's number stands for its passages."""
+    p = papers_full(spark, d)
+    works = cut(citation.find_works(p, *_asked_work(p)))
+    c = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", F.concat(F.lit("W"), F.lpad((F.col("doc_id") - 1).cast("string"), 9, "0")).alias("paper_id")).where("text is not null")
+    hits = F.size(F.array_intersect(retrieval.terms_of(F.col("text")), F.array(*map(F.lit, retrieval.question_terms(QUESTION)))))
+    listed = retrieval.ranked(works, [F.desc("score"), F.asc("paper_id")]).select("paper_id", F.col("pos").alias("work_pos"))
+    rows = c.join(F.broadcast(listed), "paper_id").select(F.col("paper_id").alias("work"), "work_pos", "id", F.col("id").alias("place"), hits.alias("score"))
+    return retrieval.per_work(rows, 20, works.count()).select("work", "id", "pos")
+
+
+QUESTION = ["glacier", "survey", "tidal", "archive", "catalogue", "of", "nested"]
 
 
 def r10_mentions(spark, d):
     c = unique(spark, d, "text_chunks", "content").select("id", "content")
-    return citation.mentions(c, "id", "content").orderBy(F.desc("n"), "mention").limit(100)
+    return citation.mentions(c, "id", "content")
 
 
 def r31_citation_line(spark, d):
@@ -106,24 +152,32 @@ def r31_citation_line(spark, d):
 
 
 def r32_paper_search(spark, d):
-    return citation.paper_search(papers(spark, d), "the a")
+    return citation.paper_search(papers(spark, d), "on a")
 
 
 def r33_passages(spark, d):
-    """The longest distinct passages of each document, at most four."""
-    c = unique(spark, d, "text_chunks", "full_doc_id", "content").where("content is not null").groupBy("full_doc_id", F.md5("content").alias("digest")).agg(F.min("id").alias("id"), F.max(F.length("content")).alias("n"))
-    from graphloom.operators.retrieval import capped_per_work
+    """Passages of every item for a question: by the vectors of the documents that have one, and by words."""
+    v = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    c = table(spark, d, "documents").select(F.col("item_key").alias("work"), F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    return citation.passages(c, v, v.where("id = 0").first()["vector"], QUESTION)
 
-    return capped_per_work(c, "full_doc_id", [F.desc("n"), F.asc("id")], 4).select("id", "full_doc_id", "n")
+
+LINKING = 10
 
 
 def r34_linking_names(spark, d):
-    """Names that link two names of one document or more: neighbours of what the document contributes."""
+    """Names that link two names of one document or more, the LINKING best of each document: neighbours of what it contributes."""
     prov = maintenance.provenance(unique(spark, d, "graph_nodes", "id", "source_id"))
-    p = pairs(spark, d)
-    adj = p.select(F.col("a").alias("node"), F.col("b").alias("nbr")).unionByName(p.select(F.col("b").alias("node"), F.col("a").alias("nbr")))
+    adj = graph.adjacency(pairs(spark, d))
     near = prov.withColumnRenamed("name", "node").join(adj, "node").groupBy("doc_id", "nbr").agg(F.count("*").alias("n")).where("n >= 2")
-    return near.join(prov.withColumnRenamed("name", "nbr"), ["doc_id", "nbr"], "left_anti")
+    near = near.join(prov.withColumnRenamed("name", "nbr"), ["doc_id", "nbr"], "left_anti")
+    return retrieval.capped_per_work(near, "doc_id", [F.desc("n"), F.asc("nbr")], LINKING)
+
+
+def r34_relations(spark, d):
+    """Relations that each document's chunks contribute."""
+    p = pairs(spark, d).select("a", "b", F.explode(parts(F.col("source_id"))).alias("s"))
+    return p.select(F.regexp_extract("s", "^(doc-[0-9a-f]{32})-chunk-", 1).alias("doc_id"), "a", "b").where("doc_id <> ''").distinct()
 
 
 def docs(spark, d) -> DataFrame:
@@ -263,24 +317,61 @@ _TFIDF = (
 )
 _KEY = "CASE WHEN length(id) % 2 = 0 THEN 'mix:query:' ELSE 'default:extract:' END || md5(id)"
 
-QUERIES = {f.__name__: f for f in (z01_coupling, z02_related, z03_topic_papers, z04_topic_search, z05_cheapest, z05_paths, z06_map, z07_thinned, z08_link_weights, z09_dois, r09_find_works, r10_mentions, r31_citation_line, r32_paper_search, r33_passages, r34_linking_names, p01_enqueue, p02_moves, p03_keyset_page, p04_offset_page, p05_conflicts, p06_delete_document, p08_resumable, s08_upsert, s08_missing_keys, s09_rows, s14_first_contexts, s16_noop, e01_tfidf, e02_terms, e03_measures, m01_rebuild_vectors, m02_clean_cache, m03_copy_cache, m04_clear_workspace, j06_unseen, j10_anchor_gaps, j11_tracking_repair, j12_live_references)}
+_FOLD = "translate(lower({0}), 'áàâäãåéèêëíìîïóòôöõøúùûüñçýšžč', 'aaaaaaeeeeiiiioooooouuuuncyszc')"
+_PLAIN = "regexp_replace(" + _FOLD + ", '[^a-z0-9]+', ' ', 'g')"
+_SPACED = "(' ' || " + _PLAIN + " || ' ')"
+_DOI = "CASE WHEN regexp_matches(regexp_replace(regexp_replace(lower(trim({0})), '^(?:https?://)?(?:dx\\.)?doi\\.org/|^doi:\\s*', '', 'g'), '[\\s.,;)]+$', '', 'g'), '^10\\.[0-9]{{4,9}}/\\S+$') THEN regexp_replace(regexp_replace(lower(trim({0})), '^(?:https?://)?(?:dx\\.)?doi\\.org/|^doi:\\s*', '', 'g'), '[\\s.,;)]+$', '', 'g') END"
+
+QUERIES = {f.__name__: f for f in (z01_coupling, z01_structure, z02_related, z03_topic_papers, z04_topic_search, z05_cheapest, z05_paths, z06_map, z07_thinned, z08_link_weights, z09_dois, z09_resolve, r09_find_works, r10_mentions, r31_citation_line, r32_paper_search, r33_passages, r34_linking_names, r34_relations, p01_enqueue, p02_moves, p03_keyset_page, p04_offset_page, p05_conflicts, p06_delete_document, p08_resumable, s08_upsert, s08_missing_keys, s09_rows, s14_first_contexts, s16_noop, e01_tfidf, e02_terms, e03_measures, m01_rebuild_vectors, m02_clean_cache, m03_copy_cache, m04_clear_workspace, j06_unseen, j10_anchor_gaps, j11_tracking_repair, j12_live_references)}
 # names of lifecycle operators begin like those of the numbered problems, so they are registered under another prefix
 for _name in [k for k in QUERIES if k.startswith("p0")]:
     QUERIES[f"d{_name[1:]}"] = QUERIES.pop(_name)
 SQL = {
     "z01_coupling": f"WITH {CITE_SQL} SELECT x, y, shared FROM cp",
-    "z02_related": f"WITH {CITE_SQL} SELECT other, greatest(max(o), max(i)) * 1.0 + max(o) * max(i) * 0.25 + sum(c) * 2.0 AS score FROM (SELECT dst AS other, 1 AS o, 0 AS i, 0 AS c FROM ci WHERE src = {PAPER} UNION ALL SELECT src, 0, 1, 0 FROM ci WHERE dst = {PAPER} UNION ALL SELECT y, 0, 0, shared FROM cp WHERE x = {PAPER} UNION ALL SELECT x, 0, 0, shared FROM cp WHERE y = {PAPER}) WHERE other <> {PAPER} GROUP BY 1 ORDER BY score DESC, other LIMIT 50",
+    "z02_related": (
+        f"WITH {CITE_SQL}, au AS (SELECT DISTINCT l_partkey AS p, l_suppkey AS a FROM lineitem), sa AS (SELECT p, count(*) AS w FROM au WHERE a IN (SELECT a FROM au WHERE p = {PAPER}) GROUP BY 1), cin AS (SELECT dst, count(*) AS n FROM ci GROUP BY 1),"
+        f" u AS (SELECT dst AS other, 1 AS o, 0 AS i, 0 AS c, 0 AS w FROM ci WHERE src = {PAPER} UNION ALL SELECT src, 0, 1, 0, 0 FROM ci WHERE dst = {PAPER} UNION ALL SELECT y, 0, 0, shared, 0 FROM cp WHERE x = {PAPER} UNION ALL SELECT x, 0, 0, shared, 0 FROM cp WHERE y = {PAPER} UNION ALL SELECT p, 0, 0, 0, w FROM sa),"
+        f" s AS (SELECT other, greatest(max(o), max(i)) * 1.0 + max(o) * max(i) * 0.25 + sum(c) * 2.0 + least(sum(w), 4) * 0.25 AS score FROM u WHERE other <> {PAPER} GROUP BY 1)"
+        " SELECT other, CAST(score AS DOUBLE) AS score, coalesce(n, 0) AS cited_in, p_size AS year FROM s LEFT JOIN cin ON cin.dst = other LEFT JOIN part ON p_partkey = other ORDER BY score DESC, cited_in DESC, year DESC NULLS LAST, other LIMIT 50"
+    ),
     "z03_topic_papers": f"SELECT p_partkey AS paper, p_partkey = 1 AS primary FROM part WHERE p_type = '{TOPIC}'",
-    "z04_topic_search": "SELECT DISTINCT p_type || ' / ' || p_brand AS topic FROM part WHERE starts_with(lower(p_brand), 'brand#1')",
+    "z04_topic_search": "WITH t AS (SELECT DISTINCT topic, regexp_split_to_array(lower(topic), '[\\s/]+') AS w FROM (SELECT p_type || ' / ' || p_brand AS topic FROM part UNION ALL SELECT p_type FROM part)), q AS (SELECT unnest(['brand#1', 'stan', 'brand#12 econ', 'brand#1 tin', 'bra']) AS query), qw AS (SELECT query, unnest(string_split(query, ' ')) AS x FROM q) SELECT query, topic FROM (SELECT query, topic, bool_and(list_contains(w, x) OR length(x) >= 4 AND len(list_filter(w, lambda y: starts_with(y, x))) > 0) AS ok FROM qw, t GROUP BY 1, 2) WHERE ok",
     "z05_cheapest": f"WITH {CITE_SQL}, tl AS (SELECT node AS nbr, 1 + 0.5 * log2(1 + deg) AS toll FROM dg), h1 AS (SELECT nbr AS node, toll AS cost FROM ad JOIN tl USING (nbr) WHERE node = {PAPER}), b1 AS (SELECT node, min(cost) AS cost FROM h1 GROUP BY 1), h2 AS (SELECT ad.nbr AS node, b1.cost + tl.toll AS cost FROM b1 JOIN ad ON ad.node = b1.node JOIN tl ON tl.nbr = ad.nbr) SELECT node, round(x.c, 6) AS cost, x.h AS hops FROM (SELECT node, min(struct_pack(c := cost, h := hops)) AS x FROM (SELECT {PAPER} AS node, 0.0::DOUBLE AS cost, 0 AS hops UNION ALL SELECT node, cost, 1 FROM b1 UNION ALL SELECT node, cost, 2 FROM h2) GROUP BY node)",
     "z06_map": f"WITH {CITE_SQL}, f1 AS (SELECT nbr AS node, sum(weight) AS s FROM ad WHERE node = {PAPER} GROUP BY 1 ORDER BY s DESC, 1 LIMIT 20), f2 AS (SELECT ad.nbr AS node, sum(f1.s * weight / log2(2 + deg)) AS s FROM f1 JOIN ad USING (node) JOIN dg USING (node) WHERE ad.nbr <> {PAPER} AND ad.nbr NOT IN (SELECT node FROM f1) GROUP BY 1 ORDER BY s DESC, 1 LIMIT 20) SELECT node, 1 AS hop, round(s, 6) AS strength FROM f1 UNION ALL SELECT node, 2, round(s, 6) FROM f2",
     "z07_thinned": f"WITH {CITE_SQL}, rn AS (SELECT *, row_number() OVER (PARTITION BY node ORDER BY weight DESC, nbr) AS r FROM ad), k AS (SELECT least(node, nbr) AS x, greatest(node, nbr) AS y, max(weight) AS weight, bool_or(r = 1) AS best, bool_or(node = {PAPER}) AS seed FROM rn WHERE node = {PAPER} OR r <= 6 GROUP BY 1, 2), t AS (SELECT x, y, weight FROM k ORDER BY seed DESC, weight DESC, x, y LIMIT 4000) SELECT x, y, weight FROM k WHERE best UNION SELECT x, y, weight FROM t",
+    "z01_structure": f"WITH {CITE_SQL} SELECT node, CAST(sum(c) AS BIGINT) AS cites, CAST(sum(i) AS BIGINT) AS cited, CAST(sum(k) AS BIGINT) AS coupled FROM (SELECT src AS node, 1 AS c, 0 AS i, 0 AS k FROM ci UNION ALL SELECT dst, 0, 1, 0 FROM ci UNION ALL SELECT x, 0, 0, 1 FROM cp UNION ALL SELECT y, 0, 0, 1 FROM cp) GROUP BY 1",
+    "z09_resolve": (
+        f"WITH p AS (SELECT DISTINCT paper_id, doi, title FROM papers), a AS (SELECT DISTINCT asked FROM (SELECT unnest([doi, upper(title), paper_id, 'https://doi.org/' || doi]) AS asked FROM p) WHERE asked IS NOT NULL),"
+        f" k AS (SELECT '1 id' AS rule, paper_id AS key, paper_id FROM p UNION ALL SELECT '2 doi', {_DOI.format('doi')}, paper_id FROM p UNION ALL SELECT '3 title', {_PLAIN.format('title')}, paper_id FROM p), k1 AS (SELECT rule, key, min(paper_id) AS paper_id FROM k WHERE key IS NOT NULL AND key <> '' GROUP BY 1, 2),"
+        f" x AS (SELECT asked, '1 id' AS rule, asked AS key FROM a UNION ALL SELECT asked, '2 doi', {_DOI.format('asked')} FROM a UNION ALL SELECT asked, '3 title', {_PLAIN.format('asked')} FROM a)"
+        " SELECT asked, m.p AS paper_id, substr(m.r, 3) AS rule FROM (SELECT asked, min(struct_pack(r := x.rule, p := k1.paper_id)) AS m FROM x JOIN k1 ON k1.rule = x.rule AND k1.key = x.key GROUP BY 1)"
+    ),
+    "r09_find_works": (
+        f"WITH p AS (SELECT DISTINCT * FROM papers), q AS (SELECT {_FOLD.format("string_split(trim(authors[1].display_name), ' ')[-1]")} AS s, pub_year AS y FROM p WHERE pub_year BETWEEN 1900 AND 2030 AND len(authors) > 0 ORDER BY paper_id LIMIT 1),"
+        f" au AS (SELECT paper_id, pub_year, attachment_key, i, list_contains(regexp_split_to_array({_FOLD.format('a.display_name')}, '[^a-z]+'), s) AS ok FROM (SELECT paper_id, pub_year, attachment_key, unnest(authors) AS a, unnest(generate_series(0, len(authors) - 1)) AS i FROM p), q),"
+        " sc AS (SELECT paper_id, any_value(attachment_key) AS k, coalesce(any_value(pub_year) = (SELECT y FROM q), false) AS exact, any_value(pub_year) AS yr, 1 + CAST(min(i) = 0 AS INTEGER) + CAST(coalesce(any_value(pub_year) = (SELECT y FROM q), false) AS INTEGER) AS score FROM au WHERE ok GROUP BY 1),"
+        " ok AS (SELECT * FROM sc WHERE exact OR abs(yr - (SELECT y FROM q)) = 1 AND score > (SELECT coalesce(max(score), 0) FROM sc WHERE exact)), wk AS (SELECT *, row_number() OVER (ORDER BY score DESC, paper_id) - 1 AS work_pos, count(*) OVER () AS m FROM ok WHERE (SELECT count(*) FROM ok WHERE score = (SELECT max(score) FROM ok)) <= 9),"
+        f" c AS (SELECT wk.paper_id AS work, work_pos, m, doc_id AS id, len(list_filter(list_distinct(regexp_split_to_array(lower(text), '[^a-z]+')), lambda t: list_contains({retrieval.question_terms(QUESTION)!r}, t))) AS h FROM documents JOIN wk ON wk.paper_id = 'W' || lpad(CAST(doc_id - 1 AS VARCHAR), 9, '0') WHERE text IS NOT NULL),"
+        " d AS (SELECT *, row_number() OVER (PARTITION BY work ORDER BY id) = 1 AS lead FROM c), e AS (SELECT *, row_number() OVER (PARTITION BY work ORDER BY lead DESC, h DESC, id) AS r FROM d)"
+        " SELECT work, id, row_number() OVER (ORDER BY work_pos, r) - 1 AS pos FROM e WHERE r <= ceil(20.0 / m)"
+    ),
+    "r32_paper_search": (
+        f"SELECT *, row_number() OVER (ORDER BY named DESC, whole DESC, title_hits DESC, year DESC NULLS LAST, paper_id) - 1 AS pos FROM (SELECT paper_id, coalesce(trim({_SPACED.format('title')}) = 'on a', false) AS named, CAST(contains({_SPACED.format('t')}, ' on ') AS INTEGER) + CAST(contains({_SPACED.format('t')}, ' a ') AS INTEGER) AS whole,"
+        f" coalesce(CAST(contains({_FOLD.format('title')}, 'on') AS INTEGER) + CAST(contains({_FOLD.format('title')}, 'a') AS INTEGER), 0) AS title_hits, pub_year AS year FROM (SELECT *, concat_ws(' ', {_FOLD.format('title')}, {_FOLD.format('venue')}, {_FOLD.format("array_to_string(list_transform(authors, lambda x: x.display_name), ' ')")}) AS t FROM (SELECT DISTINCT * FROM papers)) WHERE contains(t, 'on') AND contains(t, 'a')) ORDER BY pos LIMIT 1000"
+    ),
+    "r34_relations": f"{ALL_SQL} SELECT DISTINCT regexp_extract(s, '^(doc-[0-9a-f]{{32}})-chunk-', 1) AS doc_id, a, b FROM (SELECT a, b, unnest({LIST_SQL.format('source_id')}) AS s FROM p) WHERE regexp_matches(s, '^doc-[0-9a-f]{{32}}-chunk-')",
     "z08_link_weights": f"WITH {CITE_SQL} SELECT x, y, weight FROM lk",
     "z09_dois": "SELECT DISTINCT paper_id, CASE WHEN regexp_matches(x, '^10\\.[0-9]{4,9}/\\S+$') THEN x END AS doi FROM (SELECT paper_id, regexp_replace(regexp_replace(lower(trim(doi)), '^(?:https?://)?(?:dx\\.)?doi\\.org/|^doi:\\s*', '', 'g'), '[\\s.,;)]+$', '', 'g') AS x FROM papers)",
-    "r10_mentions": f"SELECT mention, count(*) AS n FROM (SELECT unnest(regexp_extract_all(content, '{citation.MENTION[1:-1]}')) AS mention FROM (SELECT DISTINCT id, content FROM text_chunks)) GROUP BY 1 ORDER BY n DESC, mention LIMIT 100",
+    "r10_mentions": f"SELECT mention, count(*) AS n FROM (SELECT unnest(regexp_extract_all(content, '{citation.MENTION[1:-1]}')) AS mention FROM (SELECT DISTINCT id, content FROM text_chunks)) GROUP BY 1",
     "r31_citation_line": "SELECT paper_id, substr(concat_ws(' ', authors[1].display_name, '(' || pub_year || ')', title), 1, 80) AS line FROM (SELECT DISTINCT * FROM papers)",
-    "r33_passages": "SELECT id, full_doc_id, n FROM (SELECT *, row_number() OVER (PARTITION BY full_doc_id ORDER BY n DESC, id) AS r FROM (SELECT full_doc_id, md5(content) AS g, min(id) AS id, CAST(max(length(content)) AS INTEGER) AS n FROM (SELECT DISTINCT id, full_doc_id, content FROM text_chunks WHERE content IS NOT NULL) GROUP BY 1, 2)) WHERE r <= 4",
-    "r34_linking_names": f"{ALL_SQL}, {_PROV} SELECT doc_id, nbr, n FROM (SELECT doc_id, nbr, count(*) AS n FROM pv JOIN adj ON adj.node = pv.name GROUP BY 1, 2) x WHERE n >= 2 AND NOT EXISTS (SELECT 1 FROM pv WHERE pv.doc_id = x.doc_id AND pv.name = x.nbr)",
+    "r33_passages": (
+        f"WITH q AS (SELECT CAST(embedding AS DOUBLE[]) AS qv FROM embeddings WHERE vec_id = 0), c AS (SELECT item_key AS work, doc_id AS id, length(text) AS chars, md5(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS digest, len(list_filter(list_distinct(regexp_split_to_array(lower(text), '[^a-z]+')), lambda t: list_contains({retrieval.question_terms(QUESTION)!r}, t))) AS hits,"
+        " list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), qv) AS cosine FROM documents JOIN q ON true LEFT JOIN embeddings e ON e.vec_id = doc_id WHERE item_key IS NOT NULL AND regexp_replace(text, '^\\s+|\\s+$', '', 'g') <> ''),"
+        " o AS (SELECT work, digest, min(id) AS id, max(chars) AS chars, max(hits) AS hits, max(cosine) AS cosine, count(*) OVER (PARTITION BY work) <= 60 AS small FROM c GROUP BY work, digest),"
+        " ev AS (SELECT * FROM o WHERE small UNION SELECT * FROM (SELECT * FROM o WHERE NOT small AND cosine IS NOT NULL QUALIFY row_number() OVER (PARTITION BY work ORDER BY cosine DESC, id) <= 40) UNION SELECT * FROM (SELECT * FROM o WHERE NOT small AND hits > 0 QUALIFY row_number() OVER (PARTITION BY work ORDER BY hits DESC, id) <= 40))"
+        " SELECT work, id, CAST(chars AS INTEGER) AS chars, row_number() OVER (PARTITION BY work ORDER BY round(cosine, 9) DESC NULLS LAST, hits DESC, id) - 1 AS pos FROM ev QUALIFY pos < 10"
+    ),
+    "r34_linking_names": f"{ALL_SQL}, {_PROV} SELECT doc_id, nbr, n FROM (SELECT doc_id, nbr, count(*) AS n FROM pv JOIN adj ON adj.node = pv.name GROUP BY 1, 2) x WHERE n >= 2 AND NOT EXISTS (SELECT 1 FROM pv WHERE pv.doc_id = x.doc_id AND pv.name = x.nbr) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, nbr) <= {LINKING}",
     "d01_enqueue": f"WITH {_DS}, k AS (SELECT *, {_FK} AS fk FROM ds), n AS (SELECT fk, arg_min(id, struct_pack(c := created_at, i := id)) AS o FROM k WHERE fk IS NOT NULL GROUP BY 1), h AS (SELECT content_hash, arg_min(id, struct_pack(c := created_at, i := id)) AS o FROM k WHERE content_hash IS NOT NULL GROUP BY 1) SELECT k.id, CASE WHEN (n.o IS NULL OR n.o = k.id) AND (h.o IS NULL OR h.o = k.id) THEN 'pending' ELSE 'duplicate' END AS state, CASE WHEN n.o <> k.id THEN n.o WHEN h.o <> k.id THEN h.o END AS original, CASE WHEN n.o <> k.id THEN 'name' WHEN h.o <> k.id THEN 'hash' END AS rule FROM k LEFT JOIN n USING (fk) LEFT JOIN h ON h.content_hash = k.content_hash",
     "d02_moves": f"WITH {_DS} SELECT id, coalesce(state = 'analyzing', false) AS may FROM ds",
     "d03_keyset_page": f"WITH {_DS} SELECT id, created_at FROM ds WHERE state IN ('processed', 'failed') AND (created_at > TIMESTAMP '2024-01-01' OR (created_at = TIMESTAMP '2024-01-01' AND id > '')) ORDER BY created_at, id LIMIT 100",
