@@ -132,7 +132,7 @@ def r09_find_works(spark, d):
     of a paper's number stands for its passages."""
     p = papers_full(spark, d)
     works = cut(citation.find_works(p, *_asked_work(p)))
-    c = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", F.concat(F.lit("W"), F.lpad((F.col("doc_id") - 1).cast("string"), 9, "0")).alias("paper_id")).where("text is not null")
+    c = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", F.concat(F.lit("W"), F.lpad((F.col("doc_id") - 2).cast("string"), 9, "0")).alias("paper_id")).where("text is not null")
     hits = F.size(F.array_intersect(retrieval.terms_of(F.col("text")), F.array(*map(F.lit, retrieval.question_terms(QUESTION)))))
     listed = retrieval.ranked(works, [F.desc("score"), F.asc("paper_id")]).select("paper_id", F.col("pos").alias("work_pos"))
     rows = c.join(F.broadcast(listed), "paper_id").select(F.col("paper_id").alias("work"), "work_pos", "id", F.col("id").alias("place"), hits.alias("score"))
@@ -351,7 +351,7 @@ SQL = {
         f" au AS (SELECT paper_id, pub_year, attachment_key, i, list_contains(regexp_split_to_array({_FOLD.format('a.display_name')}, '[^a-z]+'), s) AS ok FROM (SELECT paper_id, pub_year, attachment_key, unnest(authors) AS a, unnest(generate_series(0, len(authors) - 1)) AS i FROM p), q),"
         " sc AS (SELECT paper_id, any_value(attachment_key) AS k, coalesce(any_value(pub_year) = (SELECT y FROM q), false) AS exact, any_value(pub_year) AS yr, 1 + CAST(min(i) = 0 AS INTEGER) + CAST(coalesce(any_value(pub_year) = (SELECT y FROM q), false) AS INTEGER) AS score FROM au WHERE ok GROUP BY 1),"
         " ok AS (SELECT * FROM sc WHERE exact OR abs(yr - (SELECT y FROM q)) = 1 AND score > (SELECT coalesce(max(score), 0) FROM sc WHERE exact)), wk AS (SELECT *, row_number() OVER (ORDER BY score DESC, paper_id) - 1 AS work_pos, count(*) OVER () AS m FROM ok WHERE (SELECT count(*) FROM ok WHERE score = (SELECT max(score) FROM ok)) <= 9),"
-        f" c AS (SELECT wk.paper_id AS work, work_pos, m, doc_id AS id, len(list_filter(list_distinct(regexp_split_to_array(lower(text), '[^a-z]+')), lambda t: list_contains({retrieval.question_terms(QUESTION)!r}, t))) AS h FROM documents JOIN wk ON wk.paper_id = 'W' || lpad(CAST(doc_id - 1 AS VARCHAR), 9, '0') WHERE text IS NOT NULL),"
+        f" c AS (SELECT wk.paper_id AS work, work_pos, m, doc_id AS id, len(list_filter(list_distinct(regexp_split_to_array(lower(text), '[^a-z]+')), lambda t: list_contains({retrieval.question_terms(QUESTION)!r}, t))) AS h FROM documents JOIN wk ON wk.paper_id = 'W' || lpad(CAST(doc_id - 2 AS VARCHAR), 9, '0') WHERE text IS NOT NULL),"
         " d AS (SELECT *, row_number() OVER (PARTITION BY work ORDER BY id) = 1 AS lead FROM c), e AS (SELECT *, row_number() OVER (PARTITION BY work ORDER BY lead DESC, h DESC, id) AS r FROM d)"
         " SELECT work, id, row_number() OVER (ORDER BY work_pos, r) - 1 AS pos FROM e WHERE r <= ceil(20.0 / m)"
     ),

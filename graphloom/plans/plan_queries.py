@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from graphloom.functions.text import parts
 from graphloom.operators import graph, retrieval
 from graphloom.plans.graph_queries import ALL_SQL, LIST_SQL, names, nodes
-from graphloom.plans.retrieval_queries import K, VEC_SQL, WORDS, _bib, _hits, _lex_sql, chunks, lex, query_vector, vectors
+from graphloom.plans.retrieval_queries import K, VEC_SQL, WORDS, _hits, _lex_sql, bibliography_sql, chunks, lex, query_vector, vectors
 from graphloom.session import cut
 from graphloom.sources.tables import table, unique
 
@@ -270,7 +270,7 @@ def _processed_sql(rows: str, top: int, budget: int, floor: float, most: int) ->
     share = f"round(len(list_filter(list_distinct(regexp_split_to_array(lower(content), '[^a-z]+')), lambda t: list_contains({terms!r}, t))) / {float(len(terms))}, 6)"
     cap = f" QUALIFY row_number() OVER (PARTITION BY work ORDER BY pinned DESC, score DESC, pos) <= {most}" if most else ""
     return (
-        f"c1 AS (SELECT ch.id, {rows}.pos, full_doc_id AS work, content, file_path, {share} AS score FROM {rows} JOIN ch USING (id) WHERE content IS NOT NULL AND NOT {_bib('content')}),"
+        f"c1 AS (SELECT ch.id, {rows}.pos, full_doc_id AS work, content, file_path, {share} AS score FROM {rows} JOIN ch USING (id) WHERE content IS NOT NULL AND NOT {bibliography_sql('content')}),"
         f" c2 AS (SELECT *, work IN (SELECT work FROM wk) AND row_number() OVER (PARTITION BY work ORDER BY score DESC, pos) <= {PIN_MOST} AS pinned FROM c1 WHERE score >= {floor}),"
         f" c3 AS (SELECT * FROM c2{cap}), c4 AS (SELECT * FROM c3 ORDER BY pinned DESC, score DESC, pos LIMIT {top}),"
         f" c5 AS (SELECT *, sum(length(content)) OVER (ORDER BY pinned DESC, score DESC, pos) AS t FROM c4),"

@@ -109,7 +109,7 @@ def r08_lexical_leg(spark, d):
     return lex(spark, d).select("id", F.round("score", 6).alias("score"), "pos")
 
 
-def _bib(x: str) -> str:
+def bibliography_sql(x: str) -> str:
     """is_bibliography in SQL."""
     q = lambda p: "'" + p.replace("'", "''") + "'"
     m = lambda p: f"regexp_matches(l, {q(p)})"
@@ -129,7 +129,7 @@ def _lex_sql(k: int) -> str:
         f" dw AS (SELECT w, count(*) AS df, count(*) > {_MOST} AS common FROM ht GROUP BY w), fw AS (SELECT coalesce(min(ln((SELECT count(*) FROM ch) / (df + 1.0))), 0.0) AS f FROM dw WHERE NOT common),"
         " wt AS (SELECT w, df, common, CASE WHEN common THEN f ELSE ln((SELECT count(*) FROM ch) / (df + 1.0)) END AS wt FROM dw, fw), rare AS (SELECT w FROM wt WHERE NOT common ORDER BY df, w LIMIT 3),"
         f" l0 AS (SELECT id, round(sum(wt), 9) AS score FROM ht JOIN wt USING (w) GROUP BY id), l1 AS (SELECT * FROM l0 WHERE id IN (SELECT id FROM ht WHERE w IN (SELECT w FROM rare)) ORDER BY score DESC, id LIMIT {3 * k}),"
-        f" lx AS (SELECT id, score, row_number() OVER (ORDER BY score DESC, id) - 1 AS pos FROM (SELECT l1.* FROM l1 JOIN ch USING (id) WHERE NOT {_bib('content')} ORDER BY score DESC, id LIMIT {k}))"
+        f" lx AS (SELECT id, score, row_number() OVER (ORDER BY score DESC, id) - 1 AS pos FROM (SELECT l1.* FROM l1 JOIN ch USING (id) WHERE NOT {bibliography_sql('content')} ORDER BY score DESC, id LIMIT {k}))"
     )
 
 

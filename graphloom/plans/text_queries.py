@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from graphloom.functions.text import tokens4
 from graphloom.operators import chunking, graph, quality, records
 from graphloom.plans.graph_queries import names, pairs
+from graphloom.plans.retrieval_queries import bibliography_sql
 from graphloom.sources.tables import table, unique
 
 SIZE, OVERLAP = 400, 50
@@ -76,6 +77,18 @@ def c12_all_surroundings(spark, d):
     return chunking.mentions_around(documents(spark, d), "doc_id", "text", "Table ", 200)
 
 
+def c12_table_context(spark, d):
+    """Tables of chunks with their surroundings and first rows."""
+    c = unique(spark, d, "text_chunks", "content").select("id", "content")
+    return chunking.table_context(c, "id", "content", 400)
+
+
+def d09_options(spark, d):
+    """Documents cut by the chunker that their options ask for (a sign by source)."""
+    t = table(spark, d, "documents").select("doc_id", "text", F.translate(F.substring(F.upper("source"), 1, 1), "AEKMNI", "FRVP!F").alias("options"))
+    return chunking.by_option(t, "doc_id", "text", "options", SIZE, OVERLAP).select("doc_id", "chunker", "chunk_order_index", F.length("content").alias("n"), "skip_graph")
+
+
 def replies(spark, d) -> DataFrame:
     """Extraction replies made of the stored nodes and edges, one a node or edge."""
     n = unique(spark, d, "graph_nodes", "id", "entity_type", "properties")
@@ -112,6 +125,16 @@ def f04_json(spark, d):
     return e.select("key", "name", "type", "description")
 
 
+def f04_broken(spark, d):
+    """Relations of JSON replies that break off in the record after them, with talk before."""
+    e = unique(spark, d, "graph_edges", "src_id", "tgt_id", "properties")
+    one = F.struct(F.col("src_id").alias("source"), F.col("tgt_id").alias("target"), F.lit("k").alias("keywords"), F.get_json_object("properties", "$.description").alias("description"))
+    whole = F.to_json(F.struct(F.array(one).alias("relationships")))
+    reply = F.concat(F.lit("Here it is: "), F.regexp_replace(whole, r"\]\}$", ', {"source": "broken", "tar'))
+    _, r = records.json_records(e.select(F.col("gid").alias("key"), reply.alias("reply")), "key", "reply")
+    return r.select("key", "src", "tgt", "description")
+
+
 def f05_name_cap(spark, d):
     """Titles joined to names that go beyond the cap."""
     p = table(spark, d, "papers").select("paper_id", F.repeat(F.coalesce("title", F.lit("")), 8).alias("name"))
@@ -132,7 +155,9 @@ def f07_junk_names(spark, d):
 
 def f08_without_junk(spark, d):
     p = records.parse_reply(replies(spark, d), "key", "reply")
-    _, r = records.without_junk(records.entity_records(p, "key"), records.relation_records(p, "key"))
+    chunk = F.col("key") % 1000  # so that entities and relations share chunks
+    e, r = (x.withColumn("key", chunk) for x in (records.entity_records(p, "key"), records.relation_records(p, "key")))
+    _, r = records.without_junk(e, r, "key")
     return r.select("src", "tgt").distinct()
 
 
@@ -155,6 +180,14 @@ def f12_apply_fold(spark, d):
     return records.apply_map(records.apply_map(e, "src_id", m), "tgt_id", m)
 
 
+def f12_apply_alias(spark, d):
+    """Ends replaced by the first of the names that differ in case, spacing and signs only."""
+    n = names(spark, d).withColumn("key", F.lower(F.regexp_replace("id", r"[\s.,'’-]+", "")))
+    m = n.join(n.groupBy("key").agg(F.min("id").alias("canonical")), "key").select(F.col("id").alias("name"), "canonical")
+    e = unique(spark, d, "graph_edges", "src_id", "tgt_id").select("gid", "src_id", "tgt_id")
+    return records.apply_map(records.apply_map(e, "src_id", m), "tgt_id", m)
+
+
 def f13_typed_relations(spark, d):
     """Edges with declared relation types made of their keywords' first word."""
     e = unique(spark, d, "graph_edges", "src_id", "tgt_id", "properties").where("src_id is not null and tgt_id is not null")
@@ -185,8 +218,8 @@ def f17_valid_queries(spark, d):
 
 
 def f18_headings(spark, d):
-    p = table(spark, d, "papers").select("paper_id", F.array("venue", F.col("pub_year").cast("string"), "title").alias("h"))
-    return p.select("paper_id", records.heading_path(F.col("h"), 60).alias("path"))
+    p = table(spark, d, "papers").select("paper_id", F.array("venue", F.col("pub_year").cast("string"), "doi", "title").alias("h"))
+    return p.select("paper_id", records.heading_path(F.col("h"), 90).alias("path"))
 
 
 def f19_media_marks(spark, d):
@@ -216,14 +249,16 @@ def f23_clean(spark, d):
 
 
 def f24_repeated_lines(spark, d):
-    """Documents three times over, so that their lines come back."""
-    t = documents(spark, d).where("text is not null").select("doc_id", F.concat_ws("\n", F.array_repeat("text", 6)).alias("text"))
-    return quality.repeated_lines(t, "doc_id", "text", most_loss=0.95).select("doc_id", F.length("text").alias("n"))
+    """Chunks of a file as one text with a running line before each: the line comes back, but for the number in it."""
+    running = F.concat(F.lit("Proceedings of the library of reef surveys, page "), "chunk_order_index")
+    c = unique(spark, d, "text_chunks", "full_doc_id", "chunk_order_index", "content").select("full_doc_id", F.struct("chunk_order_index", "id", F.concat_ws("\n", running, "content").alias("t")).alias("x"))
+    t = c.groupBy("full_doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["t"]), "\n").alias("text"))
+    return quality.repeated_lines(t, "text").select("full_doc_id", F.md5("text").alias("digest"))
 
 
 def f25_tail_references(spark, d):
     t = documents(spark, d).where("text is not null").select("doc_id", F.concat("text", F.lit("\n\nReferences\n\nSmith, A. (1999). One.\nJones, B. (2001). Two.")).alias("text"))
-    return quality.without_tail_references(t, "doc_id", "text").select("doc_id", F.length("text").alias("n"))
+    return quality.without_tail_references(t, "text").select("doc_id", F.length("text").alias("n"))
 
 
 def f26_empty(spark, d):
@@ -231,8 +266,9 @@ def f26_empty(spark, d):
 
 
 def f27_thin(spark, d):
-    s = unique(spark, d, "doc_status", "content_length").select("id", F.col("content_length").alias("chars"))
-    c = unique(spark, d, "text_chunks", "full_doc_id", "content").groupBy(F.col("full_doc_id").alias("id")).agg(F.sum(F.coalesce(F.length("content"), F.lit(0))).alias("chars"))
+    """Files of which the first chunk alone is taken for what is stored."""
+    s = unique(spark, d, "doc_status", "content_length", "created_at").select("id", F.col("content_length").alias("chars"), F.col("created_at").alias("arrived"))
+    c = unique(spark, d, "text_chunks", "full_doc_id", "content").where(F.col("id").endswith("-chunk-000")).groupBy(F.col("full_doc_id").alias("id")).agg(F.sum(F.coalesce(F.length("content"), F.lit(0))).alias("chars"))
     return quality.thin_documents(s, c)
 
 
@@ -265,7 +301,8 @@ def _junk(column: str) -> str:
 _INV = "CASE w WHEN 'cited_by' THEN 'cites' WHEN 'used_by' THEN 'uses' WHEN 'has_part' THEN 'part_of' WHEN 'cites' THEN 'cites' END"
 _TYPED = f"ty AS (SELECT gid, CASE WHEN sw THEN tgt_id ELSE src_id END AS src, CASE WHEN sw THEN src_id ELSE tgt_id END AS tgt, coalesce({_INV}, 'related_to') AS types FROM (SELECT *, w IN ('cited_by', 'used_by', 'has_part') AS sw FROM (SELECT DISTINCT gid, src_id, tgt_id, ['cites', 'cited_by', 'used_by', 'has_part', 'unknown'][CAST(length(src_id) % 5 + 1 AS BIGINT)] AS w FROM graph_edges WHERE src_id IS NOT NULL AND tgt_id IS NOT NULL)))"
 
-QUERIES = {f.__name__: f for f in (c01_windows, c02_by_separator, c03_separator_only, c04_recursive, c05_semantic, c06_structured, c07_without_references, c09_chunk_ids, c10_spans, c11_rerank_windows, c12_surroundings, c12_all_surroundings, f01_parse, f02_entities, f03_relations, f04_json, f05_name_cap, f06_symbolic, f07_junk_names, f08_without_junk, f09_types, f10_fold_keys, f11_fold_map, f12_apply_fold, f13_typed_relations, f14_oriented, f15_slips, f16_keywords, f17_valid_queries, f18_headings, f19_media_marks, f20_bibliography, f21_garble, f22_junk_ratio, f23_clean, f24_repeated_lines, f25_tail_references, f26_empty, f27_thin, f28_base_names, s05_html_text)}
+QUERIES = {f.__name__: f for f in (c01_windows, c02_by_separator, c03_separator_only, c04_recursive, c05_semantic, c06_structured, c07_without_references, c09_chunk_ids, c10_spans, c11_rerank_windows, c12_surroundings, c12_all_surroundings, c12_table_context, d09_options, f01_parse, f02_entities, f03_relations, f04_json, f04_broken, f05_name_cap, f06_symbolic, f07_junk_names, f08_without_junk, f09_types, f10_fold_keys, f11_fold_map, f12_apply_fold, f12_apply_alias, f13_typed_relations, f14_oriented, f15_slips, f16_keywords, f17_valid_queries, f18_headings, f19_media_marks, f20_bibliography, f21_garble, f22_junk_ratio, f23_clean, f24_repeated_lines, f25_tail_references, f26_empty, f27_thin, f28_base_names, s05_html_text)}
+_ONE_LINE = "regexp_replace(x, '\\s+', ' ', 'g')"
 _ENT = f"SELECT key, {T.format('id')} AS name, lower(replace(list_filter(list_transform(string_split({T.format('entity_type')}, ','), lambda x: {T.format('x')}), lambda x: x <> '')[1], ' ', '')) AS type, {T.format('description')} AS description FROM nn WHERE {T.format('id')} <> '' AND {T.format('entity_type')} <> '' AND {T.format('description')} <> '' AND NOT regexp_matches(entity_type, '[''()<>|/\\\\]')"
 _RELN = f"SELECT key, {T.format('src_id')} AS src, {T.format('tgt_id')} AS tgt, {T.format(chr(34) + 'kw' + chr(34))} AS keywords, {T.format('description')} AS description, 1.0::DOUBLE AS weight FROM (SELECT *, replace(coalesce(keywords, ''), '，', ',') AS kw FROM ee) WHERE {T.format('src_id')} <> '' AND {T.format('tgt_id')} <> '' AND {T.format('description')} <> '' AND {T.format('src_id')} <> {T.format('tgt_id')}"
 SQL = {
@@ -284,14 +321,17 @@ SQL = {
     "f04_json": f"WITH {NODE_SQL} SELECT key, {T.format('id')} AS name, lower(replace(entity_type, ' ', '')) AS type, {T.format('description')} AS description FROM nn WHERE {T.format('id')} <> '' AND lower(replace(entity_type, ' ', '')) <> '' AND {T.format('description')} <> '' AND NOT regexp_matches(entity_type, '[''()<>|/\\\\]')",
     "f06_symbolic": "SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS w FROM documents) WHERE length(w) = 1 OR (length(w) = 2 AND (NOT regexp_matches(w, '^[\\p{L}\\p{N}]+$') OR regexp_matches(w, '^[0-9]+$')))",
     "f07_junk_names": f"SELECT name, kind FROM (SELECT name, {_junk('name')} AS kind FROM (SELECT id AS name FROM graph_nodes UNION SELECT unnest(regexp_extract_all(text, '(?:Table|Figure|Section) [0-9]+|[A-Z]\\. [A-Z][a-z]+')) FROM documents)) WHERE kind IS NOT NULL AND name IS NOT NULL",
-    "f08_without_junk": f"WITH {EDGE_SQL} SELECT DISTINCT src, tgt FROM ({_RELN}) WHERE {_junk('src')} IS NULL AND {_junk('tgt')} IS NULL",
+    "f08_without_junk": (
+        f"WITH {NODE_SQL}, {EDGE_SQL}, en AS (SELECT key % 1000 AS k, name, bool_or({_junk('name')} IS NOT NULL AND NOT ({_junk('name')} = 'person' AND type = 'person')) AS d FROM ({_ENT}) GROUP BY 1, 2), rl AS (SELECT key % 1000 AS k, src, tgt FROM ({_RELN}))"
+        f" SELECT DISTINCT src, tgt FROM rl LEFT JOIN en a ON a.k = rl.k AND a.name = src LEFT JOIN en b ON b.k = rl.k AND b.name = tgt WHERE NOT coalesce(a.d, {_junk('src')} IS NOT NULL) AND NOT coalesce(b.d, {_junk('tgt')} IS NOT NULL)"
+    ),
     "f09_types": f"WITH {NODE_SQL} SELECT CASE WHEN type IN ('person', 'method', 'dataset') THEN type ELSE 'other' END AS type, count(*) AS n FROM ({_ENT}) GROUP BY 1",
     "f13_typed_relations": f"WITH {_TYPED} SELECT gid, src, tgt, types FROM ty",
     "f14_oriented": f"WITH {_TYPED} SELECT gid, least(src, tgt) AS a, greatest(src, tgt) AS b, CASE WHEN src > tgt AND types <> 'related_to' THEN 'inverse:' || types ELSE types END AS types FROM ty",
-    "f15_slips": "SELECT name, slip FROM (SELECT name, CASE WHEN regexp_matches(name, '^[a-z]+(?:_[a-z0-9]+)+$') OR regexp_matches(name, '^[a-z]+(?:[A-Z][a-z0-9]+)+$') THEN 'variable' WHEN regexp_matches(name, '[a-z]{3,}[A-Z][a-z]{3,}[A-Z]?') OR regexp_matches(name, '[A-Za-z]{3,}[;|][A-Za-z]{3,}') THEN 'glued' END AS slip FROM (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z_;|]{4,}')) AS name FROM documents)) WHERE slip IS NOT NULL",
+    "f15_slips": "SELECT name, slip FROM (SELECT name, CASE WHEN regexp_matches(name, '^[a-z]+(?:_[a-z0-9]+)+$') OR regexp_matches(name, '^[a-z]+(?:[A-Z][a-z0-9]+)+$') OR regexp_matches(name, '^[A-Z]+(?:_[A-Z0-9]+)+$') OR regexp_matches(name, '^[a-z_]\\w*(?:\\.[a-z_]\\w*)+$') THEN 'variable' WHEN regexp_matches(name, '[a-z]{3,}[A-Z][a-z]{3,}[A-Z]?') OR regexp_matches(name, '[A-Za-z]{3,}[;|][A-Za-z]{3,}') THEN 'glued' END AS slip FROM (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z_;|]{4,}')) AS name FROM documents)) WHERE slip IS NOT NULL",
     "f16_keywords": f"SELECT gid, array_to_string(list_filter(list_transform(regexp_split_to_array(k, '[\\n,;]+'), lambda x: {T.format('x')}), lambda x: x <> '' AND NOT regexp_matches(x, '^[<\\[{{].*[>\\]}}]$')), '|') AS keywords FROM (SELECT DISTINCT gid, properties ->> '$.keywords' AS k FROM graph_edges) WHERE k IS NOT NULL",
     "f17_valid_queries": "SELECT paper_id, w AS weight, w >= 3 AS valid FROM (SELECT paper_id, CAST(length(t) + length(regexp_replace(t, '[^\\x{2E80}-\\x{9FFF}\\x{AC00}-\\x{D7AF}\\x{F900}-\\x{FAFF}]', '', 'g')) AS INTEGER) AS w FROM (SELECT paper_id, regexp_replace(coalesce(title, ''), '\\s+', '', 'g') AS t FROM papers))",
-    "f18_headings": f"SELECT paper_id, CASE WHEN length(array_to_string(h, ' → ')) > 60 AND len(h) > 2 THEN h[1] || ' → … → ' || h[len(h)] ELSE array_to_string(h, ' → ') END AS path FROM (SELECT paper_id, list_transform(list_filter([venue, CAST(pub_year AS VARCHAR), title], lambda x: x IS NOT NULL AND {T.format('x')} <> ''), lambda x: substr({T.format(chr(114) + 'egexp_replace(x, ' + chr(39) + chr(92) + 's+' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')}, 1, 80)) AS h FROM papers)",
+    "f18_headings": f"SELECT paper_id, CASE WHEN length(j) <= 90 OR len(h) <= 2 THEN j ELSE coalesce(list_filter(fm, lambda x: length(x) <= 90)[1], fm[-1]) END AS path FROM (SELECT paper_id, h, array_to_string(h, ' → ') AS j, list_transform(generate_series(2, greatest(len(h) - 1, 2)), lambda k: h[1] || ' → … → ' || array_to_string(h[k + 1:], ' → ')) AS fm FROM (SELECT paper_id, list_transform(list_filter([venue, CAST(pub_year AS VARCHAR), doi, title], lambda x: x IS NOT NULL AND {T.format('x')} <> ''), lambda x: substr({T.format(_ONE_LINE)}, 1, 80)) AS h FROM papers))",
     "f19_media_marks": "SELECT doc_id, CAST(length(text) AS INTEGER) AS n FROM documents",
     "f21_garble": (
         "SELECT doc_id, CASE WHEN n < 500 THEN NULL WHEN length(regexp_replace(s, '[^\\x{E000}-\\x{F8FF}]', '', 'g')) / n >= 0.30 THEN 'private' WHEN length(regexp_replace(s, '[^\\x{FFFD}]', '', 'g')) / n >= 0.05 THEN 'replacement' WHEN length(regexp_replace(s, '[^\\x00-\\x1F\\x7F]', '', 'g')) / n >= 0.05 AND wd < 0.25 THEN 'control'"
@@ -300,8 +340,22 @@ SQL = {
     ),
     "f22_junk_ratio": "SELECT id, round(r, 6) AS ratio, r >= 0.9 AS quarantine FROM (SELECT id, CASE WHEN length(content) > 0 THEN 1 - length(regexp_replace(regexp_replace(content, '[A-Za-z0-9+/]{200,}={0,2}', '', 'g'), '<[^>]*>', '', 'g')) / length(content) ELSE 0 END AS r FROM (SELECT DISTINCT id, content FROM text_chunks WHERE content IS NOT NULL))",
     "f23_clean": f"SELECT id, md5({_clean_sql('content')}) AS digest FROM (SELECT DISTINCT id, content FROM text_chunks WHERE content IS NOT NULL)",
+    "f04_broken": f"SELECT key, {T.format('src_id')} AS src, {T.format('tgt_id')} AS tgt, {T.format('d')} AS description FROM (SELECT DISTINCT gid AS key, src_id, tgt_id, properties ->> '$.description' AS d FROM graph_edges) WHERE {T.format('src_id')} <> '' AND {T.format('tgt_id')} <> '' AND {T.format('d')} <> '' AND {T.format('src_id')} <> {T.format('tgt_id')}",
+    "f05_name_cap": "SELECT paper_id, CAST(length(c) AS INTEGER) AS chars, CAST(strlen(c) AS INTEGER) AS bytes FROM (SELECT paper_id, CASE WHEN length(x) <= 256 AND strlen(x) <= 512 THEN x ELSE rtrim(substr(x, 1, len(list_filter(generate_series(1, least(256, length(x))), lambda i: strlen(substr(x, 1, i)) <= 512)))) END AS c FROM (SELECT paper_id, repeat(coalesce(title, ''), 8) AS x FROM papers))",
+    "f12_apply_alias": f"WITH lab AS (SELECT DISTINCT id FROM graph_nodes WHERE id IS NOT NULL), m AS (SELECT id AS name, min(id) OVER (PARTITION BY lower(regexp_replace(id, '[\\s.,''’-]+', '', 'g'))) AS canonical FROM lab) SELECT gid, coalesce(a.canonical, src_id) AS src_id, coalesce(b.canonical, tgt_id) AS tgt_id FROM (SELECT DISTINCT gid, src_id, tgt_id FROM graph_edges) e LEFT JOIN m a ON a.name = src_id LEFT JOIN m b ON b.name = tgt_id",
+    "f20_bibliography": (
+        "SELECT venue, " + bibliography_sql("t") + " AS \"drop\" FROM (SELECT venue, string_agg(e, chr(10) ORDER BY e) AS t FROM (SELECT venue, string_split(coalesce(authors[1].display_name, 'Anon'), ' ')[-1] || ', A. (' || coalesce(CAST(pub_year AS VARCHAR), '') || '). ' || coalesce(title, '') || '. Journal, vol. 1' AS e FROM (SELECT DISTINCT paper_id, venue, authors, pub_year, title FROM papers)) GROUP BY 1)"
+    ),
+    "f24_repeated_lines": (
+        "WITH c AS (SELECT DISTINCT id, full_doc_id, chunk_order_index, content FROM text_chunks), t AS (SELECT full_doc_id, string_agg(concat_ws(chr(10), 'Proceedings of the library of reef surveys, page ' || chunk_order_index, content), chr(10) ORDER BY chunk_order_index NULLS FIRST, id) AS text FROM c GROUP BY 1),"
+        " l AS (SELECT full_doc_id, text, unnest(string_split(text, chr(10))) AS l, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM t), f AS (SELECT *, trim(regexp_replace(l, '\\s+', ' ', 'g')) AS p FROM l),"
+        " g AS (SELECT *, CASE WHEN NOT regexp_matches(p, '^(?:[#|-]|```)') AND length(regexp_replace(p, '[0-9]+', '#', 'g')) >= 40 THEN regexp_replace(p, '[0-9]+', '#', 'g') END AS form FROM f),"
+        " h AS (SELECT *, form IS NOT NULL AND count(*) OVER (PARTITION BY full_doc_id, form) >= 5 AND i > min(i) OVER (PARTITION BY full_doc_id, form) AS gone FROM g),"
+        " n AS (SELECT full_doc_id, any_value(text) AS text, coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (NOT gone), '') AS nw, bool_or(gone) AS cut FROM h GROUP BY 1)"
+        " SELECT full_doc_id, md5(CASE WHEN cut AND length(nw) >= 0.75 * length(text) THEN nw ELSE text END) AS digest FROM n"
+    ),
     "f26_empty": "SELECT doc_id FROM documents WHERE length(regexp_replace(coalesce(text, ''), '\\s+', '', 'g')) < 20",
-    "f27_thin": "SELECT s.id, s.chars AS source_chars, coalesce(c.chars, 0) AS stored_chars FROM (SELECT DISTINCT id, content_length AS chars FROM doc_status) s LEFT JOIN (SELECT full_doc_id AS id, CAST(sum(coalesce(length(content), 0)) AS BIGINT) AS chars FROM (SELECT DISTINCT id, full_doc_id, content FROM text_chunks) GROUP BY 1) c USING (id) WHERE s.chars > greatest(2.0 * coalesce(c.chars, 0), 1000.0)",
+    "f27_thin": "SELECT id, source_chars, stored_chars, day, CASE WHEN stored_chars < 200 THEN 'stub' ELSE 'thin' END AS why FROM (SELECT s.id, s.chars AS source_chars, coalesce(c.chars, 0) AS stored_chars, CAST(created_at AS DATE) AS day FROM (SELECT DISTINCT id, content_length AS chars, created_at FROM doc_status) s LEFT JOIN (SELECT full_doc_id AS id, CAST(sum(coalesce(length(content), 0)) AS BIGINT) AS chars FROM (SELECT DISTINCT id, full_doc_id, content FROM text_chunks) WHERE ends_with(id, '-chunk-000') GROUP BY 1) c USING (id)) WHERE source_chars > 1000 AND (stored_chars < 200 OR source_chars > 2.0 * stored_chars)",
     "f28_base_names": f"SELECT id, regexp_replace(regexp_extract(replace({T.format('f')}, '\\', '/'), '([^/]*)$', 1), '\\.?\\[[^\\]]*\\](\\.[A-Za-z0-9]+)$', '\\1', 'g') AS name FROM (SELECT DISTINCT id, 'inbox\\2024/' || file_path AS f FROM doc_status WHERE file_path IS NOT NULL)",
     "s05_html_text": f"SELECT id, CAST(length({_clean_sql('content')}) AS INTEGER) AS n FROM (SELECT DISTINCT id, content FROM text_chunks WHERE content IS NOT NULL)",
 }
