@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from graphloom.functions.text import strip
 
 # The states of a document, and the names that stand for none.
-STATES = ("pending", "parsing", "analyzing", "processing", "processed", "failed")
+STATES = ("pending", "parsing", "analyzing", "processing", "processed", "failed", "deleting")
 NO_NAME = ("", "unknown_source", "no-file-path")
 #: The states a state may go to.
-MOVES = {"pending": ("parsing", "failed"), "parsing": ("analyzing", "failed"), "analyzing": ("processing", "failed"), "processing": ("processed", "failed"), "processed": (), "failed": ("pending",)}
+MOVES = {"pending": ("parsing", "failed"), "parsing": ("analyzing", "failed"), "analyzing": ("processing", "failed"), "processing": ("processed", "failed"), "processed": (), "failed": ("pending",), "deleting": ()}
+#: Every state may go to deleting, which is left by the row's end alone.
+MOVES = {k: v if k == "deleting" else (*v, "deleting") for k, v in MOVES.items()}
 
 
 def file_key(path: Column) -> Column:
@@ -55,21 +57,33 @@ def page_after(docs: DataFrame, states: list[str], created_at, ident: str, n: in
 
 
 def offset_page(docs: DataFrame, page: int, size: int, by: str = "updated_at") -> DataFrame:
-    """A page by number: the size is held within 10 and 200, the field within the sortable ones."""
+    """A page by number, with the number of all rows as total: the size is held within 10 and 200, the field within the sortable ones."""
     size = min(200, max(10, size))
     by = by if by in ("created_at", "updated_at", "id", "file_path") else "updated_at"
-    return docs.orderBy(F.desc(by), "id").offset((max(1, page) - 1) * size).limit(size)
+    # one row
+    total = docs.agg(F.count("*").alias("total"))
+    return docs.orderBy(F.desc(by), "id").offset((max(1, page) - 1) * size).limit(size).join(F.broadcast(total))
 
 
-def conflicts(docs: DataFrame, sample: int = 5) -> DataFrame:
-    """(name, n, ids): file names of two rows or more, with the first ids."""
-    d = docs.select("id", file_key(F.col("file_path")).alias("name")).where("name is not null")
+def conflicts(docs: DataFrame, key: Column | None = None, sample: int = 5) -> DataFrame:
+    """(name, n, ids): keys (file names, where none is given) of two rows or more, with the first ids. Pages of it follow by name."""
+    d = docs.select("id", (file_key(F.col("file_path")) if key is None else key).alias("name")).where("name is not null")
     n = d.groupBy("name").agg(F.count("*").alias("n")).where("n > 1")
     w = Window.partitionBy("name").orderBy("id")
-    ids = d.join(n.select("name"), "name", "left_semi").withColumn("r", F.row_number().over(w)).where(F.col("r") <= sample)
+    ids = d.withColumn("r", F.row_number().over(w)).where(F.col("r") <= sample).join(n.select("name"), "name", "left_semi")
     return n.join(ids.groupBy("name").agg(F.sort_array(F.collect_list("id")).alias("ids")), "name")
 
 
+def settled(docs: DataFrame, winners: DataFrame, key: Column) -> DataFrame:
+    """(id, state, original) after conflicts are settled: rows of a key with a winner (name, winner) become duplicates that point to it;
+    the winner and all other rows keep their state. A winner that bears another name settles nothing."""
+    d = docs.select("id", "state", key.alias("name"))
+    good = winners.join(d.select(F.col("id").alias("winner"), F.col("name").alias("_own")), "winner").where("name = _own").select("name", "winner")
+    x = d.join(good, "name", "left")
+    beaten = F.col("winner").isNotNull() & (F.col("winner") != F.col("id"))
+    return x.select("id", F.when(beaten, "duplicate").otherwise(F.col("state")).alias("state"), F.when(beaten, F.col("winner")).alias("original"))
+
+
 def after_deletion(tracking: DataFrame, doc: Column) -> DataFrame:
     """(id, kept, gone): tracked chunks of each object that stay when a document goes. tracking: id, chunk_ids."""
     of_doc = lambda x: F.substring(x, 1, 36) == doc

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.functions.text import parts, strip
-from graphloom.operators import citation, evaluation, graph, lifecycle, maintenance, references, retrieval
-from graphloom.plans.graph_queries import ALL_SQL, LIST_SQL, names, pairs
+from graphloom.operators import citation, evaluation, graph, lifecycle, maintenance, merge, references, retrieval, timejoins, tools
+from graphloom.plans import merge_queries
+from graphloom.plans.graph_queries import ALL_SQL, LIST_SQL, SPLIT_SQL, full_pairs, names, pairs
+from graphloom.sources import stores
 from graphloom.session import cut
 from graphloom.sources.tables import table, unique
 
@@ -189,8 +191,9 @@ def p01_enqueue(spark, d):
 
 
 def p02_moves(spark, d):
-    """Which stored documents may go on to processing."""
-    return docs(spark, d).select("id", lifecycle.may_move(F.col("state"), F.lit("processing")).alias("may"))
+    """Which stored documents may go on to which state."""
+    x = docs(spark, d).select("id", "state", F.explode(F.array(*map(F.lit, lifecycle.STATES))).alias("target"))
+    return x.select("id", "target", lifecycle.may_move(F.col("state"), F.col("target")).alias("may"))
 
 
 def p03_keyset_page(spark, d):
@@ -198,11 +201,41 @@ def p03_keyset_page(spark, d):
 
 
 def p04_offset_page(spark, d):
-    return lifecycle.offset_page(docs(spark, d), 2, 50).select("id")
+    return lifecycle.offset_page(docs(spark, d), 2, 50).select("id", "total")
 
 
 def p05_conflicts(spark, d):
-    return lifecycle.conflicts(docs(spark, d)).select("name", "n", F.array_join("ids", "|").alias("ids"))
+    """Conflicts of file names (as they are, and without the end of the id that makes them unique) and of contents."""
+    name = lifecycle.file_key(F.col("file_path"))
+    kinds = {"file": name, "title": F.regexp_replace(name, r"^.*?([^ ]+) [0-9a-f]{6}(?=\.[a-z]+$)", "$1"), "content": F.col("content_hash")}
+    whole = None
+    for kind, key in kinds.items():
+        x = lifecycle.conflicts(docs(spark, d), key).select(F.lit(kind).alias("kind"), "name", "n", F.array_join("ids", "|").alias("ids"))
+        whole = x if whole is None else whole.unionByName(x)
+    return whole
+
+
+def p05_settled(spark, d):
+    """Conflicts of contents settled for the earliest row."""
+    x = docs(spark, d)
+    first = x.where("content_hash is not null").groupBy(F.col("content_hash").alias("name")).agg(F.min_by("id", F.struct("created_at", "id")).alias("winner"), F.count("*").alias("n")).where("n > 1")
+    return lifecycle.settled(x, first.select("name", "winner"), F.col("content_hash"))
+
+
+def _hub_document(spark, d) -> str:
+    """The document with most chunks."""
+    return unique(spark, d, "text_chunks", "full_doc_id").where("full_doc_id is not null").groupBy("full_doc_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "full_doc_id").first()["full_doc_id"]
+
+
+def p06_rebuilt(spark, d):
+    """Entities after the document with most chunks is deleted: those of it alone are gone, shared ones are rebuilt from what is left."""
+    doc = _hub_document(spark, d)
+    live = unique(spark, d, "text_chunks", "full_doc_id").where(F.col("full_doc_id") != doc).select("id")
+    r = merge_queries.records(spark, d).where("type is null or type <> 'unknown'")
+    mine = r.where(F.exists(merge_queries.parts(F.col("source_id")), lambda x: x.startswith(doc))).select("name").distinct()
+    e = spark.createDataFrame([], "name string, description string, pos long")
+    x = merge.rebuilt_entities(r.join(mine, "name", "left_semi"), live, e)
+    return x.select("name", F.when(F.col("survived"), "rebuilt").otherwise("gone").alias("state"), "source_id", "description")
 
 
 def p06_delete_document(spark, d):
@@ -218,7 +251,7 @@ def p08_resumable(spark, d):
 def s08_upsert(spark, d):
     """The vector buffer's last row of each id."""
     v = table(spark, d, "faiss_docs").select("id", F.get_json_object("record", "$.__write_seq__").try_cast("long").alias("seq"))
-    return lifecycle.upsert(v.where("seq < 500000"), v.where("seq >= 500000"), "id", "seq")
+    return lifecycle.upsert(v.where("seq < 500000 or seq is null"), v.where("seq >= 500000"), "id", "seq")
 
 
 def s08_missing_keys(spark, d):
@@ -227,8 +260,9 @@ def s08_missing_keys(spark, d):
 
 
 def s09_rows(spark, d):
-    """A bounded scan: the first page of chunks by id."""
-    return table(spark, d, "text_chunks").select("id").distinct().orderBy("id").limit(500)
+    """A bounded scan of all chunks by pages of the key: what the pages hold, one after the other."""
+    rows = table(spark, d, "text_chunks").select("id").distinct()
+    return stores.paged(rows, "id", 500)
 
 
 def s14_first_contexts(spark, d):
@@ -263,6 +297,24 @@ def m01_rebuild_vectors(spark, d):
     return maintenance.entity_vectors(n.where("id is not null"))
 
 
+def m01_relation_vectors(spark, d):
+    return maintenance.relation_vectors(full_pairs(spark, d))
+
+
+def m01_chunk_vectors(spark, d):
+    return maintenance.chunk_vectors(unique(spark, d, "text_chunks", "content").select("id", "content"))
+
+
+def m06_equations(spark, d):
+    """The equation tool: display formulas of chunks with their order."""
+    return tools.equations(unique(spark, d, "text_chunks", "content").select("id", "content"), "id", "content")
+
+
+def m06_health(spark, d):
+    """The health tool: rows, null keys and repeated keys of the library's tables."""
+    return tools.health({t: (table(spark, d, t), k) for t, k in (("doc_status", "id"), ("text_chunks", "id"), ("graph_nodes", "gid"), ("graph_edges", "gid"), ("entity_chunks", "id"), ("papers", "paper_id"), ("faiss_docs", "id"))})
+
+
 def m02_clean_cache(spark, d):
     """Keys that stay when query answers are cleaned from a cache of the library's ids."""
     k = names(spark, d).select(F.concat(F.when(F.length("id") % 2 == 0, F.lit("mix:query:")).otherwise(F.lit("default:extract:")), F.md5("id")).alias("key"))
@@ -275,7 +327,15 @@ def m03_copy_cache(spark, d):
 
 
 def m04_clear_workspace(spark, d):
-    return table(spark, d, "text_chunks").where("workspace is null or workspace <> 'default'").select("workspace", "id").distinct().groupBy("workspace").agg(F.count("*").alias("n"))
+    """Rows of each table and workspace when the largest workspace is cleared."""
+    keys = {"doc_status": "id", "text_chunks": "id", "graph_nodes": "gid", "graph_edges": "gid"}
+    tables = {t: table(spark, d, t).select("workspace", F.col(k).cast("string").alias("key")).distinct() for t, k in keys.items()}
+    largest = tables["text_chunks"].where("workspace is not null").groupBy("workspace").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "workspace").first()["workspace"]
+    whole = None
+    for t, df in maintenance.without_workspace(tables, largest).items():
+        x = df.groupBy("workspace").agg(F.count("*").alias("n")).select(F.lit(t).alias("tbl"), "workspace", "n")
+        whole = x if whole is None else whole.unionByName(x)
+    return whole
 
 
 def j10_anchor_gaps(spark, d):
@@ -290,6 +350,58 @@ def j11_tracking_repair(spark, d):
     return bad.unionByName(maintenance.orphan_tracking(t, names(spark, d)).select("id", F.lit("orphan").alias("what")))
 
 
+def j11_repaired(spark, d):
+    """The tracking table after the repair."""
+    n = unique(spark, d, "graph_nodes", "id", "source_id").select("id", "source_id").where("id is not null")
+    return maintenance.repaired_tracking(table(spark, d, "entity_chunks"), n).select("id", F.array_join("chunk_ids", "|").alias("chunk_ids"), "chunk_count")
+
+
+def j12_live_paths(spark, d):
+    """Sources and files of nodes without dangling chunks."""
+    n = unique(spark, d, "graph_nodes", "source_id", "file_path").select("gid", "source_id", "file_path")
+    files = unique(spark, d, "doc_status", "file_path").select(F.col("id").alias("doc"), F.when(lifecycle.file_key(F.col("file_path")).isNotNull(), strip(F.col("file_path"))).alias("file"))
+    return maintenance.live_paths(n, table(spark, d, "text_chunks").select("id"), files, references.CHUNK_FORM, "gid")
+
+
+def j13_as_of(spark, d):
+    """Each purchase with the value of its user's last view before it."""
+    e = table(spark, d, "events")
+    views = e.where("event_type = 'view'").select("user_id", "ts", F.col("value").alias("view_value"), "event_id")
+    return timejoins.as_of(e.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), views, "user_id", "ts", "view_value", "event_id", "day").select("event_id", "view_value")
+
+
+def j13_interval(spark, d):
+    """Errors of a user within an hour after a click."""
+    e = table(spark, d, "events")
+    return timejoins.interval(e.where("event_type = 'click'"), e.where("event_type = 'error'"), "user_id", "ts", 3600, "event_id")
+
+
+def j13_range(spark, d):
+    """Price bands of parts."""
+    bands = spark.createDataFrame([("low", 0.0, 1000.0), ("mid", 950.0, 1500.0), ("high", 1500.0, 1e6)], "band string, lo double, hi double")
+    return timejoins.in_range(table(spark, d, "part"), bands, "p_retailprice", "lo", "hi", 100.0, "p_partkey", "band")
+
+
+def g18_histogram(spark, d):
+    """Sizes of chunks by workspace, in classes."""
+    c = unique(spark, d, "text_chunks", "workspace", "content").select("workspace", F.length("content").alias("n"))
+    return timejoins.histogram(c, "n", [100.0, 400.0, 800.0, 1600.0, 3200.0], "workspace")
+
+
+def g19_rollup(spark, d):
+    return timejoins.rolled_up(table(spark, d, "documents").select("source", "lang"), "source", "lang")
+
+
+def d14_sliding(spark, d):
+    """Events in windows of an hour that begin every quarter."""
+    return timejoins.sliding(table(spark, d, "events"), "ts", "1 hour", "15 minutes", "event_type", n=F.count("*"))
+
+
+def d14_sessions(spark, d):
+    """Sessions of users: they end after six hours without an event."""
+    return timejoins.sessions(table(spark, d, "events"), "ts", "6 hours", "user_id", n=F.count("*"))
+
+
 def j12_live_references(spark, d):
     x = maintenance.live_references(table(spark, d, "entity_chunks"), table(spark, d, "text_chunks"), references.CHUNK_FORM)
     return x.select("id", F.array_join("kept", "|").alias("kept"), "dropped")
@@ -301,8 +413,11 @@ def j06_unseen(spark, d):
 
 
 def s16_noop(spark, d):
-    """A store that keeps nothing: a search in it is an empty list with its schema."""
-    return spark.createDataFrame([], "id string, score double")
+    """A store that keeps nothing: what a search for each name finds in it after all names were written."""
+    store = stores.NoStore(spark)
+    store.write(names(spark, d))
+    found = store.read().groupBy("id").agg(F.count("*").alias("hits"))
+    return names(spark, d).join(found, "id", "left").select("id", F.coalesce("hits", F.lit(0)).cast("long").alias("hits"))
 
 
 _DS = "ds AS (SELECT DISTINCT id, file_path, status, created_at, updated_at, content_hash, regexp_replace(lower(status), '^\\s+|\\s+$', '', 'g') AS state FROM doc_status)"
@@ -322,7 +437,7 @@ _PLAIN = "regexp_replace(" + _FOLD + ", '[^a-z0-9]+', ' ', 'g')"
 _SPACED = "(' ' || " + _PLAIN + " || ' ')"
 _DOI = "CASE WHEN regexp_matches(regexp_replace(regexp_replace(lower(trim({0})), '^(?:https?://)?(?:dx\\.)?doi\\.org/|^doi:\\s*', '', 'g'), '[\\s.,;)]+$', '', 'g'), '^10\\.[0-9]{{4,9}}/\\S+$') THEN regexp_replace(regexp_replace(lower(trim({0})), '^(?:https?://)?(?:dx\\.)?doi\\.org/|^doi:\\s*', '', 'g'), '[\\s.,;)]+$', '', 'g') END"
 
-QUERIES = {f.__name__: f for f in (z01_coupling, z01_structure, z02_related, z03_topic_papers, z04_topic_search, z05_cheapest, z05_paths, z06_map, z07_thinned, z08_link_weights, z09_dois, z09_resolve, r09_find_works, r10_mentions, r31_citation_line, r32_paper_search, r33_passages, r34_linking_names, r34_relations, p01_enqueue, p02_moves, p03_keyset_page, p04_offset_page, p05_conflicts, p06_delete_document, p08_resumable, s08_upsert, s08_missing_keys, s09_rows, s14_first_contexts, s16_noop, e01_tfidf, e02_terms, e03_measures, m01_rebuild_vectors, m02_clean_cache, m03_copy_cache, m04_clear_workspace, j06_unseen, j10_anchor_gaps, j11_tracking_repair, j12_live_references)}
+QUERIES = {f.__name__: f for f in (z01_coupling, z01_structure, z02_related, z03_topic_papers, z04_topic_search, z05_cheapest, z05_paths, z06_map, z07_thinned, z08_link_weights, z09_dois, z09_resolve, r09_find_works, r10_mentions, r31_citation_line, r32_paper_search, r33_passages, r34_linking_names, r34_relations, p01_enqueue, p02_moves, p03_keyset_page, p04_offset_page, p05_conflicts, p05_settled, p06_delete_document, p06_rebuilt, p08_resumable, s08_upsert, s08_missing_keys, s09_rows, s14_first_contexts, s16_noop, e01_tfidf, e02_terms, e03_measures, m01_rebuild_vectors, m01_relation_vectors, m01_chunk_vectors, m06_equations, m06_health, m02_clean_cache, m03_copy_cache, m04_clear_workspace, j06_unseen, j10_anchor_gaps, j11_tracking_repair, j11_repaired, j12_live_references, j12_live_paths, j13_as_of, j13_interval, j13_range, g18_histogram, g19_rollup, d14_sliding, d14_sessions)}
 # names of lifecycle operators begin like those of the numbered problems, so they are registered under another prefix
 for _name in [k for k in QUERIES if k.startswith("p0")]:
     QUERIES[f"d{_name[1:]}"] = QUERIES.pop(_name)
@@ -373,24 +488,52 @@ SQL = {
     ),
     "r34_linking_names": f"{ALL_SQL}, {_PROV} SELECT doc_id, nbr, n FROM (SELECT doc_id, nbr, count(*) AS n FROM pv JOIN adj ON adj.node = pv.name GROUP BY 1, 2) x WHERE n >= 2 AND NOT EXISTS (SELECT 1 FROM pv WHERE pv.doc_id = x.doc_id AND pv.name = x.nbr) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, nbr) <= {LINKING}",
     "d01_enqueue": f"WITH {_DS}, k AS (SELECT *, {_FK} AS fk FROM ds), n AS (SELECT fk, arg_min(id, struct_pack(c := created_at, i := id)) AS o FROM k WHERE fk IS NOT NULL GROUP BY 1), h AS (SELECT content_hash, arg_min(id, struct_pack(c := created_at, i := id)) AS o FROM k WHERE content_hash IS NOT NULL GROUP BY 1) SELECT k.id, CASE WHEN (n.o IS NULL OR n.o = k.id) AND (h.o IS NULL OR h.o = k.id) THEN 'pending' ELSE 'duplicate' END AS state, CASE WHEN n.o <> k.id THEN n.o WHEN h.o <> k.id THEN h.o END AS original, CASE WHEN n.o <> k.id THEN 'name' WHEN h.o <> k.id THEN 'hash' END AS rule FROM k LEFT JOIN n USING (fk) LEFT JOIN h ON h.content_hash = k.content_hash",
-    "d02_moves": f"WITH {_DS} SELECT id, coalesce(state = 'analyzing', false) AS may FROM ds",
+    "d02_moves": f"WITH {_DS}, mv AS (SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, bs in lifecycle.MOVES.items() for b in bs) + ") t(a, b)) SELECT id, target, (state, target) IN (SELECT (a, b) FROM mv) AS may FROM ds, (SELECT unnest([" + ", ".join(f"'{x}'" for x in lifecycle.STATES) + "]) AS target)",
     "d03_keyset_page": f"WITH {_DS} SELECT id, created_at FROM ds WHERE state IN ('processed', 'failed') AND (created_at > TIMESTAMP '2024-01-01' OR (created_at = TIMESTAMP '2024-01-01' AND id > '')) ORDER BY created_at, id LIMIT 100",
-    "d04_offset_page": f"WITH {_DS} SELECT id FROM ds ORDER BY updated_at DESC NULLS LAST, id LIMIT 50 OFFSET 50",
-    "d05_conflicts": f"WITH {_DS}, k AS (SELECT id, {_FK} AS name FROM ds) SELECT name, count(*) AS n, array_to_string(list(id ORDER BY id)[1:5], '|') AS ids FROM k WHERE name IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
+    "d04_offset_page": f"WITH {_DS} SELECT id, (SELECT count(*) FROM ds) AS total FROM ds ORDER BY updated_at DESC NULLS LAST, id LIMIT 50 OFFSET 50",
+    "d05_conflicts": f"WITH {_DS}, f AS (SELECT id, {_FK} AS fk, content_hash FROM ds), k AS (SELECT 'file' AS kind, id, fk AS name FROM f UNION ALL SELECT 'title', id, regexp_replace(fk, '^.*?([^ ]+) [0-9a-f]{{6}}(\\.[a-z]+)$', '\\1\\2') FROM f UNION ALL SELECT 'content', id, content_hash FROM f) SELECT kind, name, count(*) AS n, array_to_string(list(id ORDER BY id)[1:5], '|') AS ids FROM k WHERE name IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1",
     "d06_delete_document": "SELECT id, len(list_filter(chunk_ids, lambda x: left(x, 36) <> left(chunk_ids[1], 36))) AS kept, len(list_filter(chunk_ids, lambda x: left(x, 36) = left(chunk_ids[1], 36))) AS gone FROM entity_chunks WHERE len(chunk_ids) > 0",
     "d08_resumable": f"WITH {_DS} SELECT state, count(*) AS n FROM ds WHERE state NOT IN ('failed', 'processed') GROUP BY 1",
+    "d05_settled": f"WITH {_DS}, w AS (SELECT content_hash AS h, arg_min(id, struct_pack(c := created_at, i := id)) AS o FROM ds WHERE content_hash IS NOT NULL GROUP BY 1 HAVING count(*) > 1) SELECT id, CASE WHEN o <> id THEN 'duplicate' ELSE state END AS state, CASE WHEN o <> id THEN o END AS original FROM ds LEFT JOIN w ON h = content_hash",
+    "d06_rebuilt": (
+        f"WITH {merge_queries.RECORDS_SQL}, hd AS (SELECT full_doc_id AS doc FROM (SELECT DISTINCT id, full_doc_id FROM text_chunks) WHERE full_doc_id IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1), r0 AS (SELECT * FROM rec WHERE name IS NOT NULL AND (type IS NULL OR type <> 'unknown')),"
+        f" r AS (SELECT * FROM r0 WHERE name IN (SELECT name FROM (SELECT name, unnest({SPLIT_SQL.format('source_id')}) AS s FROM r0) WHERE starts_with(s, (SELECT doc FROM hd)))),"
+        f" al AS (SELECT * FROM (SELECT r.*, unnest({LIST_SQL.format('source_id')}) AS s, unnest(generate_series(0, len({LIST_SQL.format('source_id')}) - 1)) AS i FROM r) WHERE s IN (SELECT id FROM text_chunks WHERE full_doc_id <> (SELECT doc FROM hd))),"
+        " ids AS (SELECT name, array_to_string(list(s ORDER BY o)[1:200], '<SEP>') AS ids FROM (SELECT name, s, min(pos * 1000 + i) AS o FROM al GROUP BY 1, 2) GROUP BY 1),"
+        " tx AS (SELECT name, string_agg(description, '<SEP>' ORDER BY p) AS d FROM (SELECT name, description, min(pos) AS p FROM al WHERE regexp_replace(description, '^\\s+|\\s+$', '', 'g') <> '' GROUP BY 1, 2) GROUP BY 1)"
+        " SELECT n.name, CASE WHEN ids IS NULL THEN 'gone' ELSE 'rebuilt' END AS state, coalesce(ids, '') AS source_id, coalesce(d, 'Entity ' || n.name) AS description FROM (SELECT DISTINCT name FROM r) n LEFT JOIN ids USING (name) LEFT JOIN tx USING (name)"
+    ),
+    "m01_relation_vectors": f"{ALL_SQL} SELECT 'rel-' || md5(a || b) AS vid, coalesce(e.properties ->> '$.keywords', '') || chr(9) || a || chr(10) || b || chr(10) || coalesce(e.properties ->> '$.description', '') AS content FROM p JOIN (SELECT DISTINCT gid, properties FROM graph_edges) e USING (gid)",
+    "m01_chunk_vectors": "SELECT 'chunk-' || md5(id) AS vid, content FROM (SELECT DISTINCT id, content FROM text_chunks WHERE content IS NOT NULL)",
+    "m06_equations": "SELECT id, i AS item, regexp_replace(f, '^\\s+|\\s+$', '', 'g') AS formula FROM (SELECT id, unnest(regexp_extract_all(content, '(?s)\\\\begin\\{equation\\}(.*?)\\\\end\\{equation\\}', 1)) AS f, unnest(range(1, 1 + len(regexp_extract_all(content, '(?s)\\\\begin\\{equation\\}(.*?)\\\\end\\{equation\\}', 1)))) AS i FROM (SELECT DISTINCT id, content FROM text_chunks))",
+    "m06_health": " UNION ALL ".join(f"SELECT '{t}' AS tbl, count(*) AS rows, count(DISTINCT {k}) AS keys, CAST(sum(CASE WHEN {k} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_keys FROM {t}" for t, k in (("doc_status", "id"), ("text_chunks", "id"), ("graph_nodes", "gid"), ("graph_edges", "gid"), ("entity_chunks", "id"), ("papers", "paper_id"), ("faiss_docs", "id"))),
+    "j11_repaired": f"WITH n AS (SELECT id, list_sort(list_filter(list_distinct(flatten(list({LIST_SQL.format('source_id')}))), lambda x: starts_with(x, 'doc-'))) AS own FROM (SELECT DISTINCT gid, id, source_id FROM graph_nodes WHERE id IS NOT NULL) GROUP BY id), x AS (SELECT n.id, CASE WHEN e.id IS NULL THEN own ELSE coalesce(chunk_ids, []) END AS c FROM n LEFT JOIN entity_chunks e ON e.id = n.id) SELECT id, array_to_string(c, '|') AS chunk_ids, CAST(len(c) AS INTEGER) AS chunk_count FROM x",
+    "j12_live_paths": (
+        f"WITH n AS (SELECT DISTINCT gid, source_id, file_path FROM graph_nodes), ds AS (SELECT DISTINCT id AS doc, CASE WHEN {_FK} IS NOT NULL THEN regexp_replace(file_path, '^\\s+|\\s+$', '', 'g') END AS file FROM doc_status),"
+        f" x AS (SELECT gid, s, min(i) AS i FROM (SELECT gid, unnest({LIST_SQL.format('source_id')}) AS s, unnest(generate_series(1, len({LIST_SQL.format('source_id')}))) AS i FROM n) GROUP BY 1, 2), y AS (SELECT x.*, regexp_full_match(s, 'doc-[0-9a-f]{{32}}-chunk-[0-9]+') AS fm, s IN (SELECT id FROM text_chunks) AS there FROM x),"
+        " z AS (SELECT y.*, there OR NOT fm AS keep, CASE WHEN fm THEN left(s, 36) END AS doc, file FROM y LEFT JOIN ds ON fm AND ds.doc = left(s, 36)), fo AS (SELECT gid, file, min(i) AS i FROM z WHERE keep AND file IS NOT NULL GROUP BY 1, 2), fj AS (SELECT gid, string_agg(file, '<SEP>' ORDER BY i) AS files FROM fo GROUP BY 1),"
+        " a AS (SELECT gid, coalesce(string_agg(s, '<SEP>' ORDER BY i) FILTER (keep), '') AS ids, CAST(sum(CASE WHEN keep THEN 0 ELSE 1 END) AS BIGINT) AS dropped, bool_or(keep AND doc IS NOT NULL AND file IS NULL) AS unknown FROM z GROUP BY 1)"
+        " SELECT n.gid, CASE WHEN dropped > 0 THEN ids ELSE n.source_id END AS source_id, CASE WHEN dropped > 0 AND NOT unknown THEN coalesce(files, '') ELSE n.file_path END AS file_path, coalesce(dropped, 0) AS dropped FROM n LEFT JOIN a USING (gid) LEFT JOIN fj USING (gid)"
+    ),
+    "j13_as_of": "SELECT p.event_id, v.value AS view_value FROM (SELECT * FROM events WHERE event_type = 'purchase') p ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v ON p.user_id = v.user_id AND p.ts >= v.ts",
+    "j13_interval": "SELECT a.event_id, b.event_id AS other FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'click' AND b.event_type = 'error' AND b.ts >= a.ts AND b.ts <= a.ts + INTERVAL 1 HOUR",
+    "j13_range": "SELECT p_partkey, band FROM part JOIN (VALUES ('low', 0.0, 1000.0), ('mid', 950.0, 1500.0), ('high', 1500.0, 1e6)) t(band, lo, hi) ON p_retailprice >= lo AND p_retailprice < hi",
+    "g18_histogram": "SELECT workspace, (CASE WHEN n >= 100 THEN 1 ELSE 0 END) + (CASE WHEN n >= 400 THEN 1 ELSE 0 END) + (CASE WHEN n >= 800 THEN 1 ELSE 0 END) + (CASE WHEN n >= 1600 THEN 1 ELSE 0 END) + (CASE WHEN n >= 3200 THEN 1 ELSE 0 END) AS bucket, count(*) AS n FROM (SELECT DISTINCT id, workspace, length(content) AS n FROM text_chunks WHERE content IS NOT NULL) GROUP BY 1, 2",
+    "g19_rollup": "SELECT source, lang, grouping(source) + grouping(lang) AS level, count(*) AS n FROM documents GROUP BY ROLLUP (source, lang)",
+    "d14_sliding": "SELECT s AS start, event_type, count(*) AS n FROM (SELECT event_type, unnest([time_bucket(INTERVAL 15 MINUTE, ts), time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 15 MINUTE, time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 30 MINUTE, time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL 45 MINUTE]) AS s FROM events) GROUP BY 1, 2",
+    "d14_sessions": "SELECT min(ts) AS start, max(ts) + INTERVAL 6 HOUR AS \"end\", user_id, count(*) AS n FROM (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS g FROM (SELECT *, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 6 HOUR THEN 1 ELSE 0 END AS nw FROM events)) GROUP BY user_id, g",
     "s08_upsert": "SELECT id, max(CAST(record ->> '$.__write_seq__' AS BIGINT)) AS seq FROM faiss_docs GROUP BY 1",
     "s08_missing_keys": "SELECT DISTINCT id FROM (SELECT unnest(chunk_ids) AS id FROM entity_chunks) WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM text_chunks)",
-    "s09_rows": "SELECT DISTINCT id FROM text_chunks ORDER BY id LIMIT 500",
+    "s09_rows": "SELECT page, count(*) AS rows, min(id) AS first, max(id) AS last FROM (SELECT id, (row_number() OVER (ORDER BY id) - 1) // 500 AS page FROM (SELECT DISTINCT id FROM text_chunks)) GROUP BY 1",
     "s14_first_contexts": "SELECT md5(text) AS digest, min(doc_id) AS first FROM documents WHERE text IS NOT NULL GROUP BY 1",
-    "s16_noop": "SELECT CAST(NULL AS VARCHAR) AS id, CAST(NULL AS DOUBLE) AS score WHERE false",
+    "s16_noop": "SELECT DISTINCT id, CAST(0 AS BIGINT) AS hits FROM graph_nodes WHERE id IS NOT NULL",
     "e01_tfidf": f"WITH {_TFIDF} SELECT query, name, round(score, 6) AS score, rank FROM rk WHERE rank <= 10",
     "e02_terms": f"SELECT doc_id, len({_TERM.format('text')}) AS n FROM documents WHERE text IS NOT NULL",
     "e03_measures": f"WITH {_TFIDF}, ex AS (SELECT DISTINCT paper_id AS query, doc_id AS name FROM papers JOIN documents ON attachment_key = item_key WHERE title IS NOT NULL), e AS (SELECT ex.query, ex.name, rank FROM ex LEFT JOIN (SELECT * FROM rk WHERE rank <= 10) r ON r.query = ex.query AND r.name = ex.name), p AS (SELECT query, count(rank) / count(*) AS recall, coalesce(max(1.0 / rank), 0) AS rr FROM e GROUP BY 1) SELECT count(*) AS queries, round(avg(recall), 9) AS recall, round(avg(rr), 9) AS mrr, CAST(sum(CASE WHEN recall = 1 THEN 1 ELSE 0 END) AS BIGINT) AS full, CAST(sum(CASE WHEN recall = 0 THEN 1 ELSE 0 END) AS BIGINT) AS none FROM p",
     "m01_rebuild_vectors": "SELECT 'ent-' || md5(id) AS vid, id || chr(10) || coalesce(properties ->> '$.description', '') AS content FROM (SELECT DISTINCT gid, id, properties FROM graph_nodes WHERE id IS NOT NULL)",
     "m02_clean_cache": f"SELECT {_KEY} AS key FROM (SELECT DISTINCT id FROM graph_nodes WHERE id IS NOT NULL) WHERE length(id) % 2 <> 0",
     "m03_copy_cache": f"SELECT {_KEY} AS key FROM (SELECT DISTINCT id FROM graph_nodes WHERE id IS NOT NULL) WHERE length(id) % 2 <> 0",
-    "m04_clear_workspace": "SELECT workspace, count(DISTINCT id) AS n FROM text_chunks WHERE workspace IS NULL OR workspace <> 'default' GROUP BY 1",
+    "m04_clear_workspace": "WITH big AS (SELECT workspace FROM (SELECT DISTINCT workspace, id FROM text_chunks) WHERE workspace IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS tbl, workspace, count(DISTINCT {k}) AS n FROM {t} GROUP BY 2" for t, k in (("doc_status", "id"), ("text_chunks", "id"), ("graph_nodes", "gid"), ("graph_edges", "gid"))) + ") WHERE workspace IS NULL OR workspace <> (SELECT workspace FROM big)",
     "j06_unseen": "SELECT DISTINCT id FROM graph_nodes WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM entity_chunks WHERE id IS NOT NULL)",
     "j10_anchor_gaps": f"WITH {_PROV}, an AS (SELECT DISTINCT left(s, 36) AS doc_id, id AS name FROM (SELECT id, unnest(chunk_ids) AS s FROM entity_chunks) WHERE regexp_full_match(s, 'doc-[0-9a-f]{{32}}-chunk-[0-9]+')) SELECT doc_id, name, 'not anchored' AS gap FROM (SELECT * FROM pv EXCEPT SELECT * FROM an) UNION ALL SELECT doc_id, name, 'no provenance' FROM (SELECT * FROM an EXCEPT SELECT * FROM pv)",
     "j11_tracking_repair": "SELECT id, 'count' AS what FROM entity_chunks WHERE chunk_count IS NULL OR chunk_count <> coalesce(len(chunk_ids), 0) UNION ALL SELECT id, 'orphan' FROM entity_chunks WHERE id NOT IN (SELECT id FROM graph_nodes WHERE id IS NOT NULL)",

@@ -6,10 +6,11 @@ nothing. Cases: a store without a version is empty; null keys are dropped; the l
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from graphloom.operators.lifecycle import upsert
+from graphloom.session import cut
 
 
 class VersionedTable:
@@ -106,3 +107,29 @@ def counted(df: DataFrame, name: str, **metrics):
 
     seen = Observation(name)
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in metrics.items())), seen
+
+
+def paged(df: DataFrame, key: str, size: int) -> DataFrame:
+    """(page, rows, first, last) of all rows of a table by unique keys in order, ``size`` a page. Keys are range-partitioned and counted a
+    partition, so that pages are numbered without sorting the table in one task; ``page_rows`` reads one."""
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ordered = cut(df.select(key).repartitionByRange(parts, key).sortWithinPartitions(key).withColumn("_part", F.spark_partition_id()))
+    counts = ordered.groupBy("_part").agg(F.count("*").alias("_n"))
+    # one row a partition
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    number = F.row_number().over(Window.partitionBy("_part").orderBy(key)) - 1
+    placed = ordered.join(F.broadcast(before), "_part").withColumn("page", F.floor((F.col("_before") + number) / size))
+    return placed.groupBy("page").agg(F.count("*").alias("rows"), F.min(key).alias("first"), F.max(key).alias("last"))
+
+
+def page_rows(df: DataFrame, key: str, after, size: int) -> DataFrame:
+    """The page after a key (None: the first)."""
+    return (df if after is None else df.where(F.col(key) > after)).orderBy(key).limit(size)
+
+
+def scan(df: DataFrame, key: str, size: int):
+    """All rows page by page, as lists of rows; the driver holds one page."""
+    after = None
+    while rows := page_rows(df, key, after, size).collect():
+        yield rows
+        after = rows[-1][key]
