@@ -1,11 +1,18 @@
-"""Tables as stores: key-value rows, the graph and vectors, each written as a new version beside the old one.
+"""Tables as stores: key-value rows, the graph and vectors, each a sequence of versions.
 
-A version is a folder; the pointer to the current one changes last, so readers see whole versions only and a lost writer loses
-nothing. Cases: a store without a version is empty; null keys are dropped; the last row of a key wins by its sequence.
+Rows lie in buckets by the hash of their key. A version is a small manifest that names, for each bucket, the folder that holds it; an
+upsert reads and writes the buckets that its rows touch and no others. The manifest of a version is created once and never
+replaced, so of two writers that start from one version one fails and tries again on the other's, readers see whole versions only,
+and a lost writer leaves nothing but files that no manifest names. Cases: a store without a version is empty; null keys are
+dropped; the last row of a key wins by its sequence.
 """
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,36 +20,191 @@ from graphloom.operators.lifecycle import upsert
 from graphloom.session import cut
 
 
+class Conflict(RuntimeError):
+    """Another writer made the version first."""
+
+
+class Files:
+    """Small files in any Hadoop file system."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._jvm = spark._jvm
+        self.path = path
+        self.fs = self._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def at(self, name: str = ""):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def names(self, folder: str = "") -> list[str]:
+        where = self.at(folder)
+        return [x.getPath().getName() for x in self.fs.listStatus(where)] if self.fs.exists(where) else []
+
+    def create(self, name: str, text: str) -> bool:
+        """Creates a file that is not there yet; False if it is."""
+        try:
+            out = self.fs.create(self.at(name), False)
+        except Exception as e:  # noqa: BLE001 - the file system's own kind of error tells that the file exists
+            if "exist" in str(e).lower():
+                return False
+            raise
+        out.write(bytearray(text.encode()))
+        out.close()
+        return True
+
+    def read(self, name: str) -> str:
+        stream = self.fs.open(self.at(name))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def remove(self, name: str) -> None:
+        self.fs.delete(self.at(name), True)
+
+
 class VersionedTable:
-    """A Parquet table with snapshots: ``path/v=N`` and a pointer file."""
+    """A Parquet table in buckets with versions: ``path/data/<folder>/_bucket=B`` and ``path/versions/N.json``."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path, schema
-        jvm = spark._jvm
-        self._fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-        self._file = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    def __init__(self, spark: SparkSession, path: str, schema: str, key: str = "id", buckets: int = 64):
+        self.spark, self.path, self.schema, self.key, self.buckets = spark, path, schema, key, buckets
+        self.files = Files(spark, path)
+        self.columns = spark.createDataFrame([], schema).columns
 
     def version(self) -> int:
-        if not self._fs.exists(self._file(self.path)):
-            return 0
-        done = [int(s.getPath().getName()[2:]) for s in self._fs.listStatus(self._file(self.path)) if s.getPath().getName().startswith("v=") and self._fs.exists(self._file(f"{s.getPath()}/_SUCCESS"))]
-        return max(done, default=0)
+        return max((int(n[:-5]) for n in self.files.names("versions") if n.endswith(".json") and n[:-5].isdigit()), default=0)
+
+    def _manifest(self, version: int) -> dict[str, str]:
+        return json.loads(self.files.read(f"versions/{version}.json")) if version else {}
+
+    def read(self, version: int | None = None, only: list[int] | None = None) -> DataFrame:
+        """The current version, or another one; ``only``: these buckets."""
+        v = self.version() if version is None else version
+        folders = [f"{self.path}/data/{folder}/_bucket={b}" for b, folder in sorted(self._manifest(v).items()) if only is None or int(b) in only]
+        return self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def _store(self, df: DataFrame) -> dict[str, str]:
+        folder = f"f-{uuid.uuid4().hex}"
+        df.select(*self.columns).withColumn("_bucket", self._bucket()).repartition(self.buckets, "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/data/{folder}")
+        return {n.split("=")[1]: folder for n in self.files.names(f"data/{folder}") if n.startswith("_bucket=")}
+
+    def commit(self, buckets: dict[str, str], expected: int) -> int:
+        """The version after ``expected``; Conflict if there is one already."""
+        if self.version() != expected or not self.files.create(f"versions/{expected + 1}.json", json.dumps(buckets)):
+            raise Conflict(f"{self.path} is beyond version {expected}")
+        return expected + 1
+
+    def write(self, df: DataFrame, expected: int | None = None) -> int:
+        """A new version of nothing but these rows."""
+        at = self.version() if expected is None else expected
+        return self.commit(self._store(df), at)
+
+    def _change(self, touched: DataFrame, change, tries: int = 5) -> int:
+        # bucket numbers: no more than there are buckets
+        hit = sorted(r["_bucket"] for r in touched.where(F.col(self.key).isNotNull()).select(self._bucket().alias("_bucket")).distinct().collect())
+        for n in range(tries):
+            at = self.version()
+            if not hit:
+                return at
+            kept = {b: f for b, f in self._manifest(at).items() if int(b) not in hit}
+            try:
+                return self.commit({**kept, **self._store(change(self.read(at, hit)))}, at)
+            except Conflict:
+                if n == tries - 1:
+                    raise
+        return self.version()
 
-    def read(self) -> DataFrame:
-        v = self.version()
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={v}") if v else self.spark.createDataFrame([], self.schema)
+    def upsert(self, rows: DataFrame, key: str, seq: str) -> int:
+        """The last row of each key by its sequence; only the buckets of the new rows are read and written."""
+        new = rows.select(*self.columns)
+        return self._change(new, lambda old: upsert(old, new, key, seq))
 
-    def write(self, df: DataFrame) -> int:
-        """A new version; it counts when its success mark is there."""
-        v = self.version() + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v={v}")
+    def delete(self, keys: DataFrame, key: str) -> int:
+        gone = keys.select(key)
+        return self._change(gone.withColumnRenamed(key, self.key), lambda old: old.join(gone, key, "left_anti"))
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Removes what the last ``keep`` versions do not name; the number of folders removed."""
+        last = self.version()
+        named = {f for v in range(max(1, last - keep + 1), last + 1) for f in self._manifest(v).values()}
+        gone = [f for f in self.files.names("data") if f not in named]
+        for f in gone:
+            self.files.remove(f"data/{f}")
+        for v in range(1, last - keep + 1):
+            self.files.remove(f"versions/{v}.json")
+        return len(gone)
+
+
+class Lease:
+    """The right to work on a key for a time: a file that only one can create. One that ran out can be taken over; its owner can renew
+    or give it back."""
+
+    def __init__(self, spark: SparkSession, path: str, owner: str, seconds: float = 60.0):
+        self.files, self.owner, self.seconds = Files(spark, path), owner, seconds
+
+    def acquire(self, key: str, now: float | None = None) -> bool:
+        now = time.time() if now is None else now
+        name = f"lease-{uuid.uuid5(uuid.NAMESPACE_OID, key).hex}"
+        held = sorted(n for n in self.files.names() if n.startswith(name))
+        number = 0
+        if held:
+            number = int(held[-1].rsplit("-", 1)[1])
+            state = json.loads(self.files.read(held[-1]))
+            if state["until"] > now and state["owner"] != self.owner:
+                return False
+        # who creates the next number holds the lease; of several that try, one does
+        if not self.files.create(f"{name}-{number + 1:012d}", json.dumps({"owner": self.owner, "until": now + self.seconds})):
+            return False
+        for n in held:
+            self.files.remove(n)
+        return True
+
+    def release(self, key: str) -> None:
+        name = f"lease-{uuid.uuid5(uuid.NAMESPACE_OID, key).hex}"
+        for n in self.files.names():
+            if n.startswith(name) and json.loads(self.files.read(n))["owner"] == self.owner:
+                self.files.remove(n)
+
+
+class VectorSink:
+    """Vectors (id, vector, record, seq) that are written to a buffer and found once it is flushed."""
+
+    SCHEMA = "id string, vector array<float>, record string, seq long"
+
+    def __init__(self, spark: SparkSession, path: str, model: str, dim: int, buckets: int = 64):
+        self.spark, self.dim = spark, dim
+        self.table = VersionedTable(spark, f"{path}/table", self.SCHEMA, buckets=buckets)
+        self.files = Files(spark, path)
+        space = json.loads(self.files.read("space.json")) if "space.json" in self.files.names() else None
+        check = check_space(space, model, dim)
+        if space is None:
+            self.files.create("space.json", json.dumps(check))
+
+    def add(self, rows: DataFrame) -> None:
+        """Rows into the buffer. A vector of another length is an error."""
+        wrong = F.when(F.col("vector").isNotNull() & (F.size("vector") != self.dim), F.raise_error(F.lit(f"a vector has not {self.dim} values"))).otherwise(F.col("vector"))
+        rows.select("id", wrong.alias("vector"), "record", "seq").write.parquet(f"{self.files.path}/buffer/b-{uuid.uuid4().hex}")
+
+    def pending(self) -> int:
+        names = self.files.names("buffer")
+        return self.spark.read.schema(self.SCHEMA).parquet(*(f"{self.files.path}/buffer/{n}" for n in names)).count() if names else 0
+
+    def flush(self) -> int:
+        """All that is buffered now into the table, as one version; the buffer is emptied after that."""
+        names = self.files.names("buffer")
+        if not names:
+            return self.table.version()
+        v = self.table.upsert(self.spark.read.schema(self.SCHEMA).parquet(*(f"{self.files.path}/buffer/{n}" for n in names)), "id", "seq")
+        for n in names:
+            self.files.remove(f"buffer/{n}")
         return v
 
-    def upsert(self, rows: DataFrame, key: str, seq: str) -> int:
-        return self.write(upsert(self.read(), rows.select(*self.read().columns), key, seq))
+    def search(self, query: list[float], k: int, threshold: float = 0.2) -> DataFrame:
+        from graphloom.operators.retrieval import search
 
-    def delete(self, keys: DataFrame, key: str) -> int:
-        return self.write(self.read().join(keys.select(key), key, "left_anti"))
+        return search(self.table.read().where("vector is not null"), query, k, threshold)
 
 
 class NoStore:
