@@ -10,7 +10,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -41,23 +41,29 @@ def embed(df: DataFrame, text: str, out: str = "vector", function=hash_embedding
     return df.join(once, text, "left")
 
 
-def rerank(df: DataFrame, query: str, text: str, out: str = "rerank_score", function=overlap_rerank) -> DataFrame:
-    """Adds a score; a function that fails leaves null scores, and the order before stays."""
+def rerank(df: DataFrame, query: str, text: str, out: str = "rerank_score", function=overlap_rerank, failed: str | None = None) -> DataFrame:
+    """Adds a score; where a function fails the scores of its batch are null, and the order before stays. ``failed`` names a column that
+    tells so, for a count of it."""
 
-    @F.pandas_udf("double")
-    def work(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf("struct<score double, failed boolean>")
+    def work(texts: pd.Series) -> pd.DataFrame:
         try:
-            return pd.Series(function(query, texts.tolist()), dtype="float64")
+            return pd.DataFrame({"score": pd.Series(function(query, texts.tolist()), dtype="float64"), "failed": False})
         except Exception:  # noqa: BLE001 - a model's failure must not fail the query
-            return pd.Series([None] * len(texts), dtype="float64")
+            return pd.DataFrame({"score": pd.Series([None] * len(texts), dtype="float64"), "failed": True})
 
-    return df.withColumn(out, work(F.col(text)))
+    scored = df.withColumn("_r", work(F.col(text))).withColumn(out, F.col("_r.score"))
+    return (scored.withColumn(failed, F.col("_r.failed")) if failed else scored).drop("_r")
 
 
-def rare_keywords(query: str, counts: dict[str, int], n: int = 5) -> list[str]:
-    """The rarest words of a query."""
-    words = sorted(set(re.findall(r"[a-z]{3,}", query.lower())))
-    return sorted(words, key=lambda w: (counts.get(w, 0), w))[:n]
+def rare_keywords(questions: DataFrame, texts: DataFrame, key: str, question: str, text: str, n: int = 5) -> DataFrame:
+    """(key, word, rank): the n words of each question (letters, three or more) that the fewest texts hold, ties by the word. Counts are
+    those of the questions' words alone."""
+    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit("([a-z]{3,})"), 1))
+    q = questions.where(F.col(question).isNotNull()).select(key, F.explode(words(F.col(question))).alias("word")).distinct()
+    df = texts.where(F.col(text).isNotNull()).select(F.explode(words(F.col(text))).alias("word")).join(q.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("df"))
+    w = Window.partitionBy(key).orderBy("df", "word")
+    return q.join(df, "word", "left").na.fill(0, ["df"]).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).select(key, "word", "rank")
 
 
 def rule_extractor(text: str) -> str:

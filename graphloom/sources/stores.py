@@ -254,6 +254,13 @@ def custom_graph(spark: SparkSession, kg: dict) -> dict[str, DataFrame]:
     return {"chunks": chunks, "entities": entities, "relations": relations}
 
 
+def checked_relations(relations: DataFrame) -> DataFrame:
+    """Relations (src, tgt, weight, ...) of a user's graph with refused: null ends, a relation with itself, or a weight not above 0 (a missing
+    weight is 1); null where it is fine."""
+    refused = F.when(F.col("src").isNull() | F.col("tgt").isNull(), "end missing").when(F.col("src") == F.col("tgt"), "self-loop").when(F.coalesce("weight", F.lit(1.0)) <= 0, "weight")
+    return relations.withColumn("weight", F.coalesce("weight", F.lit(1.0))).withColumn("refused", refused)
+
+
 def check_space(stored: dict | None, model: str, dim: int) -> dict:
     """The vector space of a store: refused if it was written by another model or with another length; recorded if it is new."""
     wanted = {"embedding.model": model, "embedding.dim": dim}
