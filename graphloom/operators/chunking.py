@@ -217,7 +217,8 @@ def structured(text: str | None, size: int) -> list[tuple[str, str]]:
         for p, c in blocks:
             if merged:
                 q, d = merged[-1]
-                under_one = q[:level] == p[:level] and (level == 0 or len(q) >= level and len(p) >= level)
+                # sections of the first level never share a chunk
+                under_one = q == p if level == 0 else q[:level] == p[:level] and len(q) >= level and len(p) >= level
                 whole = len(d) + 2 + len(c)
                 if under_one and (whole <= IDEAL * size or len(c) < SMALL_TAIL * size and whole <= size):
                     common = tuple(a for a, b in zip(q, p) if a == b) if q != p else q

@@ -99,10 +99,13 @@ def longest(texts: Column) -> Column:
 
 
 def batches(rows: DataFrame, keys: list[str], most: int = BATCH_TOKENS) -> DataFrame:
-    """Adds batch to (keys, text, place): texts in order fill batches of so many tokens, at least two texts each but for the last."""
+    """Adds batch to (keys, text, place): texts in order, two by two, fill batches of so many tokens; every batch has two texts at least, but
+    for a last one that has no partner."""
     w = Window.partitionBy(*keys).orderBy("place")
-    before = F.coalesce(F.sum(F.length("text")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.withColumn("batch", F.least(F.floor(before / most), F.floor((F.row_number().over(w) - 1) / 2)))
+    size = F.length("text")
+    before = F.coalesce(F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    second = (F.row_number().over(w) - 1) % 2
+    return rows.withColumn("batch", F.floor((before - second * F.coalesce(F.lag(size).over(w), F.lit(0))) / most))
 
 
 def summarised(rows: DataFrame, keys: list[str], summarise=longest, most: int = BATCH_TOKENS, rounds: int = 64) -> DataFrame:

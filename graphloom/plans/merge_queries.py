@@ -188,7 +188,7 @@ SQL = {
     "g04_source_cap": f"{SRCS_SQL}, l AS (SELECT name, list(v ORDER BY o) AS v FROM f GROUP BY name) SELECT name, array_to_string(v[1:3], '|') AS keep, array_to_string(v[greatest(1, len(v) - 2):], '|') AS fifo FROM l",
     "g05_descriptions": f"{DESC_SQL} SELECT name, array_to_string(texts, '|') AS texts FROM tx",
     "g06_summary": f"{DESC_SQL} SELECT name, CAST(length(array_to_string(texts, '<SEP>')) AS BIGINT) AS size, len(texts) > 1 AND (len(texts) >= 8 OR length(array_to_string(texts, '')) >= 1200) AS needs_summary FROM tx",
-    "g06_batches": f"{DESC_SQL}, rw AS (SELECT name, description, row_number() OVER w - 1 AS i, coalesce(sum(length(description)) OVER (PARTITION BY name ORDER BY k.t, -length(description), k.p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM ds WINDOW w AS (PARTITION BY name ORDER BY k.t, -length(description), k.p)) SELECT name, CAST(least(floor(b / 400), floor(i / 2)) AS BIGINT) AS batch, count(*) AS texts, CAST(sum(length(description)) AS BIGINT) AS size FROM rw GROUP BY 1, 2",
+    "g06_batches": f"{DESC_SQL}, rw AS (SELECT name, description, row_number() OVER w - 1 AS i, coalesce(lag(length(description)) OVER w, 0) AS l, coalesce(sum(length(description)) OVER (PARTITION BY name ORDER BY k.t, -length(description), k.p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM ds WINDOW w AS (PARTITION BY name ORDER BY k.t, -length(description), k.p)) SELECT name, CAST(floor((b - i % 2 * l) / 400) AS BIGINT) AS batch, count(*) AS texts, CAST(sum(length(description)) AS BIGINT) AS size FROM rw GROUP BY 1, 2",
     "g02_entities": (
         f"{DESC_SQL}, r AS (SELECT * FROM rec WHERE name IS NOT NULL AND regexp_replace(name, '^\\s+|\\s+$', '', 'g') <> ''),"
         " vt AS (SELECT name, type FROM (SELECT name, type, row_number() OVER (PARTITION BY name ORDER BY count(*) DESC, min(pos)) AS x FROM r WHERE type IS NOT NULL AND type <> '' GROUP BY 1, 2) WHERE x = 1),"

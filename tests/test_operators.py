@@ -23,15 +23,18 @@ def test_canonical_and_degrees(small, rows):
 
 def test_subgraph_depth_and_cap(small, rows):
     nodes, pairs = small
-    assert rows(graph.subgraph(nodes, pairs, "b", 2, 10)) == [("a", 1), ("b", 0), ("c", 2), ("f", 2)]
-    assert rows(graph.subgraph(nodes, pairs, "b", 3, 3)) == [("a", 1), ("b", 0), ("c", 2)]
-    assert rows(graph.subgraph(nodes, pairs, "nobody", 2, 10)) == []
+    edges = pairs.select(F.col("b").alias("src_id"), F.col("a").alias("tgt_id"))
+    assert rows(graph.subgraph(nodes, edges, "b", 2, 10)) == [("a", 1, False), ("b", 0, False), ("c", 2, False), ("f", 2, False)]
+    assert rows(graph.subgraph(nodes, edges, "b", 3, 3)) == [("a", 1, True), ("b", 0, True), ("c", 2, True)]
+    assert rows(graph.subgraph(nodes, edges, "nobody", 2, 10)) == []
 
 
 def test_redirect_and_label_search(spark, small, rows):
     _, pairs = small
     names = spark.createDataFrame([("b", "a"), ("d", "f")], "old string, new string")
-    assert rows(graph.redirect(pairs, names)) == [("a", "c", 1.0), ("a", "f", 3.0), ("c", "f", 1.0)]
+    full = pairs.withColumn("file_path", F.concat("a", F.lit(".pdf"))).withColumn("keywords", F.concat_ws(", ", "b", F.lit("k"))).withColumn("description", F.lit(None).cast("string"))
+    assert rows(graph.redirect(full, names), "a", "b", "weight") == [("a", "c", 1.0), ("a", "f", 3.0), ("c", "f", 1.0)]
+    assert rows(graph.redirect(full, names).where("b = 'f'"), "a", "source_id", "file_path", "keywords", "description") == [("a", "UNKNOWN", "a.pdf", "f,k", ""), ("c", "s3", "c.pdf", "d,k", "")]
     labels = spark.createDataFrame([("graph",), ("Graph theory",), ("a graph",), ("paragraph",)], "id string")
     assert [tuple(r) for r in graph.search_labels(labels, "graph", 9).collect()] == [("graph", 1000), ("Graph theory", 500), ("a graph", 143), ("paragraph", 91)]
 
@@ -131,7 +134,7 @@ def test_names(spark):
 
 def test_quality(spark):
     d = spark.createDataFrame([(1, "x"), (2, None), (3, "\n".join(["The running header of this whole report, page 3"] * 6 + ["body"] * 40))], "id int, text string")
-    got = {r.id: r.text for r in quality.repeated_lines(d, "id", "text", most_loss=0.9).collect()}
+    got = {r.id: r.text for r in quality.repeated_lines(d, "text", most_loss=0.9).collect()}
     assert got[1] == "x" and got[2] is None and got[3].count("header") == 1
     refs = "\n".join(f"Smith, A. B. ({1990 + i}). Title. Journal of X, vol. 3" for i in range(5))
     b = spark.createDataFrame([(refs,), ("plain text",)], "t string").select(quality.is_bibliography(F.col("t")).alias("b")).collect()

@@ -1,4 +1,4 @@
-"""Every core query against its SQL over the smallest tables."""
+"""Every core query against its SQL over the tables that the driver compares."""
 
 import glob
 import math
@@ -8,7 +8,7 @@ import pytest
 
 from graphloom.plans import registry
 
-DIR = "/root/testdata/sf0.001"
+DIR = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables here")
 
 
