@@ -22,9 +22,10 @@ LIST_BLOCK = 1000
 def coupling(refs: DataFrame) -> DataFrame:
     """(x, y, shared) with x < y: papers that share entries of reference lists. refs: list_id, item. A list of more than LIST_BLOCK
     entries is cut into blocks, and each two blocks of it meet as a key of their own, so that no list is one task."""
-    r = refs.where("item is not null").distinct()
-    size = r.groupBy("list_id").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("k")).where("k > 1")
-    r = r.join(size, "list_id", "left").withColumn("k", F.coalesce("k", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("item"), F.col("k")).cast("int"))
+    rows = refs.where("item is not null")
+    # the number of rows bounds that of entries, and is counted before the shuffle
+    size = rows.groupBy("list_id").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("k")).where("k > 1")
+    r = rows.distinct().join(size, "list_id", "left").withColumn("k", F.coalesce("k", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("item"), F.col("k")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("k") - 1))
     left = r.select("list_id", F.col("own").alias("i"), every.alias("j"), F.col("item").alias("x"))
     right = r.select("list_id", F.col("own").alias("j"), every.alias("i"), F.col("item").alias("y"))
@@ -103,12 +104,13 @@ def topic_search(topics: DataFrame, query: str, least: int = 4) -> DataFrame:
 def cheapest(links: DataFrame, start: int, hops: int) -> DataFrame:
     """(node, cost, hops): the cheapest way to each node within the hops; passing a node costs 1 + log2(1 + degree) / 2. Each hop is
     one join of the frontier's best costs with the links, kept as a table in the shared folder. links: x, y."""
-    adj = symmetric(links.select("x", "y"))
+    adj = cut(symmetric(links.select("x", "y")))
     toll = adj.groupBy("node").agg((1 + 0.5 * F.log2(1 + F.count("*"))).alias("toll"))
-    priced = cut(adj.join(toll.withColumnRenamed("node", "nbr"), "nbr"))
     best = links.sparkSession.createDataFrame([(start, 0.0, 0)], "node long, cost double, hops int")
     for h in range(1, hops + 1):
-        step = best.where(F.col("hops") == h - 1).join(priced, "node").select(F.col("nbr").alias("node"), (F.col("cost") + F.col("toll")).alias("cost"), F.lit(h).alias("hops"))
+        # the toll is that of the node entered, so the cheapest way to it is found before it is added
+        step = best.where(F.col("hops") == h - 1).join(adj, "node").groupBy(F.col("nbr").alias("node")).agg(F.min("cost").alias("cost"))
+        step = step.join(toll, "node").select("node", (F.col("cost") + F.col("toll")).alias("cost"), F.lit(h).alias("hops"))
         whole = best.unionByName(step).groupBy("node").agg(F.min(F.struct("cost", "hops")).alias("b"))
         best = cut(whole.select("node", "b.cost", "b.hops"))
     return best

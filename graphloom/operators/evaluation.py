@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graphloom.session import cut
+
 # Words the ranker skips.
 STOP = "a an and are as at be by for from in is it its of on or that the this to was were with which".split()
 
@@ -20,11 +22,12 @@ def terms(text: Column) -> Column:
 
 
 def tfidf(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(query, name, score, rank): documents (name, text) for queries (query, text). Counts are pre-aggregated by (name, term)."""
-    tf = docs.select("name", F.explode(terms(F.col("text"))).alias("t")).groupBy("name", "t").agg(F.count("*").alias("tf"))
+    """(query, name, score, rank): documents (name, text) for queries (query, text). Texts are read once: only the terms that a query asks for
+    are counted, by (name, term) before the shuffle, and kept as a table."""
+    q = cut(queries.select("query", F.explode(F.array_distinct(terms(F.col("text")))).alias("t")))
+    tf = cut(docs.select("name", F.explode(terms(F.col("text"))).alias("t")).join(q.select("t").distinct(), "t", "left_semi").groupBy("name", "t").agg(F.count("*").alias("tf")))
     n = docs.count()
     df = tf.groupBy("t").agg(F.count("*").alias("df"))
-    q = queries.select("query", F.explode(F.array_distinct(terms(F.col("text")))).alias("t"))
     idf = F.log((F.lit(float(n)) + 1) / (F.col("df") + 1)) + 1
     s = q.join(df, "t").join(tf, "t").groupBy("query", "name").agg(F.sum((1 + F.log(F.col("tf").cast("double"))) * idf).alias("score")).where("score > 0")
     w = Window.partitionBy("query").orderBy(F.desc(F.round("score", 9)), "name")

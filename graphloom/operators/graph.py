@@ -60,10 +60,12 @@ def search_labels(nodes: DataFrame, query: str, n: int) -> DataFrame:
     return nodes.select("id", label_score(F.col("id"), query).alias("score")).where("score is not null").orderBy(F.desc("score"), "id").limit(n)
 
 
-def directed(edges: DataFrame) -> DataFrame:
-    """Both directions of stored edges (src_id, tgt_id), with their copies: node, nbr. Nothing is shuffled."""
+def beside(edges: DataFrame, names: list[str]) -> DataFrame:
+    """(node, nbr) of stored edges (src_id, tgt_id) at a bounded list of names, from either end, with their copies. The list is a filter
+    that reaches the scan of both columns, so nothing is shuffled."""
     e = edges.where("src_id is not null and tgt_id is not null and src_id <> tgt_id")
-    return e.select(F.explode(F.array(F.struct(F.col("src_id").alias("node"), F.col("tgt_id").alias("nbr")), F.struct(F.col("tgt_id").alias("node"), F.col("src_id").alias("nbr")))).alias("e")).select("e.node", "e.nbr")
+    one = lambda a, b: e.where(F.col(a).isin(names)).select(F.col(a).alias("node"), F.col(b).alias("nbr"))
+    return one("src_id", "tgt_id").unionByName(one("tgt_id", "src_id"))
 
 
 def subgraph(nodes: DataFrame, edges: DataFrame, start: str, depth: int, cap: int) -> DataFrame:
@@ -71,23 +73,22 @@ def subgraph(nodes: DataFrame, edges: DataFrame, start: str, depth: int, cap: in
     truncated tells whether that left any out. edges: src_id, tgt_id as stored.
 
     Edges are filtered by the frontier where they lie, and degrees are counted for the candidates alone, so the work follows the
-    neighbourhood and not the graph. The frontier never exceeds ``cap`` rows, so its broadcast is bounded by a parameter."""
-    spark, both = nodes.sparkSession, directed(edges)
-    frontier = [r["id"] for r in nodes.where(F.col("id") == start).select("id").limit(1).collect()]
-    found, seen, cut_off = [(x, 0) for x in frontier], set(frontier), False
+    neighbourhood and not the graph. What the driver holds never exceeds ``cap`` names."""
+    spark = nodes.sparkSession
+    e = edges.where("src_id is not null and tgt_id is not null and src_id <> tgt_id")
+    both = e.select(F.col("src_id").alias("id"), F.col("tgt_id").alias("nbr")).unionByName(e.select(F.col("tgt_id").alias("id"), F.col("src_id").alias("nbr")))
+    frontier = [start] if nodes.where(F.col("id") == start).limit(1).count() else []
+    found, cut_off = [(x, 0) for x in frontier], False
     for level in range(1, depth + 1):
         if not frontier or len(found) >= cap:
             break
-        asked = F.broadcast(spark.createDataFrame([(x,) for x in frontier], "node string"))
-        had = F.broadcast(spark.createDataFrame([(x,) for x in seen], "id string"))
-        near = both.join(asked, "node", "left_semi").select(F.col("nbr").alias("id")).distinct().join(had, "id", "left_anti").join(nodes.select("id").distinct(), "id", "left_semi")
-        degree = both.join(near.withColumnRenamed("id", "node"), "node", "left_semi").distinct().groupBy(F.col("node").alias("id")).agg(F.count("*").alias("degree"))
+        near = beside(edges, frontier).select(F.col("nbr").alias("id")).where(~F.col("id").isin([x for x, _ in found])).distinct().join(nodes.select("id"), "id", "left_semi")
+        degree = both.join(near, "id", "left_semi").groupBy("id").agg(F.count_distinct("nbr").alias("degree"))
         # one row more than there is room for tells that some are left out
         got = [r["id"] for r in degree.orderBy(F.desc("degree"), "id").limit(cap - len(found) + 1).collect()]
         cut_off = cut_off or len(got) > cap - len(found)
         frontier = got[: cap - len(found)]
         found += [(x, level) for x in frontier]
-        seen.update(frontier)
     return spark.createDataFrame([(x, n, cut_off) for x, n in found], "id string, level int, truncated boolean")
 
 

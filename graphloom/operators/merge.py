@@ -111,7 +111,8 @@ def batches(rows: DataFrame, keys: list[str], most: int = BATCH_TOKENS) -> DataF
 def summarised(rows: DataFrame, keys: list[str], summarise=longest, most: int = BATCH_TOKENS, rounds: int = 64) -> DataFrame:
     """(keys, summary) of descriptions (keys, text, place) by levels of batches: each level at least halves a group, and no batch holds
     more than ``most`` tokens and one text."""
-    while rounds and not rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+    several = lambda r: (r.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0) > 1
+    while rounds and several(rows):
         level = batches(rows, keys, most).groupBy(*keys, "batch").agg(F.sort_array(F.collect_list(F.struct("place", "text"))).alias("t"))
         rows = cut(level.select(*keys, F.when(F.size("t") == 1, F.col("t")[0]["text"]).otherwise(summarise(F.col("t"))).alias("text"), F.col("t")[0]["place"].alias("place")))
         rounds -= 1
@@ -125,6 +126,8 @@ def entities(records: DataFrame, summarise=longest) -> DataFrame:
     and never stand in one row."""
     r = records.where(F.col("name").isNotNull() & (strip(F.col("name")) != ""))
     told = cut(description_rows(r, ["name"], "pos", "time"))
+    # the other rules read four columns several times
+    r = cut(r.select("name", "type", "source_id", "file_path", "pos"))
     size = told.groupBy("name").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
     size = size.select("name", ((F.col("n") > 1) & ((F.col("n") >= SUMMARY_TEXTS) | (F.col("chars") >= SUMMARY_TOKENS))).alias("long"))
     short = told.join(size.where("not long"), "name", "left_semi").groupBy("name").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "text"))), lambda x: x["text"]), SEP).alias("text"))

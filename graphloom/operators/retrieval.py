@@ -36,6 +36,11 @@ def search(vectors: DataFrame, query: list[float], k: int, threshold: float = TH
     return ranked(hits, [F.desc("score"), F.asc("id")])
 
 
+def held(bounded: DataFrame) -> DataFrame:
+    """A list bounded by a parameter, computed once and held by the driver as a local table, for several readers."""
+    return bounded.sparkSession.createDataFrame(bounded.toArrow(), schema=bounded.schema)
+
+
 def ranked(bounded: DataFrame, order: list[Column]) -> DataFrame:
     """Adds pos from 0. Only for lists bounded by a parameter: they are numbered in one task."""
     return bounded.withColumn("pos", F.row_number().over(Window.orderBy(*order)) - 1)

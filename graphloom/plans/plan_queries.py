@@ -40,13 +40,13 @@ class Plan:
 
     def hits(self, kind: str, *columns: str) -> DataFrame:
         """The vector hits among entities or relations (bounded by K): pos and the columns."""
-        return cut(retrieval.search(self.vectors.where(F.col(kind).isNotNull()), self.query, K, carry=columns).select("pos", *columns))
+        return retrieval.held(retrieval.search(self.vectors.where(F.col(kind).isNotNull()), self.query, K, carry=columns).select("pos", *columns))
 
     def local(self) -> tuple[DataFrame, DataFrame]:
         """Hit entities in their order with their degree, and their edges by the degree of both ends, then weight."""
         hits = self.hits("entity_name", "entity_name").select(F.col("entity_name").alias("id"), F.col("pos").alias("hit"))
         there = names(self.spark, self.d).join(F.broadcast(hits), "id", "left_semi")
-        found = cut(retrieval.ranked(there.join(F.broadcast(hits), "id"), [F.asc("hit")]).select("id", "pos"))
+        found = retrieval.held(retrieval.ranked(there.join(F.broadcast(hits), "id"), [F.asc("hit")]).select("id", "pos"))
         near = graph.adjacency(self.pairs, "weight").join(F.broadcast(found.withColumnRenamed("id", "node")), "node")
         near = near.groupBy(F.least("node", "nbr").alias("a"), F.greatest("node", "nbr").alias("b")).agg(F.min(F.struct("pos", "nbr")).alias("first"), F.max("weight").alias("weight"))
         near = cut(near)
@@ -89,7 +89,7 @@ class Plan:
         p = self.pairs.withColumn("id", F.array("a", "b")).select("id", "a", "b", "source_id", field("description"), field("keywords"))
         r = p.join(F.broadcast(relations), "id").withColumn("line", F.to_json(F.struct(F.col("a").alias("entity1"), F.col("b").alias("entity2"), "description", "keywords")))
         r = retrieval.within_budget(r, F.length("line") + 1, [F.asc("pos")], RELATION_BUDGET).select(F.array_join("id", "|").alias("id"), "pos", "line", "source_id")
-        return cut(e), cut(r)
+        return retrieval.held(e), retrieval.held(r)
 
     def chunk_vectors(self) -> DataFrame:
         """(id, vector): a chunk's vector is that of the first name whose tracking begins with it."""
@@ -102,10 +102,11 @@ class Plan:
 
     def _pick(self, groups: DataFrame, n_groups: int, v: DataFrame) -> DataFrame:
         """Chunks of groups by similarity; by weight where no candidate has a vector."""
-        owned = cut(retrieval.owned_chunks(groups))
+        owned = retrieval.held(retrieval.owned_chunks(groups))
         near = retrieval.pick_by_vector(owned, v, self.query, RELATED, n_groups)
         near = retrieval.ranked(near, [F.desc("score"), F.asc("group_pos"), F.asc("place")]).select(F.col("chunk_id").alias("id"), "pos")
-        if not near.isEmpty():
+        near = retrieval.held(near)
+        if near.count():
             return near
         heavy = retrieval.pick_by_weight(owned, RELATED)
         return retrieval.ranked(heavy.select(F.col("chunk_id").alias("id"), "group_pos", "place"), [F.asc("group_pos"), F.asc("place")]).select("id", "pos")
@@ -125,27 +126,27 @@ class Plan:
     def text_lists(self, v: DataFrame) -> DataFrame:
         """(id, pos): named works' chunks before the vector list, and the lexical list in turn with both. v: the chunks' vectors."""
         near = retrieval.search(v, self.query, CHUNK_TOP).select("id", "pos")
-        hits = cut(lex(self.spark, self.d, CHUNK_TOP))
+        hits = retrieval.held(lex(self.spark, self.d, CHUNK_TOP))
         first = retrieval.prepend([self.metadata(hits), near]).select("id", F.col("rank").alias("pos"))
         return retrieval.interleave([first, hits.select("id", "pos")]).select("id", F.col("rank").alias("pos"))
 
     def result(self) -> dict[str, DataFrame]:
         """entities, relations and chunks of the plan: id, pos, line (the record as it stands in the context) and, of chunks, file_path."""
-        v = cut(self.chunk_vectors())
+        v = cut(self.chunk_vectors())  # as many as there are chunks
         lists, out = [], {}
         if self.mode in ("mix", "naive"):
             lists.append(self.text_lists(v))
         if self.mode != "naive":
             entities, relations = self.truncated()
-            mine = cut(self._pick(self._groups(entities), entities.count(), v))
+            mine = retrieval.held(self._pick(self._groups(entities), entities.count(), v))
             rest = self._groups(relations).join(F.broadcast(mine.select(F.col("id").alias("chunk_id"))), "chunk_id", "left_anti")
             lists += [mine, self._pick(rest, relations.count(), v)]
             out = {"entity": entities, "relation": relations}
         merged = retrieval.interleave(lists).select("id", F.col("rank").alias("pos"))
-        rows = cut(retrieval.with_rows(merged, chunks(self.spark, self.d).withColumnRenamed("full_doc_id", "work"), "work", "content", "file_path"))
+        rows = retrieval.held(retrieval.with_rows(retrieval.held(merged), chunks(self.spark, self.d).withColumnRenamed("full_doc_id", "work"), "work", "content", "file_path"))
         done = retrieval.processed(rows, WORDS, CHUNK_TOP, CHUNK_BUDGET, FLOOR, WORK_MOST, self.works(), PIN_MOST)
         done = done.join(rows.select("id", "content", "file_path"), "id").select("id", "pos", F.to_json(F.struct("id", "content")).alias("line"), "file_path")
-        return {**out, "chunk": cut(done)}
+        return {**out, "chunk": retrieval.held(done)}
 
 
 def _rows(result: dict[str, DataFrame]) -> DataFrame:
