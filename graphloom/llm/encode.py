@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+#: The vocabulary's file; another folder is named by the environment, another file by the parameter ``path``.
+TOKENIZER = os.path.join(os.environ.get("GRAPHLOOM_TOKENIZERS", "/opt/tokenizers"), "byte_bpe_50k.json")
 #: Characters of text encoded at once.
 BATCH_CHARS = 2_000_000
 

@@ -346,6 +346,15 @@ def test_mixture(spark):
     assert mixture.mixture(sized.limit(0), targets).count() == 0
 
 
+def test_given_schedules(spark):
+    sized = spark.range(2000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 1000, "a").otherwise("b").alias("source"), F.lit(10).cast("long").alias("n_tokens"))
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    half = lambda m: {r.source: r.n for r in m.where("position < 0.5").groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
+    flat, given = half(mixture.mixture(sized, targets)), spark.createDataFrame([("a", 0.9, 0.1), ("b", 0.1, 0.9)], "source string, start_share double, end_share double")
+    tilted = half(mixture.mixture(sized, targets, given=given))
+    assert abs(flat["a"] - flat["b"]) < 200 and abs(tilted["a"] / (tilted["a"] + tilted["b"]) - 0.7) < 0.02
+
+
 def test_times_invert_the_schedule(spark):
     t = spark.range(11).select((F.col("id") / 10).alias("s"), F.lit(0.3).alias("k"))
     for r in t.select("s", mixture.time_of(F.col("s"), F.col("k")).alias("t")).collect():
