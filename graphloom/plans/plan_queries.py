@@ -176,6 +176,20 @@ def r20_processed_chunks(spark, d):
     return retrieval.processed(rows, WORDS, CHUNK_TOP, CHUNK_BUDGET, FLOOR, WORK_MOST, Plan.works(_Only(spark, d)), PIN_MOST)
 
 
+#: The budget of the context fit, which ends among the chunks.
+FIT_BUDGET = 20_000
+
+
+def r19_context_fit(spark, d):
+    """The local and global hits and the lexical chunks fitted to one budget."""
+    v = vectors(spark, d)
+    query = query_vector(v)
+    e = retrieval.search(v.where("entity_name is not null"), query, K, carry=("entity_name",)).select("pos", F.length("entity_name").alias("tokens"))
+    r = retrieval.search(v.where("src_id is not null"), query, K, carry=("src_id", "tgt_id")).select("pos", (F.length("src_id") + F.length("tgt_id")).alias("tokens"))
+    c = retrieval.with_rows(lex(spark, d), chunks(spark, d), "content").select("pos", F.coalesce(F.length("content"), F.lit(0)).alias("tokens"))
+    return retrieval.fit_context(e, r, c, FIT_BUDGET)
+
+
 class _Only(Plan):
     """A plan of which only the tables are asked."""
 
@@ -291,9 +305,14 @@ _META_SQL = (
     f" md AS (SELECT id, row_number() OVER (ORDER BY work_pos, r) - 1 AS pos FROM (SELECT *, row_number() OVER (PARTITION BY work ORDER BY lead DESC, score DESC, place, id) AS r FROM m1) WHERE r <= {-(-CHUNK_TOP // 2)}),"
     " mg AS (SELECT id, row_number() OVER (ORDER BY x) - 1 AS pos FROM (SELECT id, min(struct_pack(p := pos, l := leg)) AS x FROM (SELECT id, pos, 0 AS leg FROM lx UNION ALL SELECT id, pos, 1 FROM md) GROUP BY 1))"
 )
-QUERIES = {f.__name__: f for f in (_mode("local"), _mode("global"), _mode("hybrid"), _mode("mix"), r20_processed_chunks, r22_named_work_pin, r26_context, r27_structured_result, r29_naive)}
+QUERIES = {f.__name__: f for f in (_mode("local"), _mode("global"), _mode("hybrid"), _mode("mix"), r19_context_fit, r20_processed_chunks, r22_named_work_pin, r26_context, r27_structured_result, r29_naive)}
 SQL = {
     **{f"r11_mode_{m}": f"{_plan_sql(m)} {_rows_sql(m)}" for m in ("local", "global", "hybrid", "mix")},
+    "r19_context_fit": (
+        f"WITH {VEC_SQL}, {_hits('entity_name')}, {_hits('src_id').replace('h AS', 'h2 AS', 1)}, {_lex_sql(K)}, w AS (SELECT 0 AS leg, 'entity' AS kind, pos, length(entity_name) AS tokens FROM h UNION ALL SELECT 1, 'relation', pos, length(src_id) + length(tgt_id) FROM h2),"
+        f" b AS (SELECT *, sum(tokens) OVER (ORDER BY pos, leg) AS t FROM w QUALIFY t <= {FIT_BUDGET}), rest AS (SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.leg = w.leg AND b.pos = w.pos) UNION ALL SELECT 2, 'chunk', pos, coalesce(length(content), 0) FROM lx JOIN ch USING (id)),"
+        f" m AS (SELECT *, sum(tokens) OVER (ORDER BY leg, pos) AS t FROM rest QUALIFY t + (SELECT coalesce(sum(tokens), 0) FROM b) <= {FIT_BUDGET}) SELECT kind, pos, tokens FROM b UNION ALL SELECT kind, pos, tokens FROM m"
+    ),
     "r29_naive": f"{_plan_sql('naive')} SELECT id, pos FROM ck",
     "r20_processed_chunks": f"WITH {_lex_sql(3 * K)}, {_WORKS_SQL}, {_processed_sql('lx', CHUNK_TOP, CHUNK_BUDGET, FLOOR, WORK_MOST)} SELECT id, score, pinned, pos FROM ck",
     "r22_named_work_pin": f"WITH {_lex_sql(CHUNK_TOP)}, {_WORKS_SQL}, {_META_SQL}, {_processed_sql('mg', 2 * CHUNK_TOP, 10 * CHUNK_BUDGET, 0.0, 0)} SELECT id, pinned, pos FROM ck",

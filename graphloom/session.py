@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -50,14 +51,39 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared folder and read again: later branches read compressed columns instead of computing
-    it again, and a lost executor loses nothing. Tables are removed when the driver's Python ends."""
+    it again, and a lost executor loses nothing. Tables are removed by ``release`` or ``scratch``, and at last when the driver's Python
+    ends."""
     spark = df.sparkSession
     where = f"{checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(where)
-    atexit.register(_remove, spark, where)
+    if not _TABLES:
+        atexit.register(release, spark)
+    _TABLES.append(where)
     return spark.read.schema(df.schema).parquet(where)
 
 
+_TABLES: list[str] = []
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Removes the tables that were cut (from the number ``since`` on); results that still read them are lost. The number removed."""
+    gone = _TABLES[since:]
+    del _TABLES[since:]
+    for where in gone:
+        _remove(spark, where)
+    return len(gone)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """A stretch of work of which only written results stay: tables that were cut in it are removed at its end."""
+    since = len(_TABLES)
+    try:
+        yield
+    finally:
+        release(spark, since)
+
+
 def _remove(spark: SparkSession, where: str) -> None:
     try:
         path = spark._jvm.org.apache.hadoop.fs.Path(where)

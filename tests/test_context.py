@@ -29,3 +29,15 @@ def test_counters(spark):
     df, seen = stores.counted(spark.range(5), "ids", most=F.max("id"))
     df.collect()
     assert seen.get == {"rows": 5, "most": 4}
+
+
+def test_scratch_tables_go(spark):
+    import os
+
+    from graphloom import session
+
+    with session.scratch(spark):
+        df = session.cut(spark.range(3))
+        where = session._TABLES[-1]
+        assert df.count() == 3 and os.path.isdir(where.removeprefix("file:"))
+    assert where not in session._TABLES and not os.path.isdir(where.removeprefix("file:"))
