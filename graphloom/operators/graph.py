@@ -7,6 +7,7 @@ label; empty tables give empty results.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,14 +61,27 @@ def search_labels(nodes: DataFrame, query: str, n: int) -> DataFrame:
     return nodes.select("id", label_score(F.col("id"), query).alias("score")).where("score is not null").orderBy(F.desc("score"), "id").limit(n)
 
 
+#: Up to so many names are a filter that reaches the scan; a longer list, which only costs time to plan, is a local table.
+FILTER_NAMES = 20
+
+
 def beside(edges: DataFrame, names: list[str]) -> DataFrame:
-    """(node, nbr) of stored edges (src_id, tgt_id) at a bounded list of names, from either end, with their copies. The list is a filter
-    that reaches the scan of both columns, so nothing is shuffled."""
+    """(node, nbr) of stored edges (src_id, tgt_id) at a bounded list of names, from either end, with their copies. Edges are filtered
+    where they lie, and nothing is shuffled."""
     e = edges.where("src_id is not null and tgt_id is not null and src_id <> tgt_id")
-    one = lambda a, b: e.where(F.col(a).isin(names)).select(F.col(a).alias("node"), F.col(b).alias("nbr"))
+    if len(names) <= FILTER_NAMES:
+        hit = lambda a: e.where(F.col(a).isin(names))
+    else:
+        asked = _named(edges.sparkSession, names)
+        hit = lambda a: e.join(F.broadcast(asked.withColumnRenamed("id", a)), a, "left_semi")
+    one = lambda a, b: hit(a).select(F.col(a).alias("node"), F.col(b).alias("nbr"))
     return one("src_id", "tgt_id").unionByName(one("tgt_id", "src_id"))
 
 
+def _named(spark, names: list[str]) -> DataFrame:
+    return spark.createDataFrame(pa.table({"id": pa.array(names, pa.string())}))
+
+
 def subgraph(nodes: DataFrame, edges: DataFrame, start: str, depth: int, cap: int) -> DataFrame:
     """(id, level, truncated) of the nodes around a label: breadth first, each level in the order degree, label; at most ``cap`` nodes;
     truncated tells whether that left any out. edges: src_id, tgt_id as stored.
@@ -82,7 +96,8 @@ def subgraph(nodes: DataFrame, edges: DataFrame, start: str, depth: int, cap: in
     for level in range(1, depth + 1):
         if not frontier or len(found) >= cap:
             break
-        near = beside(edges, frontier).select(F.col("nbr").alias("id")).where(~F.col("id").isin([x for x, _ in found])).distinct().join(nodes.select("id"), "id", "left_semi")
+        near = beside(edges, frontier).select(F.col("nbr").alias("id")).distinct()
+        near = near.join(F.broadcast(_named(spark, [x for x, _ in found])), "id", "left_anti").join(nodes.select("id"), "id", "left_semi")
         degree = both.join(near, "id", "left_semi").groupBy("id").agg(F.count_distinct("nbr").alias("degree"))
         # one row more than there is room for tells that some are left out
         got = [r["id"] for r in degree.orderBy(F.desc("degree"), "id").limit(cap - len(found) + 1).collect()]
