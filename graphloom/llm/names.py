@@ -7,6 +7,10 @@ whose telling tokens are near meet, and are compared by the optimal assignment o
 subsets for short lists, shortest augmenting paths for long ones; both exact), which permits initials, short forms of given names,
 abbreviations and reordering.
 
+Candidates of organisations are complete, however common their words are. Where two names agree word by word, every word of one has
+a partner in the other, so one word of each name, the one whose partners stand in the fewest names, is looked up among all words of
+all names. Where they agree as one string, they share a key of the string's own index.
+
 The result is a membership (id to representative) and pairs of representatives, so a name that a third of all ids bear is one
 representative with many members; only ``links`` expands both into pairs of ids.
 
@@ -18,17 +22,23 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from hashlib import blake2b
 from itertools import combinations, product
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.given_names import GIVEN, SHORT
 from graphloom.session import cut
 
-#: Words of organisations' names that stand in so many names or fewer tell them apart, besides each name's rarest one.
+#: A word of organisations' names that stands in so many names or fewer is a key by itself, a commoner one only together with the
+#: first letters of the name's other words.
 RARE = 50
+#: From so many words on, the number of the words stands for their first letters, and from so many letters on, pieces of a string for
+#: its deletions: both are as complete, and do not grow with the square or the cube of a name's length.
+MANY_WORDS, LONG = 13, 64
 #: From these lengths on, one and two edits are permitted.
 ONE_EDIT, TWO_EDITS = 5, 8
 
@@ -262,18 +272,75 @@ def same_organization(a: list[str], b: list[str]) -> bool:
     return c <= 1.5
 
 
-def initials(own: list[str], near: list[list[str]]) -> list[str]:
-    """First letters of all words, sorted, as keys: the name's own, and with up to three words (edits that a match permits) under
-    another letter that a word near them begins with."""
-    out = set()
-    for k in range(min(3, len(own)) + 1):
-        for at in combinations(range(len(own)), k):
+def others(word: str, first: list[str]) -> str:
+    """First letters of a name's words other than one, sorted, as part of a key. first: those of all words."""
+    if len(first) >= MANY_WORDS:
+        return str(len(first))
+    rest = sorted(first)
+    rest.remove(word[0])
+    return "".join(rest)
+
+
+def initials(own: list[str], near: list[list[str]]) -> dict[str, int]:
+    """First letters of words, sorted, and in how many places they were changed: the words' own, and with up to three words (edits
+    that a match permits) under another letter that a word near them begins with."""
+    out: dict[str, int] = {}
+    places = [i for i, c in enumerate(own) if any(x != c for x in near[i])]
+    for k in range(min(3, len(places)) + 1):
+        for at in combinations(places, k):
             for other in product(*([c for c in near[i] if c != own[i]] for i in at)):
                 letters = list(own)
                 for i, c in zip(at, other, strict=True):
                     letters[i] = c
-                out.add("".join(sorted(letters)))
-    return sorted(out)
+                out.setdefault("".join(sorted(letters)), k)
+    return out
+
+
+def longer(word: str) -> set[str]:
+    """What ``shorter`` can be of the abbreviations of a word."""
+    first, last = {c: i for i, c in reversed(list(enumerate(word[1:])))}, {c: i for i, c in enumerate(word[1:])}
+    out = {word[0] + c for c in first} | {word[0] + c + e for c in first for e in last if first[c] < last[e]}
+    return out | {word[:n] for n in range(6, len(word) - 1)}
+
+
+def shorter(word: Column) -> Column:
+    """The key of an abbreviation: its first two letters and the last one, or from six letters on, where it begins the word, all."""
+    return F.when(F.length(word).between(3, 5), F.concat(F.substring(word, 1, 2), F.substring(word, -1, 1))).otherwise(word)
+
+
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 2**64)
+
+
+def spellings(text: str) -> np.ndarray:
+    """Numbers of which two texts share one if ``same_organization`` takes them for one string: they are within two edits, and below
+    eight letters have the same letters. Up to LONG letters they stand for the text without any two of them (the text as a polynomial
+    modulo 2 ** 64, so that a deletion is a subtraction and a shift); longer texts are cut in five, and as an edit touches two pieces
+    at most, one of them stands whole in the other text, at most two letters from its place."""
+    n, out = len(text), []
+
+    def number(x: str) -> int:
+        return int.from_bytes(blake2b(x.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+    if n < 8:
+        out.append(np.array([number("letters " + "".join(sorted(text)))], dtype=np.uint64))
+    if 6 <= n <= LONG + 2:
+        power = np.cumprod(np.full(n, _BASE, dtype=np.uint64))
+        upto = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(np.array([ord(c) for c in text], dtype=np.uint64) * power)])
+        once, twice = (np.array([x % 2**64], dtype=np.uint64) for x in (_BACK, _BACK * _BACK))
+        i, j = np.triu_indices(n, 1)
+        out += [upto[-1:], upto[:-1] + (upto[-1:] - upto[1:]) * once, upto[i] + (upto[j] - upto[i + 1]) * once + (upto[-1:] - upto[j + 1]) * twice]
+    if n > LONG:
+        found = set()
+        for size in range(n - 2, n + 3):
+            ends = [size * k // 5 for k in range(6)]
+            for k in range(5):
+                for at in range(max(0, ends[k] - 2), ends[k] + 3):
+                    piece = text[at : at + ends[k + 1] - ends[k]]
+                    if len(piece) == ends[k + 1] - ends[k]:
+                        found.add(number(f"{size} {k} {piece}"))
+        out.append(np.array(sorted(found), dtype=np.uint64))
+    return np.unique(np.concatenate(out)).view(np.int64)
 
 
 def members(named: DataFrame) -> DataFrame:
@@ -308,65 +375,95 @@ def matched(words: DataFrame) -> DataFrame:
 
     @F.pandas_udf("array<struct<token string, spot string>>")
     def telling(reps: pd.Series, kinds: pd.Series) -> pd.Series:
-        """Tokens that can tell a name apart, each with the letters its other names can begin with."""
+        """Tokens that can tell a person apart, each with the letters its other names can begin with (a long given name can have
+        two edits among its first three letters), and all words of organisations, each with the first letters of the others."""
         out = []
         for rep, kind in zip(reps, kinds, strict=True):
             t = rep.split(" ")
             if kind == "person":
                 rows = []
                 for i in _families(t) or range(len(t)):
-                    spots = {c for k, g in enumerate(t) if k != i for f in full_names(g) for c in f[:2]} or {""}
+                    spots = {c for k, g in enumerate(t) if k != i for f in full_names(g) for c in f[: 3 if len(f) >= TWO_EDITS - 2 else 2]} or {""}
                     rows += [(t[i], s) for s in sorted(spots)]
                 out.append(rows)
             else:
-                whole = [x for x in dict.fromkeys(t) if x[-1] != "."]
-                out.append([(x, "") for x in whole if len(x) >= 4] or [(x, "") for x in whole or t])
+                t = [x.rstrip(".") for x in t]
+                out.append([(x, others(x, [w[0] for w in t])) for x in dict.fromkeys(t)])
         return pd.Series(out)
 
-    told = words.withColumn("t", F.explode(telling("rep", "kind"))).select("tbl", "kind", "rep", "t.token", "t.spot")
-    told = cut(told)
+    told = words.withColumn("id", F.monotonically_increasing_id()).select("tbl", "kind", "rep", "id", F.posexplode(telling("rep", "kind")).alias("at", "t"))
+    told = cut(told.select("tbl", "kind", "rep", "id", "at", "t.token", "t.spot"))
     vocabulary = told.groupBy("tbl", "kind", "token").agg(F.count("*").alias("n"))
 
     @F.pandas_udf("array<string>")
     def keys(tokens_: pd.Series) -> pd.Series:
         return pd.Series([sorted(deletions(t, permitted(len(t) + permitted(len(t))))) for t in tokens_])
 
-    # abbreviations tell no name apart, but can be misspelled
-    spelled = words.where("kind = 'organization'").select("tbl", "kind", F.explode(F.split(F.translate("rep", ".", ""), " ")).alias("token")).where(F.length("token") >= ONE_EDIT)
-    indexed = vocabulary.select("tbl", "kind", "token").unionByName(spelled).distinct().select("tbl", "kind", "token", F.explode(keys("token")).alias("key"))
-    met = indexed.join(indexed.withColumnRenamed("token", "other"), ["tbl", "kind", "key"]).where("token < other").select("tbl", "kind", "token", "other").distinct()
+    @F.pandas_udf("array<string>")
+    def long_forms(tokens_: pd.Series) -> pd.Series:
+        return pd.Series([sorted(longer(t)) for t in tokens_])
+
+    indexed = vocabulary.select("tbl", "kind", "token", F.explode(keys("token")).alias("key"))
+    # the tables of keys are many times as large as their estimates, so none is broadcast
+    met = indexed.join(indexed.withColumnRenamed("token", "other").hint("merge"), ["tbl", "kind", "key"]).where("token < other").select("tbl", "kind", "token", "other")
+    institutions = vocabulary.where("kind = 'organization'").select("tbl", "kind", "token")
+    short = institutions.where("length(token) >= 2").withColumn("key", shorter(F.col("token")))
+    long_ = institutions.where("length(token) >= 4").select("tbl", "kind", F.col("token").alias("other"), F.explode(long_forms("token")).alias("key"))
+    abbreviated = short.join(long_.hint("merge"), ["tbl", "kind", "key"]).where("length(token) + 2 <= length(other)").select("tbl", "kind", "token", "other")
 
     @F.pandas_udf("boolean")
-    def near(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([distance(a, b, 2) <= max(1, permitted(min(len(a), len(b)))) for a, b in zip(x, y, strict=True)], dtype=bool)
+    def near(kinds: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        person = lambda a, b: distance(a, b, 2) <= max(1, permitted(min(len(a), len(b))))
+        return pd.Series([person(a, b) if k == "person" else _word_cost(a, b) < NO for k, a, b in zip(kinds, x, y, strict=True)], dtype=bool)
 
     same = vocabulary.select("tbl", "kind", "token", F.col("token").alias("other"))
-    index = cut(met.where(near("token", "other")).unionByName(same))
-    # a word is as common as the commonest one near it, so that a misspelled common word is not taken for a rare one. Organisations
-    # are met by their rarest word and by all others that are rare; a person's candidates are few by themselves
-    both = index.unionByName(index.where("token <> other").select("tbl", "kind", F.col("other").alias("token"), F.col("token").alias("other")))
-    common = both.where("kind = 'organization'").join(vocabulary.withColumnRenamed("token", "other"), ["tbl", "kind", "other"]).groupBy("tbl", "kind", "token").agg(F.max("n").alias("n"))
-    ranked = told.join(common, ["tbl", "kind", "token"]).groupBy("tbl", "kind", "rep").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("t"))
-    rare = F.transform(F.filter("t", lambda x: (x["n"] <= RARE) | (x == F.col("t")[0])), lambda x: x["token"])
-    org = ranked.select("tbl", "kind", "rep", F.explode(rare).alias("token"), F.lit("").alias("spot"))
-    told = told.where("kind = 'person'").unionByName(org)
-    # names with common words that are no keys meet by the first letters of all their words, which abbreviations keep
-    letters = both.where("kind = 'organization'").groupBy("tbl", "token").agg(F.collect_set(F.substring("other", 1, 1)).alias("near"))
-    spread = ranked.where(F.size(rare) < F.size("t")).select("tbl", "rep", F.posexplode(F.split(F.translate("rep", ".", ""), " ")).alias("at", "token"))
-    spread = spread.join(letters, ["tbl", "token"], "left").select("tbl", "rep", F.struct("at", F.substring("token", 1, 1).alias("own"), F.coalesce("near", F.array().cast("array<string>")).alias("near")).alias("w"))
-    spread = spread.groupBy("tbl", "rep").agg(F.sort_array(F.collect_list("w")).alias("w"))
+    index = cut(met.unionByName(abbreviated).distinct().where(near("kind", "token", "other")).unionByName(same))
+    # organisations: each word with all its partners, and in how many names they stand
+    back = index.where("token <> other").select("tbl", "kind", F.col("other").alias("token"), F.col("token").alias("other"))
+    partners = index.unionByName(back).where("kind = 'organization'").join(vocabulary.withColumnRenamed("token", "other"), ["tbl", "kind", "other"])
+    partners = cut(partners.select("tbl", "kind", "token", "other", "n"))
+    dear = partners.groupBy("tbl", "token").agg(F.sum("n").alias("n"))
+    chosen = told.where("kind = 'organization'").join(dear, ["tbl", "token"]).groupBy("tbl", "rep").agg(F.min(F.struct("n", "token"))["token"].alias("token"))
+    sought = chosen.join(partners, ["tbl", "token"])
+    # the letters that the other words of names with common partners can begin with; abbreviations keep the first one
+    letters = partners.where("left(token, 1) <> left(other, 1)").groupBy("tbl", "token").agg(F.collect_set(F.substring("other", 1, 1)).alias("near"))
+    spread = sought.where(F.col("n") > RARE).select("tbl", "rep", F.col("token").alias("key")).distinct()
+    spread = spread.select("tbl", "rep", "key", F.posexplode(F.split(F.translate("rep", ".", ""), " ")).alias("at", "token")).join(letters, ["tbl", "token"], "left")
+    spread = spread.select("tbl", "rep", "key", F.struct("at", "token", F.coalesce("near", F.array().cast("array<string>")).alias("near")).alias("w"))
+    spread = spread.groupBy("tbl", "rep", "key").agg(F.sort_array(F.collect_list("w")).alias("w"))
+
+    @F.pandas_udf("array<struct<spot string, changed int>>")
+    def by_letters(key: pd.Series, own: pd.Series, near: pd.Series) -> pd.Series:
+        out = []
+        for word, t, x in zip(key, own, near, strict=True):
+            at = list(t).index(word)
+            rest = [(w[0], sorted(c)) for i, (w, c) in enumerate(zip(t, x, strict=True)) if i != at]
+            few = len(t) < MANY_WORDS
+            out.append(sorted(initials([w for w, _ in rest], [c for _, c in rest]).items()) if few else [(others(word, [w[0] for w in t]), 0)])
+        return pd.Series(out)
 
-    @F.pandas_udf("array<string>")
-    def by_letters(own: pd.Series, near: pd.Series) -> pd.Series:
-        return pd.Series([initials(list(a), [sorted(x) for x in b]) for a, b in zip(own, near, strict=True)])
-
-    first = F.array_join(F.array_sort(F.transform(F.split("rep", " "), lambda x: F.substring(x, 1, 1))), "")
-    plain = words.where("kind = 'organization'").select("tbl", "kind", F.col("rep").alias("rep_b"), first.alias("key"))
-    spread = spread.select("tbl", F.col("rep").alias("rep_a"), F.explode(by_letters(F.col("w")["own"], F.col("w")["near"])).alias("key"))
-    lettered = spread.join(plain, ["tbl", "key"]).select("tbl", "kind", "rep_a", "rep_b")
-    left = told.withColumnRenamed("rep", "rep_a")
-    right = told.select("tbl", "kind", "spot", F.col("token").alias("other"), F.col("rep").alias("rep_b"))
-    pairs = left.join(index, ["tbl", "kind", "token"]).join(right, ["tbl", "kind", "other", "spot"]).select("tbl", "kind", "rep_a", "rep_b").unionByName(lettered)
+    spread = spread.select("tbl", "rep", F.col("key").alias("token"), F.explode(by_letters("key", F.col("w")["token"], F.col("w")["near"])).alias("s"))
+    # three edits cost as much as a match permits: where the word itself is changed, two are left
+    common = sought.where(F.col("n") > RARE).join(spread, ["tbl", "rep", "token"]).where("s.changed <= if(token = other, 3, 2)").select("tbl", "other", "s.spot", F.col("rep").alias("rep_a"))
+    alone = sought.where(F.col("n") <= RARE).select("tbl", "other", F.lit("").alias("spot"), F.col("rep").alias("rep_a"))
+    held = told.where("kind = 'organization'").join(vocabulary, ["tbl", "kind", "token"])
+    held = held.select("tbl", F.col("token").alias("other"), F.when(F.col("n") <= RARE, "").otherwise(F.col("spot")).alias("spot"), F.col("rep").alias("rep_b"))
+    by_word = alone.unionByName(common).join(held, ["tbl", "other", "spot"]).select("tbl", "rep_a", "rep_b")
+
+    @F.pandas_udf("array<bigint>")
+    def by_string(texts: pd.Series) -> pd.Series:
+        return pd.Series([spellings(t) for t in texts])
+
+    # a name has hundreds of keys, so they are shuffled with a number instead of the name
+    once = told.where("kind = 'organization' and at = 0").select("tbl", "id", "rep")
+    strings = once.select("id", F.explode(by_string(F.translate("rep", " .", ""))).alias("key"), "tbl").select("id", F.xxhash64("tbl", "key").alias("key"))
+    ids = strings.join(strings.withColumnRenamed("id", "with").hint("merge"), "key").where("id < with").select("id", "with").distinct()
+    by_spelling = ids.join(once.withColumnRenamed("rep", "rep_a"), "id").join(once.select("tbl", F.col("id").alias("with"), F.col("rep").alias("rep_b")), ["tbl", "with"]).select("tbl", "rep_a", "rep_b")
+    persons = told.where("kind = 'person'")
+    left = persons.select("tbl", "kind", "spot", "token", F.col("rep").alias("rep_a"))
+    right = persons.select("tbl", "kind", "spot", F.col("token").alias("other"), F.col("rep").alias("rep_b"))
+    pairs = left.join(index, ["tbl", "kind", "token"]).join(right, ["tbl", "kind", "other", "spot"]).select("tbl", "kind", "rep_a", "rep_b")
+    pairs = pairs.unionByName(by_word.unionByName(by_spelling).withColumn("kind", F.lit("organization")))
     ordered = pairs.where("rep_a <> rep_b").select("tbl", "kind", F.least("rep_a", "rep_b").alias("rep_a"), F.greatest("rep_a", "rep_b").alias("rep_b")).distinct()
     # the comparison costs far more than the rows weigh, so its tasks are not merged by size
     ordered = ordered.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rep_a", "rep_b")
@@ -376,7 +473,8 @@ def matched(words: DataFrame) -> DataFrame:
         test = {"person": same_person, "organization": same_organization}
         return pd.Series([test[k](a.split(" "), b.split(" ")) for k, a, b in zip(kinds, x, y, strict=True)], dtype=bool)
 
-    direct = cut(ordered.where(agree("kind", "rep_a", "rep_b")))
+    # a deterministic filter would go below the exchange and the distinct, to the joins' few tasks and repeated pairs
+    direct = cut(ordered.where(agree.asNondeterministic()("kind", "rep_a", "rep_b")))
     # two misspellings of one person can be further apart than each is from the name between them
     people = direct.where("kind = 'person'")
     ways = people.select("tbl", F.col("rep_a").alias("rep"), F.col("rep_b").alias("via")).unionByName(people.select("tbl", F.col("rep_b").alias("rep"), F.col("rep_a").alias("via")))

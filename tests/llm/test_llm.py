@@ -123,6 +123,51 @@ def test_organizations_of_common_words(spark, rows):
     assert not any(len(x & set(cases)) == 1 for x in got)
 
 
+def test_no_candidate_of_common_words_is_dropped(spark):
+    """Where every word stands in more than RARE names, the pairs are those of comparing all names with all."""
+    kyoto, names_ = "kyoto institute polar ecology", "kyoto institute polar ecology".split()
+    fill = [f"{w} {i:03d}x{k}" for k, w in enumerate([*names_, "porto", "marine"]) for i in range(names.RARE + 5)]
+    cases = [
+        kyoto, "kyotoinstitute polar ecology", "kyoto insti tute polar ecology", "kyot oinstitut epola recology", "kyoto institute polare cology",
+        "kyoot institutep olar ecology", "kyoto isntitute polarecoogy", "kyo ins pol eco", "kto. inst. plr. eclgy", "kyoto inst polr ecol", "ecol enstitute kyoto pol", "xkyoto yinstitute polar zecology",
+        "porto institute polar ecology", "porto institute marine ecology", "prt ins mar ecology", "porto institutemarin eecology", "marine", "mar", "marin",
+        "kyoto polar " + " ".join(f"word{c}" for c in "abcdefghijkl"), "polar kyoto " + " ".join(f"word{c}" for c in "abcdefghijkl"),
+    ]
+    assert all(sum(w in x.split() for x in fill) > names.RARE for w in names_)
+    df = spark.createDataFrame([("t", "organization", n) for n in fill + cases], "tbl string, kind string, rep string").distinct()
+    got = {(r.rep_a, r.rep_b) for r in names.matched(df).collect() if {r.rep_a, r.rep_b} & set(cases)}
+    every = sorted(fill + cases)
+    true = {(a, b) for i, a in enumerate(every) for b in every[i + 1 :] if {a, b} & set(cases) and names.same_organization(a.split(), b.split())}
+    assert got == true and {tuple(sorted((kyoto, x))) for x in cases[1:9]} <= true
+
+
+def test_texts_within_two_edits_share_a_number():
+    rng = random.Random(6)
+    for size in [*range(1, 12), 35, *range(names.LONG - 2, names.LONG + 5), 150]:
+        for _ in range(40):
+            a = b = "".join(rng.choice("abcdé") for _ in range(size))
+            for _ in range(2):
+                i = rng.randrange(len(b)) if b else 0
+                b = rng.choice([b[:i] + b[i + 1 :], b[:i] + "x" + b[i + 1 :], b[:i] + "b" + b[i:], b[:i] + b[i + 1 : i + 2] + b[i : i + 1] + b[i + 2 :]])
+            if names.distance(a, b, 2) <= 2 and (max(len(a), len(b)) >= 8 or sorted(a) == sorted(b)):
+                assert set(names.spellings(a)) & set(names.spellings(b))
+    assert not set(names.spellings("kyotopolarecology")) & set(names.spellings("kyotomarineecology"))
+
+
+def test_a_key_for_every_abbreviation(spark):
+    rng = random.Random(7)
+    pairs = {(long[: rng.randint(2, 9)] if rng.random() < 0.5 else long[0] + "".join(c for c in long[1:] if rng.random() < 0.3)[:4], long) for long in ("".join(rng.choice("abcde") for _ in range(rng.randint(4, 11))) for _ in range(300))}
+    pairs = [p for p in pairs if len(p[0]) > 1 and len(p[1]) - len(p[0]) > 1]
+    assert all(names._word_cost(*p) == 0.2 for p in pairs)
+    for r in spark.createDataFrame(pairs, "short string, long string").withColumn("key", names.shorter(F.col("short"))).collect():
+        assert r.key in names.longer(r.long)
+
+
+def test_two_edits_at_the_beginning_of_a_given_name(spark, rows):
+    df = spark.createDataFrame([("t", "person", x) for x in ("alexander zohihaten", "xyexander zohihaten")], "tbl string, kind string, rep string")
+    assert rows(names.matched(df), "rep_a", "rep_b") == [("alexander zohihaten", "xyexander zohihaten")]
+
+
 # --- 3 markup
 @pytest.mark.parametrize("text,kind", [("a <b>c</b>", "html"), ("x&nbsp;y", "html"), ("# Top\n\ntext", "markdown"), ("see [x](http://a.b/c)", "markdown"), ("* a\n+ b", "markdown"), ("[[Link|x]] y", "wiki"), ("'''The''' x", "wiki"), ("== T ==", "wiki"), ("\\emph{x} y", "latex"), ("where $x_1 \\leq 2$", "latex"), ("text. % a comment", "latex")])
 def test_language(text, kind):
