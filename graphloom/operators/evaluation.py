@@ -5,9 +5,14 @@ Cases: null and empty texts hold no terms; a query without known terms has no hi
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from graphloom.operators import topdocs
 from graphloom.session import cut
 
 # Words the ranker skips.
@@ -21,17 +26,28 @@ def terms(text: Column) -> Column:
     return F.concat(words, wide)
 
 
-def tfidf(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def tfidf(docs: DataFrame, queries: DataFrame, k: int, block: int = 3_000_000) -> DataFrame:
     """(query, name, score, rank): documents (name, text) for queries (query, text). Texts are read once: only the terms that a query asks for
-    are counted, by (name, term) before the shuffle, and kept as a table."""
-    q = cut(queries.select("query", F.explode(F.array_distinct(terms(F.col("text")))).alias("t")))
-    tf = cut(docs.select("name", F.explode(terms(F.col("text"))).alias("t")).join(q.select("t").distinct(), "t", "left_semi").groupBy("name", "t").agg(F.count("*").alias("tf")))
-    n = docs.count()
-    df = tf.groupBy("t").agg(F.count("*").alias("df"))
-    idf = F.log((F.lit(float(n)) + 1) / (F.col("df") + 1)) + 1
-    s = q.join(df, "t").join(tf, "t").groupBy("query", "name").agg(F.sum((1 + F.log(F.col("tf").cast("double"))) * idf).alias("score")).where("score > 0")
-    w = Window.partitionBy("query").orderBy(F.desc(F.round("score", 9)), "name")
-    return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    are counted, by (name, term) before the shuffle, and kept as a table. Queries of the same terms are ranked once, in blocks of about so many
+    counts, whose lists of k meet in the end."""
+    spark = docs.sparkSession
+    asked = cut(queries.select("query", F.explode(terms(F.col("text"))).alias("t")).distinct())
+    words = cut(asked.select("t").distinct().withColumn("tid", F.monotonically_increasing_id()))
+    tf = cut(docs.select("name", F.explode(terms(F.col("text"))).alias("t")).join(words, "t").groupBy("name", "tid").agg(F.count("*").alias("tf")))
+    n, rows = docs.count(), tf.count()
+    weights = tf.groupBy("tid").agg((F.log((F.lit(float(n)) + 1) / (F.count("*") + 1)) + 1).alias("w"))
+    per = cut(asked.join(words, "t").join(weights, "tid").groupBy("query").agg(F.sort_array(F.collect_list(F.struct("tid", "w"))).alias("terms")))
+    sets = cut(per.select("terms").distinct().withColumn("sid", F.monotonically_increasing_id()))
+    cores = spark.sparkContext.defaultParallelism
+    blocks = min(cores, 1 + rows // 20_000) if rows <= cores * block else cores * math.ceil(rows / (cores * block))
+    kind = tf.schema["name"].dataType
+    counts = tf.select(F.pmod(F.xxhash64("name"), F.lit(blocks)).cast("int").alias("block"), "name", "tid", F.col("tf").cast("double").alias("x"), F.lit(None).cast("long").alias("sid"))
+    every = sets.select("sid", F.explode("terms").alias("m")).select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(None).cast(kind).alias("name"), "m.tid", F.col("m.w").alias("x"), "sid")
+    out = StructType([StructField("sid", LongType()), StructField("name", kind), StructField("score", DoubleType())])
+    best = counts.unionByName(every).repartitionById(blocks, "block").mapInArrow(topdocs.ranker(k, to_arrow_schema(out)), out)
+    w = Window.partitionBy("sid").orderBy(F.floor(F.col("score") * 1e9 + 0.5).desc(), F.col("name").asc_nulls_last())
+    top = best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return per.join(sets, "terms").select("query", "sid").join(top, "sid").select("query", "name", "score", "rank")
 
 
 def measures(ranked: DataFrame, expected: DataFrame, k: int) -> DataFrame:
