@@ -288,7 +288,7 @@ def e03_measures(spark, d):
     """The ranker against documents of the same item as a query's paper."""
     ranked = evaluation.tfidf(table(spark, d, "documents").select(F.col("doc_id").alias("name"), "text"), _queries(spark, d), 10)
     p = unique(spark, d, "papers", "attachment_key", "title").where("title is not null").select(F.col("paper_id").alias("query"), F.col("attachment_key").alias("item_key"))
-    expected = p.join(table(spark, d, "documents").select("item_key", F.col("doc_id").alias("name")), "item_key").select("query", "name")
+    expected = p.join(table(spark, d, "documents").select("item_key", F.col("doc_id").alias("name")), "item_key").select("query", "name").distinct()
     return evaluation.measures(ranked, expected, 10).select("queries", F.round("recall", 9).alias("recall"), F.round("mrr", 9).alias("mrr"), "full", "none")
 
 

@@ -80,3 +80,24 @@ def test_odd_rows(spark):
     reef, other = math.log(6 / 4) + 1, math.log(6 / 2) + 1
     assert got == {("q", 1): (1, round(reef + other, 9)), ("q", 2): (2, round(reef, 9)), ("q", 3): (None, round(reef, 9)), (None, 1): (None, round(reef + other, 9)), (None, 2): (1, round(reef, 9)), (None, 3): (2, round(reef, 9))}
     assert evaluation.tfidf(d.where("text is null"), q, 3).count() == 0
+
+
+def test_measures_equal_their_sql(spark, tmp_path):
+    """Papers and documents in several rows: each expected pair counts once, and the measures are those of the SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    from graphloom.plans import library_queries as plans
+
+    r, docs = random.Random(6), library(300, 18, 7)
+    d = [(i, " ".join(t), f"K{r.randint(0, 30)}") for i, t in enumerate(docs.values())] + [(1, "w1 w2", "K1"), (1, "w3", "K1"), (None, "w1", "K2"), (400, None, "K3")]
+    p = [(f"p{i}", " ".join(f"w{r.randint(0, 17)}" for _ in range(3)), f"K{r.randint(0, 34)}") for i in range(40)]
+    p += [("p1", "w1 w4", "K1"), ("p1", "w4", "K1"), ("p1", "w4", "K2"), ("p2", None, "K4"), (None, "w5", "K5"), ("p3", "w6", None)]
+    con = duckdb.connect()
+    for name, data, columns in (("documents", d, "doc_id long, text string, item_key string"), ("papers", [(*x, None, None, []) for x in p], "paper_id string, title string, attachment_key string, venue string, pub_year int, authors array<string>")):
+        spark.createDataFrame(data, columns).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.sql(plans.SQL["e03_measures"]).fetchall()[0]
+    got = plans.e03_measures(spark, str(tmp_path)).select("queries", "recall", "mrr", "full", "none").first()
+    assert want[0] > 30 and 0 < want[1] < 1
+    assert tuple(got) == pytest.approx(want, abs=1e-9)
+    rank = {(x.query, x["rank"]): x.name for x in plans.e01_tfidf(spark, str(tmp_path)).collect()}
+    assert rank == {(q, i): n for q, n, _, i in con.sql(plans.SQL["e01_tfidf"]).fetchall()}
